@@ -7,8 +7,14 @@ whose payload varies with the event; ``part`` becomes the creature dimension.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logtally.sources import files
+from logtally.sources.dims import Dims
+from logtally.sources.store import Store
+
 AS_OF = "2024-01-31 00:00:00"
 
 SPARK_K = "CAST(get_json_object(props, '$.k') AS INT)"
@@ -144,6 +150,9 @@ FROM {part}
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table: all events as audit rows, ``detail`` as variant."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:  # one small file is one split
+        events = events.repartition(cores)
     # ``spark.sql`` fills in {events} and undoes the doubled braces itself.
     text = spark.sql(AUDIT_ROWS.replace("{k}", SPARK_K), events=events)
     return text.withColumn("detail", F.parse_json("detail"))
@@ -157,3 +166,67 @@ def pokemon_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return spark.sql(ITEM_ROWS, part=part)
+
+
+def dims(spark: SparkSession, sf_dir: str) -> Dims:
+    version = spark.sql("SELECT 'v1' AS sha, TIMESTAMP_NTZ '2024-01-30 00:00:00' AS loaded_at")
+    return Dims(pokemon_file(spark, sf_dir), item_file(spark, sf_dir), version)
+
+
+def store(spark: SparkSession, sf_dir: str) -> Store:
+    """The bridged tables as a loaded store in the shared folder.
+
+    Written once per application, like the daily load; queries then read typed
+    Parquet columns. Nothing but the given tables goes in.
+    """
+    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    root = f"{files.shared_dir(spark)}/bridge/{spark.sparkContext.applicationId}/{name}"
+    loaded = Store(spark, root)
+    if loaded.last_number() == 0:
+        rows = loaded.new_run("append")
+        rows.write_audit(audit(spark, sf_dir))
+        rows.commit()
+        delivered = loaded.new_run("dims")
+        for part, table in dims(spark, sf_dir)._asdict().items():
+            delivered.write(part, table)
+        delivered.commit()
+    return loaded
+
+
+def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int) -> None:
+    """Ship the bridged rows as gzip JSON-lines objects, one or more per day.
+
+    The folder's day is the event's day moved by ``days_later``: an archive
+    day is when rows were shipped.
+    """
+    rows = audit(spark, sf_dir)
+    day = F.date_add(F.col("created_at").cast("date"), days_later)
+    lines = rows.select(
+        "id",
+        "account_id",
+        "action",
+        "status",
+        "detail",
+        F.lit("192.0.2.1").alias("ip"),
+        "user_agent",
+        "source",
+        F.concat(
+            F.translate(F.col("created_at").cast("string"), " ", "T"), F.lit("+00:00")
+        ).alias("created_at"),
+        day.alias("day"),
+    )
+    raw = f"{base}/shipped"
+    lines.repartition("day").write.partitionBy("day").json(
+        raw, compression="gzip", ignoreNullFields=False
+    )
+    for folder in files.children(spark, raw):
+        if not folder.startswith("day="):
+            continue
+        shipped = folder.removeprefix("day=")
+        target = f"{base}/audit/{shipped.replace('-', '/')}"
+        for number, name in enumerate(files.children(spark, f"{raw}/{folder}")):
+            files.rename(
+                spark,
+                f"{raw}/{folder}/{name}",
+                f"{target}/audit-{shipped}T0003Z-{number}.jsonl.gz",
+            )

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from logtally.functions.values import (
-    payload,
-    to_kst,
-    try_bigint,
-    try_bool,
-    try_double,
-    try_int,
+from logtally.functions.values import to_kst, try_bigint, try_bool, try_double, try_int
+
+# Payload keys, fetched as text in one pass over the variant. A payload that is
+# no object, a missing key and a JSON null all give NULL.
+_KEYS = (
+    "mapId from to pokedexId level isShiny isS000Starter wildUid uid bait rock"
+    " partyBonus reason fled result count claimed money item quantity totalCost"
+    " totalGain url method errorCode"
+).split()
+_WANTED = (
+    "struct<"
+    + ", ".join(f"`{k}`: string" for k in _KEYS)
+    + ", body: struct<_truncated: string>>"
 )
 
 
@@ -20,8 +26,12 @@ def audit_v(audit: DataFrame) -> DataFrame:
     Personal data stop here: URLs lose their query string, request bodies are
     not exposed (the login name sits in them), and ``ip`` never got this far.
     """
-    entered_or_left = F.coalesce(payload("mapId"), payload("to"))
-    return audit.select(
+
+    def payload(path: str) -> Column:
+        return F.col(f"_payload.{path}")
+
+    fetched = F.try_variant_get("detail", "$", _WANTED)
+    return audit.withColumn("_payload", fetched).select(
         "id",
         "account_id",
         "action",
@@ -31,7 +41,7 @@ def audit_v(audit: DataFrame) -> DataFrame:
         "created_at",
         to_kst(F.col("created_at")).alias("created_at_kst"),
         "detail",
-        entered_or_left.alias("map_id"),
+        F.coalesce(payload("mapId"), payload("to")).alias("map_id"),
         payload("from").alias("map_from"),
         payload("to").alias("map_to"),
         # Stays text: variant forms such as "0058_hisui" have no number.

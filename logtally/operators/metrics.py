@@ -303,8 +303,9 @@ def safari_session_from(per_account: DataFrame, sessions: DataFrame) -> DataFram
         sessions.select(kst_day("entered_at_kst").alias("d_kst"), stay.alias("_stay")),
         "d_kst",
         "_stay",
-        {"_median": 0.5, "_p90": 0.9},
+        {"dwell_median_sec": 0.5, "dwell_p90_sec": 0.9},
         few_groups=True,
+        unit=1e6,
     )
     return day.join(dwell, "d_kst", "left").select(
         "d_kst",
@@ -314,6 +315,6 @@ def safari_session_from(per_account: DataFrame, sessions: DataFrame) -> DataFram
         (1.0 - ratio(F.col("closed_sessions"), F.col("sessions"))).alias(
             "unclosed_rate"
         ),
-        (F.col("_median") / 1e6).alias("dwell_median_sec"),
-        (F.col("_p90") / 1e6).alias("dwell_p90_sec"),
+        "dwell_median_sec",
+        "dwell_p90_sec",
     )

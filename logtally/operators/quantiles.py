@@ -1,9 +1,10 @@
 """Exact interpolated quantiles without a per-group buffer of values.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here values are whole numbers, and the wanted ranks are looked up from
-coarse cells (value >> shift) down to single values, so that no task ever
-holds more than the children of one cell.
+buffer. Here values are whole numbers. A first pass counts coarse cells
+(value >> shift) and finds those that hold a wanted rank; a second pass counts
+single values inside these cells only. No task ever holds more than one
+group's cells or one cell's values.
 """
 
 from __future__ import annotations
@@ -18,82 +19,72 @@ def exact_quantiles(
     key: str,
     value: str,
     quantiles: dict[str, float],
-    shifts: tuple[int, ...] = (32, 16),
+    shift: int = 22,
     few_groups: bool = False,
+    unit: float = 1.0,
 ) -> DataFrame:
     """``key`` plus one double column per entry of ``quantiles``.
 
     ``value`` is a bigint column. NULL values and NULL keys are skipped; a
     group without values is absent. Interpolation is linear between the two
-    order statistics around ``p * (n - 1)``. ``few_groups`` says that the
-    number of groups is bounded (days, say), so wanted ranks are broadcast.
+    order statistics around ``p * (n - 1)``, in values divided by ``unit``.
+    ``few_groups`` says that the number of groups is bounded (days, say), so
+    the found cells, at most two per group and quantile, are broadcast.
     """
-    counted = (
-        df.where(F.col(value).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key, F.col(value).alias("_value"))
+    values = df.where(F.col(value).isNotNull() & F.col(key).isNotNull()).select(
+        key,
+        F.col(value).alias("_value"),
+        F.shiftright(F.col(value), shift).alias("_cell"),
+    )
+    in_group = Window.partitionBy(key)
+    total = F.sum("_n").over(in_group)
+    cells = (
+        values.groupBy(key, "_cell")
         .agg(rows().alias("_n"))
+        .withColumn("_total", total)
+        .withColumn("_to", F.sum("_n").over(in_group.orderBy("_cell")))
+        .select(key, "_cell", _ranks_inside(_ranks(quantiles)).alias("_ranks"))
+        .where(F.size("_ranks") > 0)
     )
-    wanted = (
-        counted.groupBy(key)
-        .agg(F.sum("_n").alias("_total"))
-        .select(key, F.inline(F.array(*_ranks(quantiles))))
+    in_cell = Window.partitionBy(key, "_cell").orderBy("_value")
+    hits = (
+        values.join(F.broadcast(cells) if few_groups else cells, [key, "_cell"])
+        .groupBy(key, "_cell", "_value", "_ranks")
+        .agg(rows().alias("_n"))
+        .withColumn("_to", F.sum("_n").over(in_cell))
+        .select(key, "_value", F.inline(_ranks_inside(F.col("_ranks"))))
     )
+    return hits.groupBy(key).agg(*[_interpolated(n, unit).alias(n) for n in quantiles])
 
-    def small(frame: DataFrame) -> DataFrame:
-        return F.broadcast(frame) if few_groups else frame
-
-    at, parent = [key], None
-    for shift in (*shifts, 0):
-        values = counted
-        if parent is not None:
-            values = values.withColumn("_cell", F.shiftright("_value", parent)).join(
-                small(wanted.select(*at)), at, "left_semi"
-            )
-        running = Window.partitionBy(*at).orderBy("_child")
-        spans = (
-            values.groupBy(*at, F.shiftright("_value", shift).alias("_child"))
-            .agg(F.sum("_n").alias("_n"))
-            .withColumn("_to", F.sum("_n").over(running))
-            .withColumn("_from", F.col("_to") - F.col("_n"))
-        )
-        wanted = (
-            spans.join(small(wanted), at)
-            .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-            .select(
-                key,
-                "_name",
-                "_end",
-                "_share",
-                F.col("_child").alias("_cell"),
-                (F.col("_rank") - F.col("_from")).alias("_rank"),
-            )
-        )
-        at, parent = [key, "_cell"], shift
 
-    return wanted.groupBy(key).agg(*[_interpolated(n).alias(n) for n in quantiles])
-
-
-def _ranks(quantiles: dict[str, float]) -> list[Column]:
+def _ranks(quantiles: dict[str, float]) -> Column:
+    """Zero-based ranks below and above each quantile, with the share between."""
     out = []
     for name, p in quantiles.items():
         spot = F.lit(float(p)) * (F.col("_total") - 1)
         for end, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             out.append(
                 F.struct(
-                    F.lit(name).alias("_name"),
-                    F.lit(end).alias("_end"),
-                    rank.alias("_rank"),
-                    (spot - F.floor(spot)).alias("_share"),
+                    F.lit(name).alias("name"),
+                    F.lit(end).alias("end"),
+                    rank.alias("rank"),
+                    (spot - F.floor(spot)).alias("share"),
                 )
             )
-    return out
+    return F.array(*out)
+
+
+def _ranks_inside(ranks: Column) -> Column:
+    """Those ranks that fall on this row, relative to its first one."""
+    first = F.col("_to") - F.col("_n")
+    found = F.filter(ranks, lambda r: (r.rank >= first) & (r.rank < F.col("_to")))
+    return F.transform(found, lambda r: r.withField("rank", r.rank - first))
 
 
-def _interpolated(name: str) -> Column:
-    def at(end: str, field: str) -> Column:
-        hit = (F.col("_name") == name) & (F.col("_end") == end)
-        return F.max(F.when(hit, F.col(field)))
+def _interpolated(name: str, unit: float) -> Column:
+    def at(end: str, column: str) -> Column:
+        hit = (F.col("name") == name) & (F.col("end") == end)
+        return F.max(F.when(hit, F.col(column)))
 
-    low = at("lo", "_cell").cast("double")
-    high = at("hi", "_cell").cast("double")
-    return low + (high - low) * at("lo", "_share")
+    low, high = at("lo", "_value") / F.lit(unit), at("hi", "_value") / F.lit(unit)
+    return low + (high - low) * at("lo", "share")

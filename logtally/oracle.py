@@ -208,3 +208,429 @@ FROM session"""
 
 SQL["safari_session_daily"] = f"""{_with(_SESSION, _SESSION_DAY)}
 SELECT {_TEXT_DAY}, * EXCLUDE (day) FROM session_day"""
+
+# --- dimensions ---------------------------------------------------------------
+
+
+def _dim_cte() -> str:
+    return f"""dim AS (
+  SELECT if(length(key) < 4 AND key ~ '^[0-9]+$', right('0000' || key, 4), key) AS pokedex_id,
+    key AS pokedex_id_raw, TRY_CAST(key AS INTEGER) AS pokedex_num,
+    replace(comment, chr(13), '') AS name_ko, type1,
+    CASE WHEN type2 <> '' THEN type2 END AS type2,
+    replace(tier, chr(13), '') AS tier, generation, growth_group,
+    TRY_CAST(rate_capture AS DOUBLE) AS rate_capture,
+    TRY_CAST(replace(rate_flee, chr(13), '') AS DOUBLE) AS rate_flee,
+    TRY_CAST(height_m AS DOUBLE) AS height_m,
+    TRY_CAST(weight_kg AS DOUBLE) AS weight_kg,
+    TRY_CAST(base_exp AS INTEGER) AS base_exp
+  FROM (SELECT *, replace(id, chr(13), '') AS key
+        FROM ({bridge.POKEMON_ROWS.format(part="part")}) f) g)"""
+
+
+SQL["pokemon_dim"] = f"WITH {_dim_cte()} SELECT * FROM dim"
+
+SQL["item_dim"] = f"""
+SELECT id AS item_id, replace(comment, chr(13), '') AS name_ko, category, tier,
+  TRY_CAST(buy AS BIGINT) AS buy_price,
+  TRY_CAST(replace(sell, chr(13), '') AS BIGINT) AS sell_price,
+  purchasable = 'TRUE' AS purchasable,
+  upper(replace(sellable, chr(13), '')) = 'TRUE' AS sellable
+FROM ({bridge.ITEM_ROWS.format(part="part")}) f"""
+
+SQL["orphan_keys"] = f"""{_with(_dim_cte())}
+SELECT pokedex_id, count(*) AS events FROM v
+WHERE pokedex_id IS NOT NULL AND pokedex_id NOT IN (SELECT pokedex_id FROM dim)
+GROUP BY pokedex_id"""
+
+# --- series: a calendar joined with the daily metric ---------------------------
+
+
+def _calendar(daily: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT CAST(unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
+  FROM (SELECT CAST(greatest(min(day), max(day) - 89) AS TIMESTAMP) AS lo,
+               CAST(max(day) AS TIMESTAMP) AS hi FROM {daily}) b)"""
+
+
+def _series_cte(name: str, daily: str, counts: str, rates: dict[str, str]) -> str:
+    columns = [f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in counts.split()]
+    columns += [f"{expression} AS {c}" for c, expression in rates.items()]
+    return f"""{_calendar(daily, name + '_days')},
+{name} AS (SELECT CAST(d AS VARCHAR) AS d, {', '.join(columns)}
+  FROM {name}_days LEFT JOIN {daily} ON {daily}.day = d)"""
+
+
+def _four(names: str) -> dict[str, str]:
+    return {n: f"round({n}, 4)" for n in names.split()}
+
+
+_S_DAU = _series_cte("s_dau", "dau_day", "dau new_users events", {})
+_S_BAIT = _series_cte(
+    "s_bait",
+    "bait_day",
+    "bait_n rock_n users_bait users_rock attempts attempts_bait attempts_rock attempts_plain",
+    _four("bait_share rock_share plain_share bait_stay_rate rock_stay_rate"),
+)
+_S_CATCH = _series_cte(
+    "s_catch",
+    "catch_day",
+    "attempts users caught fled broke_out attempts_bait attempts_rock attempts_plain"
+    " caught_observed caught_gap",
+    _four(
+        "catch_rate flee_rate break_out_rate"
+        " catch_rate_bait catch_rate_rock catch_rate_plain"
+    ),
+)
+_S_SESSION = _series_cte(
+    "s_session",
+    "session_day",
+    "sessions users closed_sessions",
+    {
+        "unclosed_rate": "round(unclosed_rate, 4)",
+        "dwell_median_min": "round(dwell_median_sec / 60, 2)",
+        "dwell_p90_min": "round(dwell_p90_sec / 60, 2)",
+    },
+)
+
+SQL["series_dau"] = f"{_with(_DAU_DAY, _S_DAU)} SELECT * FROM s_dau"
+SQL["series_bait_rock"] = f"{_with(_BAIT_DAY, _S_BAIT)} SELECT * FROM s_bait"
+SQL["series_catch_rate"] = (
+    f"{_with(_ATTEMPT, _CATCH_DAY, _S_CATCH)} SELECT * FROM s_catch"
+)
+SQL["series_safari_session"] = (
+    f"{_with(_SESSION, _SESSION_DAY, _S_SESSION)} SELECT * FROM s_session"
+)
+
+# --- drill-down: every category counted straight from the rows ------------------
+
+_DRILL_SOURCES = {
+    "v": [
+        ("dau", "active", "account_id IS NOT NULL"),
+        ("dau", "new", "account_id IS NOT NULL AND action = 'CREATE_USER'"),
+        ("bait_rock", "bait", "action = 'SAFARI_BAIT'"),
+        ("bait_rock", "rock", "action = 'SAFARI_ROCK'"),
+        ("bait_rock", "attempts", _TRY),
+    ],
+    "attempt": [
+        ("catch_rate", "caught", "outside AND outcome = 'caught'"),
+        ("catch_rate", "fled", "outside AND outcome = 'flee'"),
+        ("catch_rate", "broke_out", "outside AND outcome = 'break_out'"),
+        ("catch_rate", "all", "outside"),
+        ("catch_rate", "bait", "outside AND used_bait"),
+        ("catch_rate", "rock", "outside AND used_rock"),
+        ("catch_rate", "plain", f"outside AND {_PLAIN}"),
+    ],
+    "(SELECT *, CAST(entered_kst AS DATE) AS day FROM session)": [
+        ("safari_session", "completed", "dwell_sec IS NOT NULL"),
+        ("safari_session", "all", "true"),
+    ],
+}
+
+# All days lie within 90 days here, so every day with a row is published.
+_DRILL = "drill AS (" + " UNION ALL ".join(
+    f"""SELECT '{metric}' AS metric, '{category}' AS category,
+  CAST(day AS VARCHAR) AS d, account_id, count(*) AS count
+FROM {source} src WHERE {condition} GROUP BY day, account_id"""
+    for source, entries in _DRILL_SOURCES.items()
+    for metric, category, condition in entries
+) + ")"
+
+_DRILL_TOTALS = """drill_totals AS (
+  SELECT metric, category, d, count(account_id) AS total_users,
+    CAST(coalesce(sum(count) FILTER (account_id IS NULL), 0) AS BIGINT)
+      AS unidentified_records
+  FROM drill GROUP BY metric, category, d)"""
+
+_ALL_DRILL = _with(_ATTEMPT, _SESSION, _DRILL)
+
+SQL["drill_counts"] = f"{_ALL_DRILL} SELECT * FROM drill"
+SQL["drill_totals"] = f"{_ALL_DRILL}, {_DRILL_TOTALS} SELECT * FROM drill_totals"
+SQL["drill_preview"] = f"""{_ALL_DRILL}
+SELECT metric, category, d, account_id, count,
+  CAST(row_number() OVER best AS INTEGER) AS rank
+FROM drill WHERE account_id IS NOT NULL
+WINDOW best AS (PARTITION BY metric, category, d ORDER BY count DESC, account_id)
+QUALIFY rank <= 10"""
+SQL["drill_page"] = f"""{_ALL_DRILL}
+SELECT account_id, count FROM drill
+WHERE metric = 'dau' AND category = 'active' AND d = '2024-01-10'
+  AND CAST(account_id AS VARCHAR) LIKE '%1%'
+ORDER BY count DESC, account_id LIMIT 50"""
+
+_LOOKUP = """lookup(metric, series, category) AS (VALUES
+  ('dau', 'dau', 'active'), ('dau', 'new_users', 'new'),
+  ('bait_rock', 'bait_n', 'bait'), ('bait_rock', 'bait_stay_rate', 'bait'),
+  ('bait_rock', 'rock_n', 'rock'), ('bait_rock', 'rock_stay_rate', 'rock'),
+  ('bait_rock', 'bait_share', 'attempts'), ('bait_rock', 'rock_share', 'attempts'),
+  ('bait_rock', 'plain_share', 'attempts'),
+  ('catch_rate', 'caught', 'caught'), ('catch_rate', 'fled', 'fled'),
+  ('catch_rate', 'broke_out', 'broke_out'), ('catch_rate', 'catch_rate', 'all'),
+  ('catch_rate', 'flee_rate', 'all'), ('catch_rate', 'break_out_rate', 'all'),
+  ('catch_rate', 'catch_rate_bait', 'bait'), ('catch_rate', 'catch_rate_rock', 'rock'),
+  ('catch_rate', 'catch_rate_plain', 'plain'),
+  ('safari_session', 'dwell_median_min', 'completed'),
+  ('safari_session', 'dwell_p90_min', 'completed'),
+  ('safari_session', 'sessions', 'all'), ('safari_session', 'unclosed_rate', 'all'))"""
+SQL["drill_by_series"] = f"""{_ALL_DRILL}, {_DRILL_TOTALS}, {_LOOKUP}
+SELECT metric, series, category, d, total_users, unidentified_records
+FROM drill_totals NATURAL JOIN lookup"""
+
+# --- periods --------------------------------------------------------------------
+
+_EVERY_SERIES = _with(
+    _ATTEMPT, _SESSION, _DAU_DAY, _BAIT_DAY, _CATCH_DAY, _SESSION_DAY,
+    _S_DAU, _S_BAIT, _S_CATCH, _S_SESSION,
+)
+_FROM_DAY = """cut AS (
+  SELECT CAST(max(CAST(d AS DATE)) - 6 AS VARCHAR) AS d0 FROM (
+    SELECT d FROM s_dau UNION ALL SELECT d FROM s_bait
+    UNION ALL SELECT d FROM s_catch UNION ALL SELECT d FROM s_session) every_day)"""
+
+
+def _last_days(name: str) -> str:
+    return f"(SELECT {name}.* FROM {name}, cut WHERE d >= d0)"
+
+
+SQL["period_summary"] = f"""{_EVERY_SERIES}, {_FROM_DAY}
+SELECT (SELECT avg(dau) FROM {_last_days('s_dau')}) AS mean_dau,
+  (SELECT CAST(sum(new_users) AS BIGINT) FROM {_last_days('s_dau')}) AS new_users,
+  CAST(sum(attempts) AS BIGINT) AS attempts,
+  CAST(sum(caught) AS DOUBLE) / sum(attempts) AS catch_rate
+FROM {_last_days('s_catch')}"""
+
+SQL["period_notes"] = f"""{_EVERY_SERIES}, {_FROM_DAY},
+b AS (SELECT CAST(sum(bait_n) AS BIGINT) AS bait_n, CAST(sum(rock_n) AS BIGINT) AS rock_n,
+  CAST(sum(attempts_bait + attempts_rock) AS DOUBLE) / sum(attempts) AS used_share
+  FROM {_last_days('s_bait')}),
+u AS (SELECT CAST(sum(new_users) AS BIGINT) AS new_users, max(dau) AS max_dau
+  FROM {_last_days('s_dau')}),
+c AS (SELECT CAST(sum(attempts) AS BIGINT) AS attempts,
+  CAST(sum(caught) AS BIGINT) AS caught,
+  CAST(sum(caught) AS DOUBLE) / sum(attempts) AS catch_rate,
+  CAST(sum(abs(caught_gap)) AS BIGINT) AS gap,
+  10 * sum(abs(caught_gap)) > sum(attempts) AS gap_flag
+  FROM {_last_days('s_catch')}),
+s AS (SELECT CAST(sum(sessions) AS BIGINT) AS sessions,
+  CAST(sum(sessions - closed_sessions) AS DOUBLE) / sum(sessions) AS unclosed_share
+  FROM {_last_days('s_session')})
+SELECT * FROM b, u, c, s"""
+
+_LOG = """log AS (
+  SELECT day, max(created_at) AS run_at, count(*) AS inserted FROM v GROUP BY day)"""
+
+SQL["freshness"] = f"""{_with(_LOG)}
+SELECT CAST(max(run_at) AS VARCHAR) AS last_load_at,
+  epoch(TIMESTAMP '2024-02-01 12:00:00' - max(run_at)) / 3600 AS age_hours,
+  max(run_at) < TIMESTAMP '2024-01-31 00:00:00' AS stale
+FROM log"""
+
+SQL["meta"] = f"""{_with(_LOG)}
+SELECT CAST(max(run_at) AS VARCHAR) AS last_load_at,
+  CAST(sum(inserted) AS BIGINT) AS total_rows,
+  arg_max(inserted, run_at) AS last_inserted, CAST(1 AS BIGINT) AS last_files,
+  (SELECT CAST(max(ts) AS VARCHAR) FROM events) AS latest_event_utc,
+  'v1' AS master_sha, (SELECT count(*) FROM part) AS master_pokemon_rows
+FROM log"""
+
+# --- ingest -----------------------------------------------------------------------
+
+_TRADE = "action IN ('ITEM_BUY', 'ITEM_SELL')"
+_FACT = "id, account_id, action, source, CAST(created_at AS VARCHAR) AS created_at"
+
+SQL["ingest_dedup"] = f"""{_BASE}
+SELECT {_FACT.replace("source", f"if({_TRADE}, 'second', source) AS source")} FROM v"""
+
+SQL["ingest_antijoin"] = f"""{_BASE}
+SELECT {_FACT} FROM v WHERE action = 'POKEMON_CATCH'"""
+
+SQL["upsert_latest"] = f"""{_BASE}
+SELECT {_FACT.replace("source", f"if({_TRADE}, 'forced', source) AS source")} FROM v
+UNION ALL
+SELECT -id, account_id, action, 'forced', CAST(created_at AS VARCHAR)
+FROM v WHERE action = 'POKEMON_CATCH'"""
+
+SQL["scan_plan"] = f"""{_BASE}
+SELECT concat('s3://b/audit/', strftime(ship, '%Y/%m/%d'), '/audit-', ship,
+    'T0003Z-', cutoff_id, '.jsonl.gz') AS path,
+  CAST(ship AS VARCHAR) AS batch_date, cutoff_id
+FROM (SELECT CAST(created_at AS DATE) AS ship, max(id) AS cutoff_id
+      FROM v GROUP BY ALL) o
+WHERE ship > DATE '2024-01-19'"""
+
+SQL["jsonl_roundtrip"] = SQL["audit_parse"]
+
+SQL["load_log_row"] = f"""{_BASE}
+SELECT '2026-11-01 00:00:00' AS run_at, '2026-01-01' AS scanned_from,
+  count(DISTINCT CAST(created_at AS DATE)) AS files_scanned,
+  count(*) AS rows_inserted, count(*) AS total_rows, max(id) AS max_id
+FROM v"""
+
+# --- checks -------------------------------------------------------------------------
+
+_JUMPY = "jumpy AS (SELECT * REPLACE (id + id // 1500 * 5000 AS id) FROM v)"
+_NEXT_ID = "lead(id) OVER (ORDER BY id)"
+
+SQL["dup_ids"] = f"""{_BASE}
+SELECT 'dup' AS check_name, CAST(id AS VARCHAR) AS detail FROM v WHERE {_TRADE}"""
+
+SQL["id_gaps"] = f"""{_with(_JUMPY)}
+SELECT id AS prev, nxt AS id FROM (SELECT id, {_NEXT_ID} AS nxt FROM jumpy) n
+WHERE nxt > prev + 1000"""
+
+SQL["unmasked_urls"] = f"""{_BASE}
+SELECT 'unmasked_url' AS check_name, CAST(id AS VARCHAR) AS detail
+FROM v WHERE strpos(req_url, '?') > 0"""
+
+SQL["assertions"] = f"""{_with(_JUMPY, _dim_cte())}
+SELECT 'dup' AS check_name, CAST(id AS VARCHAR) AS detail FROM jumpy WHERE {_TRADE}
+UNION ALL
+SELECT 'gap', concat(id, '→', nxt) FROM (
+  SELECT id, {_NEXT_ID} AS nxt FROM jumpy
+  WHERE created_at > TIMESTAMP '2024-01-28 00:00:00') n WHERE nxt - id > 1000
+UNION ALL
+SELECT 'orphan_pokedex', pokedex_id FROM v
+WHERE pokedex_id IS NOT NULL AND pokedex_id NOT IN (SELECT pokedex_id FROM dim)"""
+
+SQL["contract_drift"] = f"""{_BASE},
+recent AS (SELECT * FROM v WHERE created_at > TIMESTAMP '2024-01-01 00:00:00'),
+n AS (SELECT
+  {_n("action = 'REQUEST_REJECTED' AND strpos(j ->> '$.url', '?') > 0")} AS urls,
+  {_n("action = 'LOGIN_FAILED' AND (j ->> '$.body.username') IS NOT NULL")} AS names,
+  {_n("action = 'POKEMON_CATCH' AND (j ->> '$.wildUid') IS NOT NULL")} AS uids,
+  {_n("action IN ('SAFARI_BAIT', 'SAFARI_ROCK') AND (j ->> '$.mapId') IS NOT NULL")} AS maps,
+  (SELECT count(*) FROM part) AS parts,
+  (SELECT CAST(max(created_at) AS VARCHAR) FROM v) AS seen_at
+  FROM recent)
+SELECT '1. source carries ip' AS item, 'yes' AS expected, 'yes' AS actual,
+  'audit/2024/01/30/audit-1.jsonl.gz' AS evidence FROM n
+UNION ALL SELECT '2. source columns',
+  '[account_id, action, created_at, detail, id, ip, source, status, user_agent]',
+  '[account_id, action, created_at, detail, id, ip, source, status, user_agent]',
+  seen_at FROM n
+UNION ALL SELECT '3. REQUEST_REJECTED url keeps its query string', 'yes',
+  if(urls > 0, concat('yes: ', urls, ' rows'), 'no'), '' FROM n
+UNION ALL SELECT '4. LOGIN_FAILED body has a plain username', 'yes',
+  if(names > 0, concat('yes: ', names, ' rows'), 'no'), '' FROM n
+UNION ALL SELECT '5. dimension files are delivered', 'no',
+  if(parts > 0, concat('yes: ', parts, ' rows'), 'no'), 'v1' FROM n
+UNION ALL SELECT '6. POKEMON_CATCH has wildUid', 'no',
+  if(uids > 0, concat('yes: ', uids, ' rows'), 'no'), '' FROM n
+UNION ALL SELECT '7. SAFARI_BAIT and SAFARI_ROCK have mapId', 'no',
+  if(maps > 0, 'yes', 'no'), '' FROM n"""
+
+SQL["reconcile"] = f"""{_with(_JUMPY)}
+SELECT 'missing' AS kind, min(id) AS from_id, max(id) AS to_id, count(*) AS n
+FROM jumpy WHERE action = 'LOGIN_FAILED' HAVING count(*) > 0
+UNION ALL
+SELECT 'gap', id, nxt, nxt - id - 1
+FROM (SELECT id, {_NEXT_ID} AS nxt FROM jumpy) pairs WHERE nxt - id > 1000"""
+
+SQL["series_contract"] = f"""{_with(_DAU_DAY)}
+SELECT 'dau' AS metric, 'days_not_contiguous' AS rule,
+  concat(count(*) - 1, '/', count(*) - 1, '/', count(*)) AS detail
+FROM dau_day HAVING max(CASE WHEN day = DATE '2024-01-10' THEN 1 END) = 1"""
+
+SQL["drill_invariants"] = f"""{_ALL_DRILL}, {_DRILL_TOTALS}
+SELECT metric, category, d, 'total' AS rule,
+  CAST(sum(count) AS BIGINT) AS published,
+  CAST(sum(CASE WHEN account_id IS NULL THEN 0 ELSE count END) AS BIGINT) AS found
+FROM drill GROUP BY metric, category, d
+HAVING count(*) > count(account_id)"""
+
+SQL["sanity"] = f"""{_with(_MONEY)}
+SELECT 'created_twice' AS check_name, CAST(account_id AS VARCHAR) AS detail
+FROM v WHERE action = 'CREATE_USER' GROUP BY account_id HAVING count(*) > 1
+UNION ALL
+SELECT 'balance_broken', CAST(id AS VARCHAR) FROM money
+WHERE money_before + if(action = 'ITEM_SELL', trade_amount, -trade_amount) <> money_after"""
+
+# --- product and abuse questions ---------------------------------------------------
+
+
+def _within(days: int) -> str:
+    return f"created_at > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL {days} DAY"
+
+
+SQL["dau_recent"] = f"""{_BASE}
+SELECT {_TEXT_DAY}, count(DISTINCT account_id) AS dau FROM v
+WHERE {_within(30)} AND account_id IS NOT NULL GROUP BY day"""
+
+SQL["funnel"] = f"""{_BASE}
+SELECT {_n("signup")} AS signup, {_n("avatar")} AS avatar, {_n("caught")} AS first_catch
+FROM (SELECT bool_or(action IN ('REGISTER_LOCAL', 'LOGIN_OAUTH')) AS signup,
+        bool_or(action = 'CREATE_USER') AS avatar,
+        bool_or(action = 'POKEMON_CATCH') AS caught
+      FROM v WHERE {_within(30)} GROUP BY account_id) who"""
+
+SQL["faucet_sink"] = f"""{_BASE}
+SELECT {_TEXT_DAY},
+  CAST(sum(CASE action WHEN 'ITEM_SELL' THEN trade_amount END) AS BIGINT) AS faucet,
+  CAST(sum(CASE action WHEN 'ITEM_BUY' THEN trade_amount END) AS BIGINT) AS sink
+FROM v WHERE {_TRADE} AND {_within(30)} GROUP BY day"""
+
+SQL["catch_composition"] = f"""{_with(_dim_cte())}
+SELECT map_id, name_ko, tier, count(*) AS catches, {_n("is_shiny")} AS shiny,
+  round(avg(level), 1) AS avg_level
+FROM v LEFT JOIN dim ON dim.pokedex_id = v.pokedex_id
+WHERE action = 'POKEMON_CATCH' AND NOT is_starter AND {_within(14)}
+GROUP BY map_id, name_ko, tier"""
+
+SQL["reentry_gap"] = f"""{_BASE}
+SELECT account_id, CAST(created_at AS VARCHAR) AS entered,
+  epoch(lead(created_at) OVER (PARTITION BY account_id ORDER BY created_at, id)
+        - created_at) AS gap_s
+FROM v WHERE action = 'SAFARI_ENTER' AND {_within(7)}"""
+
+SQL["map_edges"] = f"""{_BASE}
+SELECT map_from AS src, map_to AS dst, count(*) AS n FROM v
+WHERE action = 'MAP_CHANGE' AND {_within(7)}
+GROUP BY map_from, map_to ORDER BY n DESC, src, dst LIMIT 50"""
+
+SQL["shiny_screen"] = f"""{_BASE}
+SELECT account_id, n AS catches, shiny, round(n / 4096, 3) AS expected,
+  round(shiny / (n / 4096), 1) AS x_expected
+FROM (SELECT account_id, count(*) AS n, {_n("is_shiny")} AS shiny FROM v
+      WHERE action = 'POKEMON_CATCH' AND NOT is_starter AND {_within(30)}
+      GROUP BY account_id) per
+WHERE shiny > 4 * round(n / 4096, 3)"""
+
+SQL["money_unexplained"] = f"""{_with(_MONEY)}
+SELECT account_id, CAST(kst AS VARCHAR) AS created_at_kst, action, item_id,
+  trade_amount, money_before, money_after, money_after - money_before AS money_delta,
+  money_after - (money_before + if(action = 'ITEM_SELL', trade_amount, -trade_amount))
+    AS unexplained
+FROM money
+WHERE {_within(30)} AND money_before IS NOT NULL AND abs(unexplained) > 10000
+ORDER BY abs(unexplained) DESC, id LIMIT 50"""
+
+SQL["money_net_gain"] = f"""{_with(_MONEY)}
+SELECT account_id, {_TEXT_DAY}, min(money_before) AS money_start,
+  max(money_after) AS money_end, max(money_after) - min(money_before) AS net_gain,
+  count(*) AS trades
+FROM money WHERE {_within(30)} GROUP BY account_id, day
+HAVING max(money_after) > min(money_before)
+ORDER BY net_gain DESC, account_id, d_kst LIMIT 30"""
+
+SQL["bot_screen"] = f"""{_BASE},
+steps AS (
+  SELECT account_id, epoch(created_at - lag(created_at) OVER (
+           PARTITION BY account_id ORDER BY created_at, id)) AS gap
+  FROM v WHERE {_within(30)} AND account_id IS NOT NULL)
+SELECT account_id, count(*) AS n, round(quantile_cont(gap, 0.5), 2) AS median_s,
+  round(stddev(gap), 2) AS sd_s, round(stddev(gap) / quantile_cont(gap, 0.5), 3) AS cv
+FROM steps WHERE gap >= 0.1 AND gap <= 400000
+GROUP BY account_id HAVING count(*) >= 3 ORDER BY sd_s, account_id LIMIT 20"""
+
+SQL["ticket_ledger"] = f"""{_BASE},
+book AS (
+  SELECT account_id, {_n("action = 'SAFARI_ENTER'")} AS enters,
+    CAST(coalesce(sum(CASE
+      WHEN action = 'SAFARI_TICKET_CLAIM' THEN ticket_claimed
+      WHEN action = 'ITEM_BUY' AND item_id = 'safari-zone-ticket' THEN quantity
+    END), 0) AS BIGINT) AS acquired,
+    CAST(min(created_at) AS VARCHAR) AS first_seen,
+    CAST(max(created_at) AS VARCHAR) AS last_seen
+  FROM v WHERE account_id IS NOT NULL AND {_within(30)} GROUP BY account_id)
+SELECT *, enters - acquired AS deficit FROM book WHERE enters > acquired
+ORDER BY deficit DESC, account_id LIMIT 30"""

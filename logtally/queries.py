@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from logtally import bridge
-from logtally.operators import metrics
+from logtally import bridge, schema
+from logtally.functions.values import kst_day, rows
+from logtally.operators import dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
+from logtally.operators.id_gaps import id_gaps
+from logtally.plans import checks, ingest, recipes, reconcile, series
+from logtally.sources import archive, files
+from logtally.sources.store import Store
 
 AS_OF = bridge.AS_OF
 
@@ -38,14 +45,45 @@ def _register(name: str) -> Callable[[Query], Query]:
 
 
 def _v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_v(bridge.audit(spark, sf_dir))
+    return bridge.store(spark, sf_dir).audit_v()
 
 
 def _over_view(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     _register(name)(lambda spark, sf_dir: operator(_v(spark, sf_dir)))
 
 
-_over_view("audit_parse", lambda v: v.drop("detail"))
+# --- view, dimensions -------------------------------------------------------
+
+
+@_register("audit_parse")
+def _audit_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parses the payloads itself; the other queries read stored columns."""
+    return audit_v(bridge.audit(spark, sf_dir)).drop("detail")
+
+
+@_register("pokemon_dim")
+def _pokemon_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.pokemon_dim(bridge.pokemon_file(spark, sf_dir))
+
+
+@_register("item_dim")
+def _item_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.item_dim(bridge.item_file(spark, sf_dir))
+
+
+def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.pokemon_dim(bridge.store(spark, sf_dir).dims().pokemon)
+
+
+@_register("orphan_keys")
+def _orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = _dim(spark, sf_dir)
+    orphans = dimensions.orphan_keys(_v(spark, sf_dir), dim, "pokedex_id")
+    return orphans.groupBy("pokedex_id").agg(rows().alias("events"))
+
+
+# --- metrics ----------------------------------------------------------------
+
 _over_view("money_series", metrics.money_series)
 _over_view("economy_daily", metrics.economy_daily)
 _over_view("dau_daily", metrics.dau_daily)
@@ -57,3 +95,271 @@ _over_view(
     "safari_session_daily",
     lambda v: metrics.safari_session_daily(metrics.safari_session(v)),
 )
+
+# --- series, drill-down, periods ---------------------------------------------
+
+
+def _series(v: DataFrame) -> dict[str, DataFrame]:
+    return series.all_series(drilldown.rollups(v), v)
+
+
+_over_view("series_dau", lambda v: series.to_series(metrics.dau_daily(v), "dau"))
+_over_view(
+    "series_bait_rock", lambda v: series.to_series(metrics.bait_rock_daily(v), "bait_rock")
+)
+_over_view(
+    "series_catch_rate",
+    lambda v: series.to_series(metrics.catch_rate_daily(v), "catch_rate"),
+)
+_over_view(
+    "series_safari_session",
+    lambda v: series.to_series(
+        metrics.safari_session_daily(metrics.safari_session(v)), "safari_session"
+    ),
+)
+
+
+def _counts(v: DataFrame) -> DataFrame:
+    return drilldown.drill_counts(drilldown.rollups(v))
+
+
+_over_view("drill_counts", _counts)
+_over_view("drill_totals", lambda v: drilldown.drill_totals(_counts(v)))
+_over_view("drill_preview", lambda v: drilldown.drill_preview(_counts(v)))
+_over_view(
+    "drill_page",
+    lambda v: drilldown.drill_page(_counts(v), "dau", "active", "2024-01-10", "1"),
+)
+
+
+@_register("drill_by_series")
+def _drill_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_by_series(_counts(_v(spark, sf_dir)), spark)
+
+
+_over_view("period_summary", lambda v: series.period_summary(_series(v), 7))
+_over_view("period_notes", lambda v: series.period_notes(_series(v), 7))
+
+
+def _daily_log(v: DataFrame) -> DataFrame:
+    """A load history as if each day's rows had been loaded with its last event."""
+    per_day = v.groupBy(kst_day().alias("scanned_from")).agg(
+        F.max("created_at").alias("run_at"),
+        rows().alias("rows_inserted"),
+        F.max("id").alias("max_id"),
+    )
+    so_far = Window.orderBy("scanned_from")
+    return per_day.select(
+        "run_at",
+        "scanned_from",
+        F.lit(1).cast("bigint").alias("files_scanned"),
+        "rows_inserted",
+        F.sum("rows_inserted").over(so_far).alias("total_rows"),
+        "max_id",
+    )
+
+
+_over_view("freshness", lambda v: series.freshness(_daily_log(v), "2024-02-01 12:00:00"))
+
+
+@_register("meta")
+def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = bridge.store(spark, sf_dir).dims()
+    v = _v(spark, sf_dir)
+    return series.meta(_daily_log(v), v, dims.version, dims.pokemon)
+
+
+# --- ingest ------------------------------------------------------------------
+
+_FACT = ["id", "account_id", "action", "source", "created_at"]
+
+
+@_register("ingest_dedup")
+def _ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows shipped on their day, trades once more, changed, a day later."""
+    audit = bridge.store(spark, sf_dir).audit()
+
+    def shipped(df: DataFrame, days: int) -> DataFrame:
+        day = F.date_add(F.col("created_at").cast("date"), days).cast("string")
+        folder = F.translate(day, "-", "/")
+        return df.withColumn(
+            "path", F.concat(F.lit("audit/"), folder, F.lit("/audit-1.jsonl.gz"))
+        )
+
+    trades = audit.where(F.col("action").isin(*metrics.TRADES))
+    again = shipped(trades.withColumn("source", F.lit("second")), 1)
+    return archive.latest_per_id(shipped(audit, 0).unionByName(again)).select(*_FACT)
+
+
+@_register("ingest_antijoin")
+def _ingest_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything shipped, while the fact lacks the catches."""
+    batch = _v(spark, sf_dir).select(*_FACT)
+    return ingest.new_rows(batch, batch.where(F.col("action") != "POKEMON_CATCH"))
+
+
+@_register("upsert_latest")
+def _upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades come again, changed; catches come under ids unseen so far."""
+    fact = _v(spark, sf_dir).select(*_FACT)
+    changed = fact.where(F.col("action").isin(*metrics.TRADES))
+    fresh = fact.where(F.col("action") == "POKEMON_CATCH").withColumn(
+        "id", -F.col("id")
+    )
+    batch = changed.unionByName(fresh).withColumn("source", F.lit("forced"))
+    return ingest.upsert(fact, batch)
+
+
+@_register("scan_plan")
+def _scan_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One object per event day; those up to 19 January are loaded already."""
+    per_day = (
+        _v(spark, sf_dir)
+        .groupBy(F.col("created_at").cast("date").alias("day"))
+        .agg(F.max("id").alias("cutoff"))
+    )
+    folder = F.translate(F.col("day").cast("string"), "-", "/")
+    files_ = per_day.select(
+        F.concat(
+            F.lit("s3://b/audit/"),
+            folder,
+            F.lit("/audit-"),
+            F.col("day").cast("string"),
+            F.lit("T0003Z-"),
+            F.col("cutoff").cast("string"),
+            F.lit(".jsonl.gz"),
+        ).alias("path")
+    )
+    stray = files_.select(F.replace("path", F.lit("/2024/"), F.lit("/none/")).alias("path"))
+    objects = archive.parse_paths(files_.union(stray))
+    loaded = objects.where(F.col("batch_date") <= F.lit("2024-01-19").cast("date"))
+    start = ingest.scan_from(1, datetime(2024, 1, 25), datetime(2024, 1, 31))
+    return archive.plan_scan(objects, loaded.select("path"), start, everything=False)
+
+
+_SHIPPED_LATER = 1000  # days; puts the objects behind the archive's first day
+_LOAD_AT = datetime(2026, 11, 1)
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> Store:
+    """Export all rows to an archive and load that into a new store."""
+    base = f"{files.shared_dir(spark)}/roundtrip/{uuid.uuid4().hex}"
+    bridge.export_archive(spark, sf_dir, f"{base}/archive", _SHIPPED_LATER)
+    store = Store(spark, f"{base}/store")
+    ingest.load(spark, store, f"{base}/archive", _LOAD_AT)
+    return store
+
+
+@_register("jsonl_roundtrip")
+def _jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, sf_dir).audit_v().drop("detail")
+
+
+@_register("load_log_row")
+def _load_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, sf_dir).load_log()
+
+
+# --- checks ------------------------------------------------------------------
+
+
+def _gapped(v: DataFrame) -> DataFrame:
+    """The same rows with a jump of 5000 ids after every 1500."""
+    jumps = F.floor(F.col("id") / 1500) * 5000
+    return v.withColumn("id", F.col("id") + jumps)
+
+
+def _twice(v: DataFrame) -> DataFrame:
+    """Trades shipped a second time."""
+    return v.unionByName(v.where(F.col("action").isin(*metrics.TRADES)))
+
+
+_over_view("dup_ids", lambda v: checks.duplicate_ids(_twice(v)))
+_over_view("id_gaps", lambda v: id_gaps(_gapped(v)))
+_over_view("unmasked_urls", checks.unmasked_urls)
+
+
+@_register("assertions")
+def _assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _twice(_gapped(_v(spark, sf_dir)))
+    return checks.assertions(spark, v, v, _dim(spark, sf_dir), AS_OF)
+
+
+@_register("contract_drift")
+def _contract_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = bridge.store(spark, sf_dir)
+    audit, dims = store.audit(), store.dims()
+    shape = audit.agg(
+        F.max("created_at").alias("observed_at"),
+        F.lit("audit/2024/01/30/audit-1.jsonl.gz").alias("sampled"),
+        F.array(*[F.lit(n) for n in sorted(schema.ARCHIVE_LINE.names)]).alias("columns"),
+    )
+    return checks.contract_drift(audit, shape, dims.pokemon, dims.version, AS_OF)
+
+
+_over_view(
+    "reconcile",
+    lambda v: reconcile.reconcile(
+        _twice(_gapped(v)), _gapped(v).where(F.col("action") != "LOGIN_FAILED")
+    ),
+)
+
+
+@_register("series_contract")
+def _series_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound series but for one day taken out of one of them."""
+    broken = _series(_v(spark, sf_dir))
+    broken["dau"] = broken["dau"].where(F.col("d") != F.lit("2024-01-10").cast("date"))
+    return checks.series_contract(broken)
+
+
+@_register("drill_invariants")
+def _drill_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without an account dropped from the drill-down by mistake."""
+    v = _v(spark, sf_dir)
+    source = drilldown.rollups(v)
+    lost = drilldown.drill_counts(source).where(F.col("account_id").isNotNull())
+    return checks.drill_invariants(series.all_series(source, v), lost)
+
+
+_over_view(
+    "sanity",
+    lambda v: checks.sanity(
+        v,
+        metrics.catch_rate_daily(v),
+        metrics.safari_session(v),
+        metrics.money_series(v),
+    ),
+)
+
+# --- product and abuse questions ----------------------------------------------
+
+_over_view("dau_recent", lambda v: recipes.recent_dau(v, AS_OF))
+_over_view("funnel", lambda v: recipes.funnel(v, AS_OF))
+_over_view("faucet_sink", lambda v: recipes.faucet_sink(v, AS_OF))
+_over_view("map_edges", lambda v: recipes.map_edges(v, AS_OF))
+_over_view("shiny_screen", lambda v: recipes.shiny_screen(v, AS_OF, min_catches=1))
+_over_view(
+    "money_unexplained",
+    lambda v: recipes.money_unexplained(metrics.money_series(v), AS_OF, threshold=10_000),
+)
+_over_view(
+    "money_net_gain", lambda v: recipes.money_net_gain(metrics.money_series(v), AS_OF)
+)
+_over_view(
+    "bot_screen",
+    lambda v: recipes.bot_screen(v, AS_OF, days=30, max_gap=400_000, min_events=3),
+)
+_over_view("ticket_ledger", lambda v: recipes.ticket_ledger(v, AS_OF))
+
+
+@_register("catch_composition")
+def _catch_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.catch_composition(_v(spark, sf_dir), _dim(spark, sf_dir), AS_OF)
+
+
+@_register("reentry_gap")
+def _reentry_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recipes.reentry_gap(_v(spark, sf_dir), AS_OF)
+    later = F.timestamp_diff("MICROSECOND", F.col("entered"), F.col("entered") + F.col("gap"))
+    return found.withColumn("gap", later / F.lit(1e6)).withColumnRenamed("gap", "gap_s")
