@@ -83,7 +83,7 @@ session AS (
     kst AS entered_kst, coalesce(nxt.act = 'SAFARI_EXIT', false) AS closed,
     if(nxt.act = 'SAFARI_EXIT', nxt.map, NULL) AS exit_map,
     if(nxt.act = 'SAFARI_EXIT', nxt.at, NULL) AS exited_at,
-    if(nxt.act = 'SAFARI_EXIT', epoch(nxt.at - created_at), NULL) AS dwell_sec
+    if(nxt.act = 'SAFARI_EXIT', date_diff('us', created_at, nxt.at) / 1000000, NULL) AS dwell_sec
   FROM moves WHERE action = 'SAFARI_ENTER')"""
 
 
@@ -173,7 +173,7 @@ SQL["money_series"] = f"""{_with(_MONEY)}
 SELECT id, account_id, CAST(created_at AS VARCHAR) AS created_at,
   CAST(kst AS VARCHAR) AS created_at_kst, action, item_id, quantity,
   trade_amount, money_after, money_after - money_before AS money_delta,
-  money_before, epoch(created_at - before_at) AS secs_since_prev
+  money_before, date_diff('us', before_at, created_at) / 1000000 AS secs_since_prev
 FROM money"""
 
 SQL["economy_daily"] = f"""{_BASE}
@@ -207,7 +207,9 @@ SELECT account_id, entry_map, exit_map, CAST(entered_at AS VARCHAR) AS entered_a
 FROM session"""
 
 SQL["safari_session_daily"] = f"""{_with(_SESSION, _SESSION_DAY)}
-SELECT {_TEXT_DAY}, * EXCLUDE (day) FROM session_day"""
+SELECT {_TEXT_DAY}, * EXCLUDE (day) REPLACE (
+  round(dwell_median_sec, 6) AS dwell_median_sec, round(dwell_p90_sec, 6) AS dwell_p90_sec)
+FROM session_day"""
 
 # --- dimensions ---------------------------------------------------------------
 
@@ -578,8 +580,8 @@ GROUP BY map_id, name_ko, tier"""
 
 SQL["reentry_gap"] = f"""{_BASE}
 SELECT account_id, CAST(created_at AS VARCHAR) AS entered,
-  epoch(lead(created_at) OVER (PARTITION BY account_id ORDER BY created_at, id)
-        - created_at) AS gap_s
+  date_diff('us', created_at, lead(created_at) OVER (
+    PARTITION BY account_id ORDER BY created_at, id)) / 1000000 AS gap_s
 FROM v WHERE action = 'SAFARI_ENTER' AND {_within(7)}"""
 
 SQL["map_edges"] = f"""{_BASE}
@@ -614,8 +616,8 @@ ORDER BY net_gain DESC, account_id, d_kst LIMIT 30"""
 
 SQL["bot_screen"] = f"""{_BASE},
 steps AS (
-  SELECT account_id, epoch(created_at - lag(created_at) OVER (
-           PARTITION BY account_id ORDER BY created_at, id)) AS gap
+  SELECT account_id, date_diff('us', lag(created_at) OVER (
+           PARTITION BY account_id ORDER BY created_at, id), created_at) / 1000000 AS gap
   FROM v WHERE {_within(30)} AND account_id IS NOT NULL)
 SELECT account_id, count(*) AS n, round(quantile_cont(gap, 0.5), 2) AS median_s,
   round(stddev(gap), 2) AS sd_s, round(stddev(gap) / quantile_cont(gap, 0.5), 3) AS cv

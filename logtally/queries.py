@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from logtally import bridge, schema
-from logtally.functions.values import kst_day, rows
+from logtally.functions.values import kst_day, round_to, rows
 from logtally.operators import dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
 from logtally.operators.id_gaps import id_gaps
@@ -91,10 +91,17 @@ _over_view("bait_rock_daily", metrics.bait_rock_daily)
 _over_view("catch_attempt", metrics.catch_attempt)
 _over_view("catch_rate_daily", metrics.catch_rate_daily)
 _over_view("safari_session", metrics.safari_session)
-_over_view(
-    "safari_session_daily",
-    lambda v: metrics.safari_session_daily(metrics.safari_session(v)),
-)
+
+
+@_register("safari_session_daily")
+def _safari_session_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles to the microsecond; engines differ in the last bit beyond it."""
+    sessions = metrics.safari_session(_v(spark, sf_dir))
+    daily = metrics.safari_session_daily(sessions)
+    for name in ("dwell_median_sec", "dwell_p90_sec"):
+        daily = daily.withColumn(name, round_to(F.col(name), 6))
+    return daily
+
 
 # --- series, drill-down, periods ---------------------------------------------
 
