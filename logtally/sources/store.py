@@ -1,12 +1,12 @@
 """The fact table, load history and dimensions as committed runs on Parquet.
 
-    <root>/runs/<name>/audit/d_kst=.../   rows, typed columns beside ``detail``
-    <root>/runs/<name>/{objects,log,shape,pokemon,item,version}
-    <root>/commits/<number>.json          makes exactly one run visible
+    <root>/audit/run=<name>/d_kst=.../   rows, typed columns beside ``detail``
+    <root>/<part>/run=<name>/            objects, log, shape, pokemon, item, version
+    <root>/commits/<number>.json         makes exactly one run visible
 
 A run's files are written first and its commit file last, in one rename. What
 has no commit file is not there: a failed run leaves nothing visible, and a
-retry writes a new folder. One writer at a time is assumed, and a second one
+retry writes new folders. One writer at a time is assumed, and a second one
 fails at the commit.
 
     append   new rows, ids unseen before
@@ -54,7 +54,7 @@ class RunWriter:
     max_id: int | None = None
 
     def path(self, part: str) -> str:
-        return f"{self.store.root}/runs/{self.name}/{part}"
+        return self.store.path(part, self.name)
 
     def write(self, part: str, df: DataFrame) -> None:
         df.write.parquet(self.path(part))
@@ -143,14 +143,18 @@ class Store:
     def new_run(self, kind: str) -> RunWriter:
         return RunWriter(self, kind)
 
-    # --- facts -----------------------------------------------------------
+    def path(self, part: str, name: str) -> str:
+        return f"{self.root}/{part}/run={name}"
 
     def _part(self, run: Run, part: str) -> str:
-        return f"{self.root}/runs/{run.name}/{part}"
+        return self.path(part, run.name)
+
+    # --- facts -----------------------------------------------------------
 
     def _typed_schema(self) -> T.StructType:
-        empty = self.spark.createDataFrame([], schema.AUDIT)
-        return audit_v(empty).withColumn("d_kst", kst_day()).schema
+        empty = audit_v(self.spark.createDataFrame([], schema.AUDIT))
+        folders = {"run": F.lit(""), "d_kst": kst_day()}
+        return empty.withColumns(folders).schema
 
     def _stored(self) -> DataFrame:
         typed = self._typed_schema()
@@ -161,7 +165,8 @@ class Store:
         pending: list[Run] = []
 
         def read(some: list[Run]) -> DataFrame:
-            return self.spark.read.schema(typed).parquet(*[self._part(r, "audit") for r in some])
+            reader = self.spark.read.schema(typed).option("basePath", f"{self.root}/audit")
+            return reader.parquet(*[self._part(r, "audit") for r in some])
 
         def add(table: DataFrame | None, more: DataFrame) -> DataFrame:
             return more if table is None else table.unionByName(more)
@@ -186,7 +191,7 @@ class Store:
         if days is not None:
             first, last = (F.lit(str(d)).cast("date") for d in days)
             stored = stored.where(F.col("d_kst").between(first, last))
-        return stored.drop("d_kst")
+        return stored.drop("run", "d_kst")
 
     def audit(self, days: tuple | None = None) -> DataFrame:
         """The eight stored columns of the fact table."""
