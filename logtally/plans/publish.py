@@ -45,7 +45,7 @@ def publish(store: Store, out: str, built_at) -> str:
     shot.totals.coalesce(1).write.json(f"{folder}/totals")
     shot.preview.coalesce(1).write.json(f"{folder}/preview")
     files.remove(spark, f"{folder}/staged")
-    number = _last(spark, root) + 1
+    number = files.last_number(spark, f"{root}/commits") + 1
     record = {"schema_version": 1, "build_id": build, "built_at": str(built_at)}
     files.create(spark, f"{root}/commits/{number:012d}.json", json.dumps(record))
     return folder
@@ -54,11 +54,11 @@ def publish(store: Store, out: str, built_at) -> str:
 def current(spark: SparkSession, out: str) -> str | None:
     """Folder of the newest complete build."""
     root = out.rstrip("/")
-    last = _last(spark, root)
+    last = files.last_number(spark, f"{root}/commits")
     if last == 0:
         return None
-    record = spark.read.json(f"{root}/commits/{last:012d}.json").first()
-    return f"{root}/builds/{record.build_id}"
+    record = json.loads(files.read_text(spark, f"{root}/commits/{last:012d}.json"))
+    return f"{root}/builds/{record['build_id']}"
 
 
 def read_details(spark: SparkSession, folder: str, metric: str, day) -> DataFrame:
@@ -70,11 +70,6 @@ def read_details(spark: SparkSession, folder: str, metric: str, day) -> DataFram
     )
 
 
-def _last(spark: SparkSession, root: str) -> int:
-    names = files.children(spark, f"{root}/commits")
-    return max((int(n[:12]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
-
-
 def _array(frame: DataFrame, path: str) -> None:
     """At most 90 rows as one JSON array, in the order of days; [] if empty."""
     row = F.struct(*frame.columns)

@@ -42,7 +42,7 @@ def snapshot(store: Store) -> Snapshot:
     return from_rollups(
         source,
         all_series(source, v),
-        meta(fixed.load_log(), v, dims.version, dims.pokemon),
+        meta(fixed.load_log(), fixed.latest_event(), dims.version, dims.pokemon),
     )
 
 
@@ -75,5 +75,5 @@ def staged_snapshot(store: Store, folder: str) -> Snapshot:
         name: put(f"series/{name}", to_series(frame, name)).orderBy("d")
         for name, frame in daily.items()
     }
-    row = meta(fixed.load_log(), v, dims.version, dims.pokemon)
+    row = meta(fixed.load_log(), fixed.latest_event(), dims.version, dims.pokemon)
     return from_rollups(source, series, row)

@@ -43,6 +43,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def last_number(spark: SparkSession, folder: str) -> int:
+    """Highest number among files named like 000000000042.json; 0 if none."""
+    names = [n for n in children(spark, folder) if n.endswith(".json") and n[0].isdigit()]
+    return max((int(n.removesuffix(".json")) for n in names), default=0)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def create(spark: SparkSession, path: str, text: str) -> None:
     """Write a new small file that appears whole or not at all.
 

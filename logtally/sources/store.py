@@ -2,12 +2,13 @@
 
     <root>/audit/run=<name>/d_kst=.../   rows, typed columns beside ``detail``
     <root>/<part>/run=<name>/            objects, log, shape, pokemon, item, version
-    <root>/commits/<number>.json         makes exactly one run visible
+    <root>/commits/<number>.json         the list of all runs that count
 
-A run's files are written first and its commit file last, in one rename. What
-has no commit file is not there: a failed run leaves nothing visible, and a
-retry writes new folders. One writer at a time is assumed, and a second one
-fails at the commit.
+A run's files are written first, then one rename adds a commit file that lists
+them. What no commit lists is not there: a failed run leaves nothing visible,
+and a retry writes new folders. Readers open one small file, the newest commit,
+or an older one for an older version. One writer at a time is assumed, and a
+second one fails at the commit.
 
     append   new rows, ids unseen before
     force    rows that replace earlier rows of the same id
@@ -19,12 +20,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtally import schema
-from logtally.functions.values import kst_day, rows
+from logtally.functions.values import instant, kst_day, rows, to_kst
 from logtally.operators.audit_view import audit_v
 from logtally.sources import files
 from logtally.sources.dims import Dims, stub
@@ -34,12 +36,12 @@ _AUDIT_COLUMNS = [f.name for f in schema.AUDIT.fields]
 
 @dataclass(frozen=True)
 class Run:
-    number: int
     name: str
     kind: str
     parts: tuple[str, ...] = ()
     min_id: int | None = None
     max_id: int | None = None
+    latest_event: str | None = None
 
 
 @dataclass
@@ -52,6 +54,7 @@ class RunWriter:
     parts: list[str] = field(default_factory=list)
     min_id: int | None = None
     max_id: int | None = None
+    latest_event: str | None = None
 
     def path(self, part: str) -> str:
         return self.store.path(part, self.name)
@@ -78,35 +81,38 @@ class RunWriter:
             .parquet(self.path("audit"))
         )
         self.parts.append("audit")
-        span = self.store.spark.read.parquet(self.path("audit")).agg(
-            F.min("id"), F.max("id")
+        written = self.store.spark.read.schema(_typed_columns(self.store.spark))
+        self.min_id, self.max_id, self.latest_event = (
+            written.parquet(self.path("audit"))
+            .agg(F.min("id"), F.max("id"), F.max("created_at").cast("string"))
+            .first()
         )
-        self.min_id, self.max_id = span.first()
 
     def commit(self) -> None:
-        number = self.store.last_number() + 1
-        record = {
-            "number": number,
-            "name": self.name,
-            "kind": self.kind,
-            "parts": self.parts,
-            "min_id": self.min_id,
-            "max_id": self.max_id,
-        }
-        path = f"{self.store.root}/commits/{number:012d}.json"
-        files.create(self.store.spark, path, json.dumps(record))
-
-
-_COMMIT = T.StructType(
-    [
-        T.StructField("number", T.LongType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("parts", T.ArrayType(T.StringType())),
-        T.StructField("min_id", T.LongType()),
-        T.StructField("max_id", T.LongType()),
-    ]
-)
+        store = Store(self.store.spark, self.store.root)
+        number = store.last_number()
+        runs = store.committed()
+        if self.kind == "compact":
+            runs = [replace(r, parts=tuple(p for p in r.parts if p != "audit")) for r in runs]
+        runs.append(
+            Run(
+                self.name,
+                self.kind,
+                tuple(self.parts),
+                self.min_id,
+                self.max_id,
+                self.latest_event,
+            )
+        )
+        text = json.dumps([asdict(r) for r in runs])
+        files.create(store.spark, store.commit_path(number + 1), text)
+
+
+@cache
+def _typed_columns(spark: SparkSession) -> T.StructType:
+    """Schema of the stored rows, folders included."""
+    empty = audit_v(spark.createDataFrame([], schema.AUDIT))
+    return empty.withColumns({"run": F.lit(""), "d_kst": kst_day()}).schema
 
 
 class Store:
@@ -119,26 +125,23 @@ class Store:
 
     # --- commits ---------------------------------------------------------
 
+    def commit_path(self, number: int) -> str:
+        return f"{self.root}/commits/{number:012d}.json"
+
     def last_number(self) -> int:
-        names = files.children(self.spark, f"{self.root}/commits")
-        return max((int(n[:12]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
+        return files.last_number(self.spark, f"{self.root}/commits")
 
     def snapshot(self) -> "Store":
         """This store frozen at its newest commit: one version for many reads."""
         return Store(self.spark, self.root, self.last_number())
 
     def committed(self) -> list[Run]:
-        """One small record per run (daily), newest last."""
-        if self.last_number() == 0:
+        """The runs that count, oldest first: one small record per load."""
+        number = self.last_number() if self.at is None else self.at
+        if number == 0:
             return []
-        records = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-        if self.at is not None:
-            records = records.where(F.col("number") <= self.at)
-        runs = [
-            Run(r.number, r.name, r.kind, tuple(r.parts or ()), r.min_id, r.max_id)
-            for r in records.collect()
-        ]
-        return sorted(runs, key=lambda r: r.number)
+        records = json.loads(files.read_text(self.spark, self.commit_path(number)))
+        return [Run(**{**r, "parts": tuple(r["parts"])}) for r in records]
 
     def new_run(self, kind: str) -> RunWriter:
         return RunWriter(self, kind)
@@ -151,38 +154,32 @@ class Store:
 
     # --- facts -----------------------------------------------------------
 
-    def _typed_schema(self) -> T.StructType:
-        empty = audit_v(self.spark.createDataFrame([], schema.AUDIT))
-        folders = {"run": F.lit(""), "d_kst": kst_day()}
-        return empty.withColumns(folders).schema
-
     def _stored(self) -> DataFrame:
-        typed = self._typed_schema()
-        runs = [r for r in self.committed() if "audit" in r.parts]
-        compacted = [i for i, r in enumerate(runs) if r.kind == "compact"]
-        runs = runs[compacted[-1] :] if compacted else runs
-        table = None
-        pending: list[Run] = []
+        typed = _typed_columns(self.spark)
+        table: DataFrame | None = None
+        waiting: list[Run] = []
 
-        def read(some: list[Run]) -> DataFrame:
+        def read(runs: list[Run]) -> DataFrame:
             reader = self.spark.read.schema(typed).option("basePath", f"{self.root}/audit")
-            return reader.parquet(*[self._part(r, "audit") for r in some])
+            return reader.parquet(*[self._part(r, "audit") for r in runs])
 
-        def add(table: DataFrame | None, more: DataFrame) -> DataFrame:
+        def add(more: DataFrame) -> DataFrame:
             return more if table is None else table.unionByName(more)
 
-        for run in runs:
-            if run.kind != "force":
-                pending.append(run)
+        for run in self.committed():
+            if "audit" not in run.parts:
                 continue
-            if pending:
-                table, pending = add(table, read(pending)), []
-            forced = read([run])
-            if table is not None:
-                table = _without_ids(table, forced, run.min_id, run.max_id)
-            table = add(table, forced)
-        if pending:
-            table = add(table, read(pending))
+            if run.kind == "force":
+                if waiting:
+                    table, waiting = add(read(waiting)), []
+                forced = read([run])
+                if table is not None:
+                    table = _without_ids(table, forced, run.min_id, run.max_id)
+                table = add(forced)
+            else:
+                waiting.append(run)
+        if waiting:
+            table = add(read(waiting))
         return self.spark.createDataFrame([], typed) if table is None else table
 
     def audit_v(self, days: tuple | None = None) -> DataFrame:
@@ -197,6 +194,28 @@ class Store:
         """The eight stored columns of the fact table."""
         return self.audit_v(days).select(*_AUDIT_COLUMNS)
 
+    def recent(self, as_of, days: int) -> DataFrame:
+        """The typed view from ``days`` before ``as_of`` on, whole local days.
+
+        For questions about a recent window: older day folders are not read.
+        """
+        first = instant(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
+        stored = self._stored().where(F.col("d_kst") >= to_kst(first).cast("date"))
+        return stored.drop("run", "d_kst")
+
+    def latest_event(self) -> DataFrame:
+        """Time of the newest event, one row, from the commits where they tell.
+
+        A forced run may have replaced the newest row, so then the rows count.
+        """
+        runs = [r for r in self.committed() if "audit" in r.parts]
+        if any(r.kind == "force" for r in runs):
+            return self.audit_v().agg(F.max("created_at").alias("created_at"))
+        newest = max((r.latest_event for r in runs if r.latest_event), default=None)
+        return self.spark.range(1).select(
+            F.lit(newest).cast("timestamp_ntz").alias("created_at")
+        )
+
     def compact(self) -> None:
         """Rewrite all rows as one run; worth it after forced or many small runs."""
         run = self.new_run("compact")
