@@ -39,11 +39,17 @@ def upsert(fact: DataFrame, batch: DataFrame) -> DataFrame:
     return new_rows(fact, batch).unionByName(batch)
 
 
-def log_row(last: Row | None, as_of, window, objects: int, inserted: int, max_id) -> tuple:
+def log_row(last: Row | None, as_of, window, objects: int, inserted: int, max_id) -> Row:
     """Load history row; totals follow from the last row, not from a rescan."""
-    total = (last.total_rows if last else 0) + inserted
     known = [i for i in (last.max_id if last else None, max_id) if i is not None]
-    return (as_of, window, objects, inserted, total, max(known, default=None))
+    return Row(
+        run_at=as_of,
+        scanned_from=window,
+        files_scanned=objects,
+        rows_inserted=inserted,
+        total_rows=(last.total_rows if last else 0) + inserted,
+        max_id=max(known, default=None),
+    )
 
 
 def load(
@@ -55,11 +61,11 @@ def load(
     Nothing is visible unless everything was written: rows, objects and log
     become visible with one commit.
     """
-    last = store.load_log().orderBy(F.desc("run_at"), F.desc("total_rows")).first()
+    last = (store.log_rows() or [None])[-1]
     rows_before = last.total_rows if last else 0
     window = scan_from(rows_before, last.run_at if last else None, as_of)
     plan = archive.plan_scan(
-        archive.list_objects(spark, base),
+        archive.list_objects(spark, base, window),
         store.loaded_objects(),
         window,
         everything=force or rows_before == 0,
@@ -72,13 +78,16 @@ def load(
     if paths:
         inserted = _write_rows(spark, store, run, paths, force, rows_before)
         loaded = spark.createDataFrame([(p,) for p in paths], "path string")
-        run.write("objects", loaded.withColumn("loaded_at", instant(as_of)))
-        shape = [(as_of, paths[0], archive.source_columns(spark, paths[0]))]
-        run.write("shape", spark.createDataFrame(shape, schema.SOURCE_SHAPE))
+        run.write("objects", loaded.withColumn("loaded_at", instant(as_of)).coalesce(1))
+        run.shape = {
+            "observed_at": as_of,
+            "sampled": paths[0],
+            "columns": archive.source_columns(spark, paths[0]),
+        }
     row = log_row(last, as_of, window, len(paths), inserted, run.max_id)
-    run.write("log", spark.createDataFrame([row], schema.LOAD_LOG).coalesce(1))
+    run.log = row.asDict()
     run.commit()
-    return Row(*schema.LOAD_LOG.names)(*row)
+    return row
 
 
 def _write_rows(

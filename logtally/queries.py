@@ -171,9 +171,10 @@ _over_view("freshness", lambda v: series.freshness(_daily_log(v), "2024-02-01 12
 
 @_register("meta")
 def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dims = bridge.store(spark, sf_dir).dims()
-    v = _v(spark, sf_dir)
-    return series.meta(_daily_log(v), v, dims.version, dims.pokemon)
+    store = bridge.store(spark, sf_dir)
+    dims = store.dims()
+    log = _daily_log(store.audit_v())
+    return series.meta(log, store.latest_event(), dims.version, dims.pokemon)
 
 
 # --- ingest ------------------------------------------------------------------
@@ -341,11 +342,20 @@ _over_view(
 
 # --- product and abuse questions ----------------------------------------------
 
-_over_view("dau_recent", lambda v: recipes.recent_dau(v, AS_OF))
-_over_view("funnel", lambda v: recipes.funnel(v, AS_OF))
-_over_view("faucet_sink", lambda v: recipes.faucet_sink(v, AS_OF))
-_over_view("map_edges", lambda v: recipes.map_edges(v, AS_OF))
-_over_view("shiny_screen", lambda v: recipes.shiny_screen(v, AS_OF, min_catches=1))
+
+
+def _recent(name: str, days: int, operator: Callable[[DataFrame], DataFrame]) -> None:
+    """Over the window that the operator itself asks for, without older folders."""
+    _register(name)(
+        lambda spark, sf_dir: operator(bridge.store(spark, sf_dir).recent(AS_OF, days))
+    )
+
+
+_recent("dau_recent", 30, lambda v: recipes.recent_dau(v, AS_OF))
+_recent("funnel", 30, lambda v: recipes.funnel(v, AS_OF))
+_recent("faucet_sink", 30, lambda v: recipes.faucet_sink(v, AS_OF))
+_recent("map_edges", 7, lambda v: recipes.map_edges(v, AS_OF))
+_recent("shiny_screen", 30, lambda v: recipes.shiny_screen(v, AS_OF, min_catches=1))
 _over_view(
     "money_unexplained",
     lambda v: recipes.money_unexplained(metrics.money_series(v), AS_OF, threshold=10_000),
@@ -353,20 +363,22 @@ _over_view(
 _over_view(
     "money_net_gain", lambda v: recipes.money_net_gain(metrics.money_series(v), AS_OF)
 )
-_over_view(
+_recent(
     "bot_screen",
+    30,
     lambda v: recipes.bot_screen(v, AS_OF, days=30, max_gap=400_000, min_events=3),
 )
-_over_view("ticket_ledger", lambda v: recipes.ticket_ledger(v, AS_OF))
+_recent("ticket_ledger", 30, lambda v: recipes.ticket_ledger(v, AS_OF))
 
 
 @_register("catch_composition")
 def _catch_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recipes.catch_composition(_v(spark, sf_dir), _dim(spark, sf_dir), AS_OF)
+    recent = bridge.store(spark, sf_dir).recent(AS_OF, 14)
+    return recipes.catch_composition(recent, _dim(spark, sf_dir), AS_OF)
 
 
 @_register("reentry_gap")
 def _reentry_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = recipes.reentry_gap(_v(spark, sf_dir), AS_OF)
+    found = recipes.reentry_gap(bridge.store(spark, sf_dir).recent(AS_OF, 7), AS_OF)
     later = F.timestamp_diff("MICROSECOND", F.col("entered"), F.col("entered") + F.col("gap"))
     return found.withColumn("gap", later / F.lit(1e6)).withColumnRenamed("gap", "gap_s")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from logtally.functions.values import null_if_json_null, utc_wallclock
 from logtally.schema import ARCHIVE_LINE
+from logtally.sources import files
 
 OBJECTS = T.StructType(
     [
@@ -21,20 +24,35 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def list_objects(spark: SparkSession, base: str) -> DataFrame:
+def list_objects(spark: SparkSession, base: str, first_day: date | None = None) -> DataFrame:
     """Archive objects by the day they were shipped (not the events' day).
 
-    Only names are read; the content column is pruned. An archive that does
-    not exist yet has no objects.
+    Only names are read; the content column is pruned. With ``first_day``,
+    months before it are not even listed. An archive that does not exist yet
+    has no objects.
     """
-    pattern = f"{base.rstrip('/')}/audit/*/*/*/*.jsonl.gz"
+    root = f"{base.rstrip('/')}/audit"
+    months = "*/*" if first_day is None else _months_from(spark, root, first_day)
     try:
-        files = spark.read.format("binaryFile").load(pattern).select("path")
+        pattern = f"{root}/{months}/*/*.jsonl.gz"
+        files_ = spark.read.format("binaryFile").load(pattern).select("path")
     except AnalysisException as error:
         if is_missing_path(error):
             return spark.createDataFrame([], OBJECTS)
         raise
-    return parse_paths(files)
+    return parse_paths(files_)
+
+
+def _months_from(spark: SparkSession, root: str, first_day: date) -> str:
+    """Month folders, as a glob, that can hold ``first_day`` or later days."""
+    start = first_day.strftime("%Y/%m")
+    found = [
+        f"{year}/{month}"
+        for year in files.children(spark, root)
+        if year >= start[:4]
+        for month in files.children(spark, f"{root}/{year}")
+    ]
+    return "{" + ",".join([start, *[m for m in found if m > start]]) + "}"
 
 
 def parse_paths(files: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """The fact table, load history and dimensions as committed runs on Parquet.
 
     <root>/audit/run=<name>/d_kst=.../   rows, typed columns beside ``detail``
-    <root>/<part>/run=<name>/            objects, log, shape, pokemon, item, version
-    <root>/commits/<number>.json         the list of all runs that count
+    <root>/<part>/run=<name>/            objects, pokemon, item, version
+    <root>/commits/<number>.json         all runs that count, with their log rows
 
 A run's files are written first, then one rename adds a commit file that lists
 them. What no commit lists is not there: a failed run leaves nothing visible,
@@ -21,9 +21,10 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
+from datetime import date, datetime
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from logtally import schema
 from logtally.functions.values import instant, kst_day, rows, to_kst
@@ -42,6 +43,8 @@ class Run:
     min_id: int | None = None
     max_id: int | None = None
     latest_event: str | None = None
+    log: dict | None = None  # the load history row
+    shape: dict | None = None  # columns of the newest object read
 
 
 @dataclass
@@ -55,6 +58,8 @@ class RunWriter:
     min_id: int | None = None
     max_id: int | None = None
     latest_event: str | None = None
+    log: dict | None = None
+    shape: dict | None = None
 
     def path(self, part: str) -> str:
         return self.store.path(part, self.name)
@@ -102,9 +107,11 @@ class RunWriter:
                 self.min_id,
                 self.max_id,
                 self.latest_event,
+                self.log,
+                self.shape,
             )
         )
-        text = json.dumps([asdict(r) for r in runs])
+        text = json.dumps([asdict(r) for r in runs], default=str)
         files.create(store.spark, store.commit_path(number + 1), text)
 
 
@@ -224,29 +231,39 @@ class Store:
 
     # --- history and dimensions ------------------------------------------
 
-    def _history(self, part: str, layout: T.StructType) -> DataFrame:
-        paths = [self._part(r, part) for r in self.committed() if part in r.parts]
-        if not paths:
-            return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(*paths)
+    def log_rows(self) -> list[Row]:
+        """The load history, oldest first; one short row per load."""
+        found = []
+        for run in self.committed():
+            if run.log:
+                row = dict(run.log)
+                row["run_at"] = datetime.fromisoformat(row["run_at"])
+                row["scanned_from"] = date.fromisoformat(row["scanned_from"])
+                found.append(Row(**row))
+        return found
 
     def load_log(self) -> DataFrame:
-        return self._history("log", schema.LOAD_LOG)
+        return self.spark.createDataFrame(self.log_rows(), schema.LOAD_LOG)
 
     def loaded_objects(self) -> DataFrame:
+        paths = [self._part(r, "objects") for r in self.committed() if "objects" in r.parts]
+        if not paths:
+            return self.spark.createDataFrame([], schema.LOADED_OBJECTS)
         return (
-            self._history("objects", schema.LOADED_OBJECTS)
+            self.spark.read.schema(schema.LOADED_OBJECTS)
+            .parquet(*paths)
             .groupBy("path")
             .agg(F.max("loaded_at").alias("loaded_at"))
         )
 
     def source_shape(self) -> DataFrame:
-        runs = [r for r in self.committed() if "shape" in r.parts]
-        if not runs:
-            return self.spark.createDataFrame([], schema.SOURCE_SHAPE)
-        return self.spark.read.schema(schema.SOURCE_SHAPE).parquet(
-            self._part(runs[-1], "shape")
-        )
+        """Top-level columns of the newest object of the last load that read any."""
+        shapes = [r.shape for r in self.committed() if r.shape]
+        rows = [
+            (datetime.fromisoformat(s["observed_at"]), s["sampled"], s["columns"])
+            for s in shapes[-1:]
+        ]
+        return self.spark.createDataFrame(rows, schema.SOURCE_SHAPE)
 
     def dims(self) -> Dims:
         """The dimensions loaded last; empty ones before the first delivery."""
