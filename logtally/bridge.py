@@ -173,15 +173,19 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
     return Dims(pokemon_file(spark, sf_dir), item_file(spark, sf_dir), version)
 
 
+def folder(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    """A shared folder of this application for data derived from ``sf_dir``."""
+    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return f"{files.shared_dir(spark)}/{purpose}/{spark.sparkContext.applicationId}/{name}"
+
+
 def store(spark: SparkSession, sf_dir: str) -> Store:
     """The bridged tables as a loaded store in the shared folder.
 
     Written once per application, like the daily load; queries then read typed
     Parquet columns. Nothing but the given tables goes in.
     """
-    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
-    root = f"{files.shared_dir(spark)}/bridge/{spark.sparkContext.applicationId}/{name}"
-    loaded = Store(spark, root)
+    loaded = Store(spark, folder(spark, sf_dir, "bridge"))
     if loaded.last_number() == 0:
         rows = loaded.new_run("append")
         rows.write_audit(audit(spark, sf_dir))

@@ -56,38 +56,47 @@ CATEGORIES = (
 
 
 class Rollups(NamedTuple):
-    """Counts per (day, account): the common ground of series and drill-down."""
+    """Counts per (day, account), the common ground of series and drill-down,
+    and the sessions themselves, for their quantiles."""
 
     activity: DataFrame
     attempts: DataFrame
     sessions: DataFrame
+    visits: DataFrame
 
 
 def rollups(v: DataFrame, hot_rows: int = HOT_ROWS) -> Rollups:
+    visits = metrics.safari_session(v, hot_rows)
     return Rollups(
         metrics.activity_by_account(v),
         metrics.attempts_by_account(metrics.catch_attempt(v, hot_rows)),
-        metrics.sessions_by_account(metrics.safari_session(v, hot_rows)),
+        metrics.sessions_by_account(visits),
+        visits,
     )
 
 
 def published_days(source: Rollups) -> DataFrame:
     """First and last published day per metric: four rows."""
-    known = source.activity.where(F.col("account_id").isNotNull())
-    frames = {
-        "dau": known,
-        "bait_rock": source.activity,
-        "catch_rate": source.attempts,
-        "safari_session": source.sessions,
+    day = F.col("d_kst")
+    known_day = F.when(F.col("account_id").isNotNull(), day)
+    days = {
+        "activity": {"dau": known_day, "bait_rock": day},
+        "attempts": {"catch_rate": day},
+        "sessions": {"safari_session": day},
     }
-    last = F.max("d_kst")
-    spans = [
-        frame.agg(
-            F.greatest(F.min("d_kst"), F.date_sub(last, SERIES_DAYS - 1)).alias("_lo"),
-            last.alias("_hi"),
-        ).select(F.lit(metric).alias("metric"), "_lo", "_hi")
-        for metric, frame in frames.items()
-    ]
+    spans = []
+    for name, metric_days in days.items():
+        ends = [
+            F.struct(
+                F.lit(metric).alias("metric"),
+                F.greatest(F.min(d), F.date_sub(F.max(d), SERIES_DAYS - 1)).alias("_lo"),
+                F.max(d).alias("_hi"),
+            )
+            for metric, d in metric_days.items()
+        ]
+        spans.append(
+            getattr(source, name).agg(F.array(*ends).alias("_ends")).select(F.inline("_ends"))
+        )
     return reduce(DataFrame.union, spans)
 
 
@@ -99,7 +108,7 @@ def drill_counts(source: Rollups) -> DataFrame:
     """
     spans = F.broadcast(published_days(source))  # four rows
     parts = []
-    for name in Rollups._fields:
+    for name in ("activity", "attempts", "sessions"):
         tagged = F.array(
             *[
                 F.struct(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.functions.values import kst_day, payload, rows, within_days
 from logtally.operators.dimensions import orphan_keys
-from logtally.operators.drilldown import CATEGORIES, SCOPE, drill_totals
+from logtally.operators.drilldown import CATEGORIES, SCOPE
 from logtally.operators.id_gaps import GAP_THRESHOLD, id_gaps
 from logtally.plans.series import SERIES
 from logtally.schema import SERIES_DAYS
@@ -166,53 +166,43 @@ def contract_drift(
 
 
 def series_contract(series: dict[str, DataFrame]) -> DataFrame:
-    """Too many days, holes in the days, numbers that are not finite."""
-    out = []
-    for metric, frame in series.items():
-        names = [f.name for f in SERIES[metric]]
-        days = frame.agg(
-            rows().alias("n"),
-            F.count_distinct("d").alias("distinct"),
-            (F.datediff(F.max("d"), F.min("d")) + 1).alias("span"),
-        )
-        bad_days = days.select(
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.lit("too_many_days").alias("rule"),
-                        F.col("n").cast("string").alias("detail"),
-                        (F.col("n") > SERIES_DAYS).alias("_bad"),
-                    ),
-                    F.struct(
-                        F.lit("days_not_contiguous").alias("rule"),
-                        F.concat_ws("/", "n", "distinct", "span").alias("detail"),
-                        F.coalesce(
-                            (F.col("n") != F.col("span")) | (F.col("n") != F.col("distinct")),
-                            F.lit(False),
-                        ).alias("_bad"),
-                    ),
-                )
-            )
-        )
-        numbers = F.array(
-            *[
-                F.struct(
-                    F.concat(F.lit("not_finite:"), F.lit(n)).alias("rule"),
-                    F.col("d").cast("string").alias("detail"),
-                    _not_finite(n).alias("_bad"),
-                )
-                for n in names
-            ]
-        )
-        bad = bad_days.unionByName(frame.select(F.inline(numbers))).where("_bad")
-        out.append(bad.select(F.lit(metric).alias("metric"), "rule", "detail"))
-    return reduce(DataFrame.unionByName, out)
+    """Too many days, holes in the days, numbers that are not finite.
+
+    One row per broken rule, metric and field, with the first bad day.
+    """
+    return reduce(DataFrame.unionByName, [_broken_rules(m, f) for m, f in series.items()])
+
+
+def _broken_rules(metric: str, frame: DataFrame) -> DataFrame:
+    n, distinct = rows(), F.count_distinct("d")
+    span = F.datediff(F.max("d"), F.min("d")) + 1
+    rules = [
+        _rule("too_many_days", n, n > SERIES_DAYS),
+        _rule("days_not_contiguous", F.concat_ws("/", n, distinct, span),
+              (n != span) | (n != distinct)),
+    ]
+    for field in SERIES[metric]:
+        first = F.min(F.when(_not_finite(field.name), F.col("d")))
+        rules.append(_rule(f"not_finite:{field.name}", first, first.isNotNull()))
+    return (
+        frame.agg(F.array(*rules).alias("_rules"))
+        .select(F.lit(metric).alias("metric"), F.inline("_rules"))
+        .where("_bad")
+        .drop("_bad")
+    )
+
+
+def _rule(name: str, detail: Column, bad: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("rule"),
+        detail.cast("string").alias("detail"),
+        F.coalesce(bad, F.lit(False)).alias("_bad"),
+    )
 
 
 def _not_finite(name: str) -> Column:
     value = F.col(name).cast("double")
-    endless = F.abs(value) == float("inf")
-    return F.coalesce(F.isnan(value) | endless, F.lit(False))
+    return F.isnan(value) | (F.abs(value) == float("inf"))
 
 
 def meta_contract(meta: DataFrame) -> DataFrame:
@@ -268,25 +258,41 @@ def drill_invariants(series: dict[str, DataFrame], counts: DataFrame) -> DataFra
             ]
         )
         published.append(frame.select(F.lit(metric).alias("metric"), "d", F.inline(totals)))
-    found = counts.groupBy(*SCOPE).agg(F.sum("count").alias("found")).join(
-        drill_totals(counts), SCOPE
+    found = counts.groupBy(*SCOPE).agg(
+        F.sum("count").alias("found"), F.count("account_id").alias("found_users")
     )
-    found_n = F.coalesce("found", F.lit(0))
-    users_n = F.coalesce("total_users", F.lit(0))
-    off = reduce(DataFrame.unionByName, published).join(found, SCOPE, "full")
-    total = off.where(~F.col("published").eqNullSafe(found_n)).select(
-        *SCOPE, F.lit("total").alias("rule"), F.col("published"), found_n.alias("found")
+    rules = F.array(
+        _mismatch("total", F.col("published"), F.col("found"), F.lit(True)),
+        _mismatch(
+            "users",
+            F.col("published_users"),
+            F.col("found_users"),
+            F.col("published_users").isNotNull(),
+        ),
     )
-    users = off.where(F.col("published_users") != users_n).select(
-        *SCOPE, F.lit("users").alias("rule"), F.col("published_users"), users_n
+    off = (
+        reduce(DataFrame.unionByName, published)
+        .join(found, SCOPE, "full")
+        .select(*SCOPE, F.inline(rules))
+        .where("_bad")
+        .drop("_bad")
     )
     twice = (
         counts.groupBy(*SCOPE, "account_id")
         .agg(rows().alias("n"), F.min("count").alias("least"))
         .where((F.col("n") > 1) | (F.col("least") <= 0))
     )
-    repeated = twice.select(*SCOPE, F.lit("account"), F.col("least"), F.col("n"))
-    return total.union(users).union(repeated)
+    return off.union(twice.select(*SCOPE, F.lit("account"), F.col("least"), F.col("n")))
+
+
+def _mismatch(name: str, published: Column, found: Column, applies: Column) -> Column:
+    number = F.coalesce(found, F.lit(0))
+    return F.struct(
+        F.lit(name).alias("rule"),
+        published.alias("published"),
+        number.alias("found"),
+        (applies & ~published.eqNullSafe(number)).alias("_bad"),
+    )
 
 
 # --- plausibility ----------------------------------------------------------

@@ -1,6 +1,6 @@
 """Published JSON: series as arrays, drill-down by metric and day.
 
-    <out>/builds/<id>/series/<name>/         one text file, one JSON array
+    <out>/builds/<id>/series/<name>.json     one JSON array of at most 90 rows
     <out>/builds/<id>/details/metric=/d=/    JSON lines, one per account
     <out>/builds/<id>/preview/, totals/      JSON lines
     <out>/commits/<number>.json              makes one build the current one
@@ -32,9 +32,8 @@ def publish(store: Store, out: str, built_at) -> str:
     folder = f"{root}/builds/{build}"
     shot = staged_snapshot(store, f"{folder}/staged")
     _check(shot)
-    _array(shot.meta, f"{folder}/series/meta")
-    for name, frame in shot.series.items():
-        _array(frame, f"{folder}/series/{name}")
+    for name, frame in {"meta": shot.meta, **shot.series}.items():
+        files.create(spark, f"{folder}/series/{name}.json", _array(frame))
     # Rebalancing splits a day with very many accounts over several files.
     (
         shot.counts.withColumn("account_id", F.col("account_id").cast("string"))
@@ -70,12 +69,12 @@ def read_details(spark: SparkSession, folder: str, metric: str, day) -> DataFram
     )
 
 
-def _array(frame: DataFrame, path: str) -> None:
-    """At most 90 rows as one JSON array, in the order of days; [] if empty."""
-    row = F.struct(*frame.columns)
-    ordered = F.sort_array(F.collect_list(row))
-    text = F.to_json(ordered, {"ignoreNullFields": "false"})
-    frame.agg(text.alias("value")).coalesce(1).write.text(path)
+def _array(frame: DataFrame) -> str:
+    """A local frame of at most 90 rows, in day order, as one JSON array."""
+    names = frame.columns
+    order = [names[0]] if names[0] == "d" else []
+    found = frame.orderBy(*order).collect() if order else frame.collect()
+    return json.dumps([dict(zip(names, r)) for r in found], default=str, allow_nan=False)
 
 
 def _check(shot: Snapshot) -> None:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from logtally.functions.values import instant, ratio, round_to, rows
 from logtally.operators import metrics
 from logtally.operators.drilldown import Rollups
-from logtally.operators.ordered import HOT_ROWS
 from logtally.schema import SERIES_DAYS
 
 STALE_HOURS = 36
@@ -90,16 +89,14 @@ def to_series(daily: DataFrame, metric: str) -> DataFrame:
     return days.select("d", *[publish(f) for f in SERIES[metric]]).orderBy("d")
 
 
-def all_series(
-    source: Rollups, v: DataFrame, hot_rows: int = HOT_ROWS
-) -> dict[str, DataFrame]:
-    sessions = metrics.safari_session(v, hot_rows)
+def all_series(source: Rollups, v: DataFrame) -> dict[str, DataFrame]:
+    """All four series; ``v`` only for the catches that were observed."""
     return {
         "bait_rock": to_series(metrics.bait_rock_from(source.activity), "bait_rock"),
         "dau": to_series(metrics.dau_from(source.activity), "dau"),
         "catch_rate": to_series(metrics.catch_rate_from(source.attempts, v), "catch_rate"),
         "safari_session": to_series(
-            metrics.safari_session_from(source.sessions, sessions), "safari_session"
+            metrics.safari_session_from(source.sessions, source.visits), "safari_session"
         ),
     }
 
@@ -114,25 +111,32 @@ def period(series: dict[str, DataFrame], days: int) -> dict[str, DataFrame]:
     return {name: s.where(F.col("d") >= first) for name, s in series.items()}
 
 
-def _tagged(series: dict[str, DataFrame], fields: dict[str, dict[str, str]]) -> DataFrame:
-    """Chosen fields of several series under names of their own, in one frame."""
+def _period_rows(
+    series: dict[str, DataFrame], days: int, fields: dict[str, dict[str, str]]
+) -> DataFrame:
+    """Chosen fields of all series in the period, each under a name of its own.
+
+    One frame of at most four times 90 rows: every series is computed once, and
+    all of them, chosen or not, decide which day is the newest.
+    """
     parts = [
-        series[metric].select(*[F.col(c).alias(n) for n, c in names.items()])
-        for metric, names in fields.items()
+        frame.select("d", *[F.col(c).alias(n) for n, c in fields.get(metric, {}).items()])
+        for metric, frame in series.items()
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    newest = F.max("d").over(Window.partitionBy())
+    return together.withColumn("_newest", newest).where(
+        F.col("d") >= F.date_sub("_newest", days - 1)
+    )
 
 
 def period_summary(series: dict[str, DataFrame], days: int) -> DataFrame:
     """Mean active users, sign-ups, attempts and pooled catch rate: one row."""
-    both = _tagged(
-        period(series, days),
-        {
-            "dau": {"dau": "dau", "new_users": "new_users"},
-            "catch_rate": {"attempts": "attempts", "caught": "caught"},
-        },
-    )
-    return both.agg(
+    fields = {
+        "dau": {"dau": "dau", "new_users": "new_users"},
+        "catch_rate": {"attempts": "attempts", "caught": "caught"},
+    }
+    return _period_rows(series, days, fields).agg(
         F.avg("dau").alias("mean_dau"),
         F.sum("new_users").alias("new_users"),
         F.sum("attempts").alias("attempts"),
@@ -142,24 +146,21 @@ def period_summary(series: dict[str, DataFrame], days: int) -> DataFrame:
 
 def period_notes(series: dict[str, DataFrame], days: int) -> DataFrame:
     """The remarks under each chart as one row of numbers and one flag."""
-    joint = _tagged(
-        period(series, days),
-        {
-            "bait_rock": {
-                "bait_n": "bait_n",
-                "rock_n": "rock_n",
-                "tries": "attempts",
-                "tries_bait": "attempts_bait",
-                "tries_rock": "attempts_rock",
-            },
-            "dau": {"new_users": "new_users", "dau": "dau"},
-            "catch_rate": {"attempts": "attempts", "caught": "caught", "gap": "caught_gap"},
-            "safari_session": {"sessions": "sessions", "closed": "closed_sessions"},
+    fields = {
+        "bait_rock": {
+            "bait_n": "bait_n",
+            "rock_n": "rock_n",
+            "tries": "attempts",
+            "tries_bait": "attempts_bait",
+            "tries_rock": "attempts_rock",
         },
-    )
+        "dau": {"new_users": "new_users", "dau": "dau"},
+        "catch_rate": {"attempts": "attempts", "caught": "caught", "gap": "caught_gap"},
+        "safari_session": {"sessions": "sessions", "closed": "closed_sessions"},
+    }
     attempts, gap = F.sum("attempts"), F.sum(F.abs("gap"))
     used = F.sum("tries_bait") + F.sum("tries_rock")
-    return joint.agg(
+    return _period_rows(series, days, fields).agg(
         F.sum("bait_n").alias("bait_n"),
         F.sum("rock_n").alias("rock_n"),
         ratio(used, F.sum("tries")).alias("used_share"),

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from logtally.operators import drilldown, metrics
 from logtally.operators.drilldown import Rollups
-from logtally.plans.series import all_series, meta, to_series
+from logtally.plans.series import all_series, meta
+from logtally.schema import SERIES_DAYS
 from logtally.sources.store import Store
 
 
@@ -20,10 +21,9 @@ class Snapshot(NamedTuple):
     preview: DataFrame
 
 
-def from_rollups(
-    source: Rollups, series: dict[str, DataFrame], meta_row: DataFrame
+def _with_drilldown(
+    meta_row: DataFrame, series: dict[str, DataFrame], counts: DataFrame
 ) -> Snapshot:
-    counts = drilldown.drill_counts(source)
     return Snapshot(
         meta_row,
         series,
@@ -34,15 +34,12 @@ def from_rollups(
 
 
 def snapshot(store: Store) -> Snapshot:
-    """Lazy snapshot; every frame reads the same commits of the store."""
+    """Lazy snapshot; every frame reads the same commit of the store."""
     fixed = store.snapshot()
     v = fixed.audit_v()
     source = drilldown.rollups(v)
-    dims = fixed.dims()
-    return from_rollups(
-        source,
-        all_series(source, v),
-        meta(fixed.load_log(), fixed.latest_event(), dims.version, dims.pokemon),
+    return _with_drilldown(
+        _meta(fixed), all_series(source, v), drilldown.drill_counts(source)
     )
 
 
@@ -51,29 +48,33 @@ def staged_snapshot(store: Store, folder: str) -> Snapshot:
 
     Pairing and session windows run one time each; series, drill-down and
     preview then read small rollups, and losing an executor costs no rerun.
+    Series and banner row become local frames: 90 rows and one row.
     """
     fixed = store.snapshot()
-    spark, v, dims = fixed.spark, fixed.audit_v(), fixed.dims()
+    spark, v = fixed.spark, fixed.audit_v()
 
     def put(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    sessions = put("sessions", metrics.safari_session(v))
+    visits = put("visits", metrics.safari_session(v))
     source = Rollups(
         put("activity", metrics.activity_by_account(v)),
         put("attempts", metrics.attempts_by_account(metrics.catch_attempt(v))),
-        put("session_counts", metrics.sessions_by_account(sessions)),
+        put("sessions", metrics.sessions_by_account(visits)),
+        visits,
     )
-    daily = {
-        "bait_rock": metrics.bait_rock_from(source.activity),
-        "dau": metrics.dau_from(source.activity),
-        "catch_rate": metrics.catch_rate_from(source.attempts, v),
-        "safari_session": metrics.safari_session_from(source.sessions, sessions),
-    }
-    series = {
-        name: put(f"series/{name}", to_series(frame, name)).orderBy("d")
-        for name, frame in daily.items()
-    }
-    row = meta(fixed.load_log(), fixed.latest_event(), dims.version, dims.pokemon)
-    return from_rollups(source, series, row)
+    series = {name: _local(frame) for name, frame in all_series(source, v).items()}
+    counts = put("counts", drilldown.drill_counts(source))
+    return _with_drilldown(_local(_meta(fixed)), series, counts)
+
+
+def _meta(store: Store) -> DataFrame:
+    dims = store.dims()
+    return meta(store.load_log(), store.latest_event(), dims.version, dims.pokemon)
+
+
+def _local(frame: DataFrame) -> DataFrame:
+    """A frame of at most 90 rows, fetched; one row more shows a broken bound."""
+    found = frame.limit(SERIES_DAYS + 1).collect()
+    return frame.sparkSession.createDataFrame(found, frame.schema)

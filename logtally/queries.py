@@ -14,7 +14,7 @@ from logtally.operators import dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
 from logtally.operators.id_gaps import id_gaps
 from logtally.plans import checks, ingest, recipes, reconcile, series
-from logtally.sources import archive, files
+from logtally.sources import archive
 from logtally.sources.store import Store
 
 AS_OF = bridge.AS_OF
@@ -250,11 +250,13 @@ _LOAD_AT = datetime(2026, 11, 1)
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> Store:
-    """Export all rows to an archive and load that into a new store."""
-    base = f"{files.shared_dir(spark)}/roundtrip/{uuid.uuid4().hex}"
-    bridge.export_archive(spark, sf_dir, f"{base}/archive", _SHIPPED_LATER)
+    """All rows exported to an archive and loaded from it, once per application."""
+    base = bridge.folder(spark, sf_dir, "roundtrip")
     store = Store(spark, f"{base}/store")
-    ingest.load(spark, store, f"{base}/archive", _LOAD_AT)
+    if store.last_number() == 0:
+        archive_ = f"{base}/{uuid.uuid4().hex}"
+        bridge.export_archive(spark, sf_dir, archive_, _SHIPPED_LATER)
+        ingest.load(spark, store, archive_, _LOAD_AT)
     return store
 
 
