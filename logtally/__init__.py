@@ -4,5 +4,4 @@
 ``functions``  column expressions: defensive casts, payload paths, clocks
 ``operators``  row-level views, dimensions, metrics, drill-down, ordered helpers
 ``plans``      whole jobs built from them: ingest, series, checks, recipes, snapshot
-``streaming``  the ingest job driven by a file stream
 """

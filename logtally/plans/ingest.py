@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from logtally import schema
 from logtally.functions.values import instant
+from logtally.operators.dimensions import pokemon_dim
+from logtally.plans.checks import assertions
 from logtally.sources import archive, files
 from logtally.sources.dims import read_dims
 from logtally.sources.store import RunWriter, Store, count_rows, in_id_range
@@ -130,3 +132,20 @@ def load_dims(spark: SparkSession, store: Store, base: str, as_of: datetime) ->
         run.write(name, table)
     run.commit()
     return True
+
+
+def daily(
+    spark: SparkSession, store: Store, base: str, as_of: datetime, force: bool = False
+) -> tuple[Row, DataFrame]:
+    """The whole daily run: load rows, load dimensions, check.
+
+    Returns the log row and the violations found (none in sound data). Missing
+    dimension files stop nothing, and a violation rolls nothing back.
+    """
+    row = load(spark, store, base, as_of, force)
+    load_dims(spark, store, base, as_of)
+    now = store.snapshot()
+    v = now.audit_v()
+    dim = pokemon_dim(now.dims().pokemon)
+    found = assertions(spark, now.audit(), v, dim, as_of, fresh=now.last_load())
+    return row, found

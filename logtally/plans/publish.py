@@ -2,7 +2,8 @@
 
     <out>/builds/<id>/series/<name>.json     one JSON array of at most 90 rows
     <out>/builds/<id>/details/metric=/d=/    JSON lines, one per account
-    <out>/builds/<id>/preview/, totals/      JSON lines
+    <out>/builds/<id>/preview/, totals/      JSON lines, a few thousand in all
+    <out>/builds/<id>/categories.json        which category explains which field
     <out>/commits/<number>.json              makes one build the current one
 
 A build that fails leaves the previous one current.
@@ -15,7 +16,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logtally.operators.drilldown import CATEGORIES
 from logtally.plans import checks
+from logtally.plans.jobs import together
 from logtally.plans.snapshot import Snapshot, staged_snapshot
 from logtally.sources import files
 from logtally.sources.store import Store
@@ -31,18 +34,20 @@ def publish(store: Store, out: str, built_at) -> str:
     build = uuid.uuid4().hex
     folder = f"{root}/builds/{build}"
     shot = staged_snapshot(store, f"{folder}/staged")
-    _check(shot)
+    together(
+        spark,
+        lambda: _check_series(shot),
+        lambda: _check_drilldown(shot),
+        lambda: _write_details(shot.counts, f"{folder}/details"),
+        lambda: shot.totals.repartition(1).write.json(f"{folder}/totals"),
+        lambda: shot.preview.repartition(1).write.json(f"{folder}/preview"),
+    )
     for name, frame in {"meta": shot.meta, **shot.series}.items():
         files.create(spark, f"{folder}/series/{name}.json", _array(frame))
-    # Rebalancing splits a day with very many accounts over several files.
-    (
-        shot.counts.withColumn("account_id", F.col("account_id").cast("string"))
-        .hint("rebalance", "metric", "d")
-        .write.partitionBy("metric", "d")
-        .json(f"{folder}/details", ignoreNullFields=False)
-    )
-    shot.totals.coalesce(1).write.json(f"{folder}/totals")
-    shot.preview.coalesce(1).write.json(f"{folder}/preview")
+    explained = [
+        {"metric": c.metric, "category": c.name, "series": c.series} for c in CATEGORIES
+    ]
+    files.create(spark, f"{folder}/categories.json", json.dumps(explained))
     files.remove(spark, f"{folder}/staged")
     number = files.last_number(spark, f"{root}/commits") + 1
     record = {"schema_version": 1, "build_id": build, "built_at": str(built_at)}
@@ -66,7 +71,7 @@ def read_details(spark: SparkSession, folder: str, metric: str, day) -> DataFram
     rows = spark.read.schema(layout).json(f"{folder}/details")
     return rows.where(
         (F.col("metric") == metric) & (F.col("d") == F.lit(str(day)).cast("date"))
-    )
+    ).withColumn("account_id", F.col("account_id").cast("int"))
 
 
 def _array(frame: DataFrame) -> str:
@@ -77,11 +82,26 @@ def _array(frame: DataFrame) -> str:
     return json.dumps([dict(zip(names, r)) for r in found], default=str, allow_nan=False)
 
 
-def _check(shot: Snapshot) -> None:
+def _write_details(counts: DataFrame, path: str) -> None:
+    """Rebalancing splits a day with very many accounts over several files."""
+    (
+        counts.withColumn("account_id", F.col("account_id").cast("string"))
+        .hint("rebalance", "metric", "d")
+        .write.partitionBy("metric", "d")
+        .json(path, ignoreNullFields=False)
+    )
+
+
+def _check_series(shot: Snapshot) -> None:
     broken = checks.series_contract(shot.series).unionByName(checks.meta_contract(shot.meta))
-    found = broken.limit(20).collect()
+    _refuse(broken)
+
+
+def _check_drilldown(shot: Snapshot) -> None:
+    _refuse(checks.drill_invariants(shot.series, shot.counts))
+
+
+def _refuse(violations: DataFrame) -> None:
+    found = violations.limit(20).collect()  # as many as one message holds
     if found:
-        raise ContractError("; ".join(f"{r.metric}: {r.rule} {r.detail}" for r in found))
-    off = checks.drill_invariants(shot.series, shot.counts).limit(20).collect()
-    if off:
-        raise ContractError("; ".join(str(r) for r in off))
+        raise ContractError("; ".join(str(r) for r in found))

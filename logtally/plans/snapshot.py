@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
 from logtally.operators import drilldown, metrics
 from logtally.operators.drilldown import Rollups
+from logtally.plans.jobs import together
 from logtally.plans.series import all_series, meta
 from logtally.schema import SERIES_DAYS
 from logtally.sources.store import Store
@@ -57,16 +59,25 @@ def staged_snapshot(store: Store, folder: str) -> Snapshot:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    visits = put("visits", metrics.safari_session(v))
-    source = Rollups(
-        put("activity", metrics.activity_by_account(v)),
-        put("attempts", metrics.attempts_by_account(metrics.catch_attempt(v))),
-        put("sessions", metrics.sessions_by_account(visits)),
-        visits,
+    def sessions() -> tuple[DataFrame, DataFrame]:
+        visits = put("visits", metrics.safari_session(v))
+        return put("sessions", metrics.sessions_by_account(visits)), visits
+
+    activity, attempts, (per_account, visits) = together(
+        spark,
+        lambda: put("activity", metrics.activity_by_account(v)),
+        lambda: put("attempts", metrics.attempts_by_account(metrics.catch_attempt(v))),
+        sessions,
+    )
+    source = Rollups(activity, attempts, per_account, visits)
+    series = all_series(source, v)
+    counts, row, *local = together(
+        spark,
+        lambda: put("counts", drilldown.drill_counts(source)),
+        lambda: _local(_meta(fixed)),
+        *[partial(_local, frame) for frame in series.values()],
     )
-    series = {name: _local(frame) for name, frame in all_series(source, v).items()}
-    counts = put("counts", drilldown.drill_counts(source))
-    return _with_drilldown(_local(_meta(fixed)), series, counts)
+    return _with_drilldown(row, dict(zip(series, local)), counts)
 
 
 def _meta(store: Store) -> DataFrame:

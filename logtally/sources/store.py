@@ -210,6 +210,16 @@ class Store:
         stored = self._stored().where(F.col("d_kst") >= to_kst(first).cast("date"))
         return stored.drop("run", "d_kst")
 
+    def last_load(self) -> DataFrame:
+        """All rows, of any run, in the id range of the newest run with rows.
+
+        A load can only have doubled ids of its own range.
+        """
+        runs = [r for r in self.committed() if "audit" in r.parts]
+        if not runs or runs[-1].min_id is None:
+            return self.audit_v().limit(0)
+        return in_id_range(self.audit_v(), runs[-1].min_id, runs[-1].max_id)
+
     def latest_event(self) -> DataFrame:
         """Time of the newest event, one row, from the commits where they tell.
 

@@ -251,6 +251,19 @@ def test_assertions_and_drift_on_a_loaded_store(spark, store, base):
     assert [r.actual for r in bare.collect()] == ["no", "(no sample)", *["no"] * 5]
 
 
+def test_daily_run_loads_and_checks(spark, store, base):
+    row, found = ingest.daily(spark, store, base, NOW)
+    assert row.files_scanned == 0 and found.count() == 0
+    ship(base, "2026-08-21", [line(1), line(2), line(5_000, created="2026-08-21T00:00:00Z")])
+    row, found = ingest.daily(spark, store, base, NOW)
+    assert row.rows_inserted == 3
+    assert [tuple(r) for r in found.collect()] == [("gap", "2→5000")]
+    assert ids(store.last_load()) == [1, 2, 5_000]
+    ship(base, "2026-08-22", [line(5_001)])
+    ingest.load(spark, store, base, NOW)
+    assert ids(store.last_load()) == [5_001]
+
+
 def test_schema_checks(spark):
     from helpers import audit
 

@@ -57,9 +57,14 @@ def test_publish_and_read_back(spark, store, tmp_path):
     meta = array(folder, "meta")
     assert len(meta) == 1 and meta[0]["total_rows"] == 37 and meta[0]["master_sha"] == ""
     users = publish.read_details(spark, folder, "bait_rock", "2026-08-20").collect()
-    assert sorted((r.category, r.account_id or "", r["count"]) for r in users) == [
-        ("bait", "", 1), ("bait", "7", 3),
+    assert sorted((r.category, r.account_id or 0, r["count"]) for r in users) == [
+        ("bait", 0, 1), ("bait", 7, 3),
     ]
+    details = publish.read_details(spark, folder, "dau", "2026-08-18")
+    page = drilldown.drill_page(details, "dau", "active", "2026-08-18").collect()
+    assert [(r.account_id, r["count"]) for r in page][:3] == [(7, 3), (100, 1), (103, 1)]
+    explained = json.loads(Path(folder, "categories.json").read_text())
+    assert {"metric": "catch_rate", "category": "fled", "series": ["fled"]} in explained
     assert not Path(folder, "staged").exists()
 
 
@@ -68,7 +73,7 @@ def test_failed_build_keeps_the_old_one(spark, store, tmp_path, monkeypatch):
     fill(spark, store, tmp_path)
     first = publish.publish(store, out, NOW)
     broken = lambda shot: (_ for _ in ()).throw(publish.ContractError("no"))
-    monkeypatch.setattr(publish, "_check", broken)
+    monkeypatch.setattr(publish, "_check_series", broken)
     with pytest.raises(publish.ContractError):
         publish.publish(store, out, NOW + timedelta(days=1))
     assert publish.current(spark, out) == first
