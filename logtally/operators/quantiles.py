@@ -36,11 +36,16 @@ def exact_quantiles(
         F.col(value).alias("_value"),
         F.shiftright(F.col(value), shift).alias("_cell"),
     )
+    if few_groups:
+        counted = values.withColumn("_n", F.lit(1))  # no shuffle before grouping
+    else:
+        # Equal values of a hot group meet as counts, not as rows, in the join.
+        counted = values.groupBy(key, "_cell", "_value").agg(rows().alias("_n"))
     in_group = Window.partitionBy(key)
     total = F.sum("_n").over(in_group)
     cells = (
-        values.groupBy(key, "_cell")
-        .agg(rows().alias("_n"))
+        counted.groupBy(key, "_cell")
+        .agg(F.sum("_n").alias("_n"))
         .withColumn("_total", total)
         .withColumn("_to", F.sum("_n").over(in_group.orderBy("_cell")))
         .select(key, "_cell", _ranks_inside(_ranks(quantiles)).alias("_ranks"))
@@ -48,9 +53,9 @@ def exact_quantiles(
     )
     in_cell = Window.partitionBy(key, "_cell").orderBy("_value")
     hits = (
-        values.join(F.broadcast(cells) if few_groups else cells, [key, "_cell"])
+        counted.join(F.broadcast(cells) if few_groups else cells, [key, "_cell"])
         .groupBy(key, "_cell", "_value", "_ranks")
-        .agg(rows().alias("_n"))
+        .agg(F.sum("_n").alias("_n"))
         .withColumn("_to", F.sum("_n").over(in_cell))
         .select(key, "_value", F.inline(_ranks_inside(F.col("_ranks"))))
     )
