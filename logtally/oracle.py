@@ -418,6 +418,12 @@ s AS (SELECT CAST(sum(sessions) AS BIGINT) AS sessions,
   FROM {_last_days('s_session')})
 SELECT * FROM b, u, c, s"""
 
+SQL["period_slice"] = f"""{_EVERY_SERIES}, {_FROM_DAY}
+SELECT * FROM {_last_days('s_catch')}"""
+
+SQL["publish_roundtrip"] = SQL["drill_counts"]
+SQL["dims_roundtrip"] = SQL["pokemon_dim"]
+
 _LOG = """log AS (
   SELECT day, max(created_at) AS run_at, count(*) AS inserted FROM v GROUP BY day)"""
 

@@ -65,13 +65,17 @@ def current(spark: SparkSession, out: str) -> str | None:
     return f"{root}/builds/{record['build_id']}"
 
 
-def read_details(spark: SparkSession, folder: str, metric: str, day) -> DataFrame:
-    """Drill-down rows of one metric and day; other folders are not opened."""
+def read_details(
+    spark: SparkSession, folder: str, metric: str | None = None, day=None
+) -> DataFrame:
+    """Published drill-down; with metric and day, other folders are not opened."""
     layout = "category string, account_id string, count bigint, metric string, d date"
     rows = spark.read.schema(layout).json(f"{folder}/details")
-    return rows.where(
-        (F.col("metric") == metric) & (F.col("d") == F.lit(str(day)).cast("date"))
-    ).withColumn("account_id", F.col("account_id").cast("int"))
+    if metric is not None:
+        rows = rows.where(F.col("metric") == metric)
+    if day is not None:
+        rows = rows.where(F.col("d") == F.lit(str(day)).cast("date"))
+    return rows.withColumn("account_id", F.col("account_id").cast("int"))
 
 
 def _array(frame: DataFrame) -> str:

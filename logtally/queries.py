@@ -13,8 +13,8 @@ from logtally.functions.values import kst_day, round_to, rows
 from logtally.operators import dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
 from logtally.operators.id_gaps import id_gaps
-from logtally.plans import checks, ingest, recipes, reconcile, series
-from logtally.sources import archive
+from logtally.plans import checks, ingest, publish, recipes, reconcile, series
+from logtally.sources import archive, files
 from logtally.sources.store import Store
 
 AS_OF = bridge.AS_OF
@@ -177,6 +177,17 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.meta(log, store.latest_event(), dims.version, dims.pokemon)
 
 
+_over_view("period_slice", lambda v: series.period(_series(v), 7)["catch_rate"])
+
+
+@_register("publish_roundtrip")
+def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Builds and checks all output, then reads the published drill-down back."""
+    out = bridge.folder(spark, sf_dir, "published")
+    folder = publish.publish(bridge.store(spark, sf_dir), out, AS_OF)
+    return publish.read_details(spark, folder)
+
+
 # --- ingest ------------------------------------------------------------------
 
 _FACT = ["id", "account_id", "action", "source", "created_at"]
@@ -270,6 +281,22 @@ def _load_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir).load_log()
 
 
+@_register("dims_roundtrip")
+def _dims_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension files delivered as CSV, loaded into a store, then cleaned."""
+    base = f"{bridge.folder(spark, sf_dir, 'dims')}/{uuid.uuid4().hex}"
+    delivered = bridge.dims(spark, sf_dir)
+    for name in ("pokemon", "item"):
+        table = getattr(delivered, name)
+        # A line end inside a value would end the line; the loader strips it anyway.
+        bare = table.select(*[F.replace(c, F.lit("\r")).alias(c) for c in table.columns])
+        bare.write.csv(f"{base}/master/v=abc/{name}.csv", header=True, escape='"')
+    files.create(spark, f"{base}/master/LATEST", "abc\n")
+    store = Store(spark, f"{base}/store")
+    ingest.load_dims(spark, store, base, datetime.fromisoformat(AS_OF))
+    return dimensions.pokemon_dim(store.dims().pokemon)
+
+
 # --- checks ------------------------------------------------------------------
 
 
