@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import chunks, minhash, packing, quality
+from logtally.llm import caps, chunks, minhash, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -35,6 +35,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op4_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = caps.near_vectors(spark, table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -63,7 +69,7 @@ WITH RECURSIVE words AS (
     SELECT doc_id, CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
     END AS s
     FROM words
 ), items AS (
@@ -83,3 +89,27 @@ WITH RECURSIVE words AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN roots USING (doc_id)
 """
+
+SQL["op4_caps"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+      AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), roots AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM roots LEFT JOIN degree USING (vec_id)
+"""
