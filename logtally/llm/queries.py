@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import caps, chunks, minhash, packing, quality
+from logtally.llm import caps, chunks, minhash, packing, quality, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -59,6 +59,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, docs, labels)
 
 
+@query
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 SQL["op2_minhash"] = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
