@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import caps, chunks, minhash, packing, quality, winnow
+from logtally.llm import caps, chunks, minhash, packing, quality, template, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -35,6 +35,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op3_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template.main_text(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op4_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = caps.near_vectors(spark, table(spark, sf_dir, "embeddings"))
