@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from logtally.llm.words import Words, flat, mix, parts
+from logtally.llm.words import Words, distinct, flat, parts
 
 SAMPLE = 20_000
 BINS, PAIR_BINS = 32, 8
@@ -69,7 +69,7 @@ def features(texts: pa.Array) -> np.ndarray:
     same = np.zeros(len(length), dtype=bool)
     same[1:] = w.hash[1:] == w.hash[:-1]
     distinct = np.array(
-        [len(np.unique(w.hash[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)], dtype=float
+        [len(distinct(w.hash[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)], dtype=float
     )
     lines, fresh = np.ones(len(n)), np.ones(len(n))
     for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import caps, chunks, minhash, packing, quality, template, winnow
+from logtally.llm import caps, chunks, minhash, packing, pieces, quality, template, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -47,6 +47,16 @@ def op4_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+@query
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they read back as the text."""
+    docs, path = table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    found = pieces.decoded(pieces.encoded(docs, path), path)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_ids", "ids_crc32", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    )
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -54,7 +54,9 @@ class Encoder:
         whole = [p for p, r in new.items() if r is None]
         found = _tokenizer(self.path).encode_batch_fast(whole, add_special_tokens=False)
         known = {p: e.ids for p, e in zip(whole, found, strict=True)}
-        ids = [known[p] if r is None else [*self._of(r[0]), *self._of(r[1])] for p, r in new.items()]
+        self._put(list(new), [known[p] if r is None else [*self._of(r[0]), *self._of(r[1])] for p, r in new.items()])
+
+    def _put(self, new: list[str], ids: list[list[int]]) -> None:
         lengths = np.array([len(i) for i in ids], dtype=np.int64)
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
@@ -81,8 +83,8 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
 
-    def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids after each other, each text's followed by ``end_id``; n + 1 offsets."""
+    def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids after each other, each text's followed by ``end_id`` if given; n + 1 offsets."""
         pieces: list[str] = []
         counts = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
@@ -97,9 +99,10 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(length)])
         ids = self.ids[np.arange(before[-1]) + np.repeat(self.start[at] - before[:-1], length)]
         offsets = before[np.concatenate([[0], np.cumsum(counts)])]
-        ids = np.insert(ids, offsets[1:], np.uint32(end_id))
         self._forget()
-        return ids, offsets + np.arange(len(offsets))
+        if end_id is None:
+            return ids, offsets
+        return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))
 
 
 @cache

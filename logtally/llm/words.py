@@ -100,6 +100,14 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, each once; by sorting, which beats hashing on short arrays."""
+    values = np.sort(values)
+    keep = np.ones(len(values), dtype=bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 _PLACES = seeds(8, 2) | np.uint64(1)
 
 
@@ -116,7 +124,7 @@ def shingles(words: Words, k: int = 5) -> Iterator[np.ndarray]:
         runs = mix(runs)
     for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
         if b - a >= k:
-            yield np.unique(runs[a : b - k + 1])
+            yield distinct(runs[a : b - k + 1])
         elif b > a:
             whole = (h[a:b] * _PLACES[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
             yield mix(np.array([whole], dtype=np.uint64))
