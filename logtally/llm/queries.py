@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import caps, chunks, minhash, packing, pieces, quality, template, winnow
+from logtally.llm import caps, chunks, minhash, mixing, packing, pieces, quality, template, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -47,6 +47,11 @@ def op4_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they read back as the text."""

@@ -136,6 +136,6 @@ def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """Arrays of numbers as one Arrow list column."""
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.zeros(0)
-    if kind == pa.int64():
-        values = values.astype(np.uint64).view(np.int64) if values.dtype != np.int64 else values
+    if kind == pa.int64() and values.dtype != np.int64:
+        values = values.astype(np.uint64).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
