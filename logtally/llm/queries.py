@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logtally.llm import caps, chunks, minhash, mixing, packing, pieces, quality, template, winnow
+from logtally.llm import caps, chunks, coder, minhash, mixing, packing, pieces, quality, template, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,6 +29,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return coder.round_trip(spark, docs, vocabulary("byte_bpe_50k.json"), 2).drop("ids")
+
+
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
