@@ -68,7 +68,7 @@ def features(texts: pa.Array) -> np.ndarray:
     last = w.data[w.end - 1] if len(length) else np.zeros(0, np.uint8)
     same = np.zeros(len(length), dtype=bool)
     same[1:] = w.hash[1:] == w.hash[:-1]
-    distinct = np.array(
+    varied = np.array(
         [len(distinct(w.hash[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)], dtype=float
     )
     lines, fresh = np.ones(len(n)), np.ones(len(n))
@@ -77,7 +77,7 @@ def features(texts: pa.Array) -> np.ndarray:
         lines[i], fresh[i] = max(1, len(found)), max(1, len(set(found)))
     full_stops = _share(last == 46, at, 1)
     columns = [
-        np.log1p(n), _share(length, at, n), _share(length > 15, at, n), distinct / np.maximum(n, 1),
+        np.log1p(n), _share(length, at, n), _share(length > 15, at, n), varied / np.maximum(n, 1),
         _share(_UPPER[data], offs, size), _share(_DIGIT[data], offs, size),
         _share(_STOP[data], offs, size), _share(_BANG[data], offs, size), _share(_BAR[data], offs, size),
         _share(_SYMBOL[data], offs, size), _share(_SYMBOL[last], at, n), _share(_WIDE[data], offs, size),
