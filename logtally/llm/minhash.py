@@ -12,8 +12,10 @@ intersection is at least 75 times the union; components are the closure.
 * Equal sets are one class first, found by a 128-bit digest, so a crowd of
   copies is one row below.
 * Inside a bucket every member is compared with the bucket's hub, a linear
-  number of pairs. Members that share a bucket and are still in different
-  components afterwards are compared with a second hub, then with each other:
+  number of pairs. Hubs are drawn by a hash of bucket and id, so the buckets
+  of a crowd of near copies have many different ones. Members of a bucket that
+  are still in different components are compared with a second and a third
+  hub, and what is open after that with each other, between components only:
   no pair that shares a bucket stays unanswered unless it is already connected.
 * Every link is confirmed on full sets. ``BINS`` and ``ROWS`` lose a pair at
   similarity 0.75 with a probability of about 5e-6.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.llm.shared import components, written
 from logtally.llm.words import Words, lists, mix, parts, seeds, shingles
@@ -37,6 +39,7 @@ from logtally.llm.words import Words, lists, mix, parts, seeds, shingles
 K = 5
 BINS, ROWS = 128, 4
 OF_100 = 75
+HUBS = 3
 
 _ROUND = seeds(2 * BINS, 3)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -104,6 +107,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _hub(turn: int) -> Column:
+    return F.min(F.struct(F.xxhash64("band", "id", F.lit(turn)), "id"))["id"]
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -127,11 +134,9 @@ def near_duplicates(
     reps = sketch.where("n > 0 AND id IS NOT NULL").join(copies.select("id"), "id", "left_anti")
     banded = reps.select("id", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(
-        F.count("id").alias("m"), F.min("id").alias("hub"), F.max("id").alias("hub2"),
-    ).where("m > 1 AND hub <> hub2")
-    member = written(
-        spark, banded.join(shared.select("band", "hub", "hub2"), "band").distinct(), "buckets"
-    )
+        F.min("id").alias("low"), F.max("id").alias("high"), *[_hub(i).alias(f"hub{i}") for i in range(HUBS)]
+    ).where("low <> high").drop("low", "high")
+    member = written(spark, banded.join(shared, "band").distinct(), "buckets")
     sized = member.select("id", "n").distinct()
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -154,24 +159,28 @@ def near_duplicates(
         "sets",
     )
     links = written(
-        spark, _verified(close(member.select(F.col("hub").alias("a"), F.col("id").alias("b"))), sets), "links"
+        spark, _verified(close(member.select(F.col("hub0").alias("a"), F.col("id").alias("b"))), sets), "links"
     )
-    for last in (False, True):
+    for turn in range(1, HUBS + 1):
+        hubs = [f"hub{turn}"] if turn < HUBS else []
         root = components(spark, links)
         placed = written(
             spark,
-            member.join(root, "id", "left").select("band", "id", "hub2", F.coalesce("root", "id").alias("root")),
+            member.join(root, "id", "left").select(*hubs, "band", "id", F.coalesce("root", "id").alias("root")),
             "placed",
         )
         mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         open_rows = placed.join(mixed.where("lo <> hi").select("band"), "band", "left_semi")
-        if last:
+        if not hubs:
             # Between components only: what the hubs have joined is not paired again.
             one, two = (open_rows.select("band", F.col("id").alias(c), F.col("root").alias(f"r_{c}")) for c in "ab")
             pairs = one.join(two, "band").where("r_a < r_b")
         else:
-            pairs = open_rows.select(F.col("hub2").alias("a"), F.col("id").alias("b"))
-        links = written(spark, links.unionByName(_verified(close(pairs), sets)), "links")
+            hub = placed.select("band", F.col("id").alias(hubs[0]), F.col("root").alias("r_hub"))
+            pairs = open_rows.join(hub, ["band", hubs[0]]).where("root <> r_hub")
+            pairs = pairs.select(F.col(hubs[0]).alias("a"), F.col("id").alias("b"))
+        tied = root.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+        links = written(spark, tied.unionByName(_verified(close(pairs), sets)), "links")
 
     root = components(spark, links)
     roots = (
