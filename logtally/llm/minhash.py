@@ -15,8 +15,11 @@ intersection is at least 75 times the union; components are the closure.
   number of pairs. Hubs are drawn by a hash of bucket and id, so the buckets
   of a crowd of near copies have many different ones. Members of a bucket that
   are still in different components are compared with a second and a third
-  hub, and what is open after that with each other, between components only:
-  no pair that shares a bucket stays unanswered unless it is already connected.
+  hub. What is open after that is gathered into groups that share buckets, cut
+  into blocks of ``SIDE``, and every two blocks of a group meet in a task that
+  counts intersections of full sets and returns spanning links only: no pair
+  that shares a bucket stays unanswered unless it is already connected, and no
+  pair becomes a row.
 * Every link is confirmed on full sets. ``BINS`` and ``ROWS`` lose a pair at
   similarity 0.75 with a probability of about 5e-6.
 
@@ -40,6 +43,7 @@ K = 5
 BINS, ROWS = 128, 4
 OF_100 = 75
 HUBS = 3
+SIDE = 256  # rows of a block
 
 _ROUND = seeds(2 * BINS, 3)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -107,6 +111,62 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between components among the rows of two blocks, as many as join them."""
+    ids, roots = (table.column(c).to_numpy() for c in ("id", "root"))
+    first = table.column("first").to_numpy(zero_copy_only=False)
+    items = table.column("items").combine_chunks()
+    values, sizes = items.flatten().to_numpy(), np.diff(items.offsets.to_numpy())
+    starts = np.cumsum(sizes) - sizes
+    _, values = np.unique(values, return_inverse=True)
+    group = {r: r for r in roots.tolist()}
+
+    def top(r: int) -> int:
+        while group[r] != r:
+            r = group[r]
+        return r
+
+    cross = first.any() and not first.all()
+    others = np.flatnonzero(~first) if cross else np.arange(len(ids))
+    links: list[tuple[int, int]] = []
+    inside = np.zeros(int(values.max(initial=0)) + 1, dtype=np.int64)
+    for i in np.flatnonzero(first) if cross else range(len(ids)):
+        own = values[starts[i] : starts[i] + sizes[i]]
+        inside[own] = 1
+        both = np.add.reduceat(inside[values], starts)[others]
+        inside[own] = 0
+        near = both * 100 >= (sizes[i] + sizes[others] - both) * OF_100
+        for j in others[near].tolist():
+            a, b = top(int(roots[i])), top(int(roots[j]))
+            if a != b:
+                group[max(a, b)] = min(a, b)
+                links.append((int(ids[i]), int(ids[j])))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _in_blocks(spark: SparkSession, open_rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components among rows (band, id, root) that share bands."""
+    low = open_rows.groupBy("band").agg(F.min("id").alias("low"))
+    groups = components(spark, open_rows.join(low, "band").select(F.col("low").alias("a"), F.col("id").alias("b")))
+    named = open_rows.select("id", F.col("root").alias("component")).distinct().join(groups, "id")
+    sizes = named.groupBy(F.col("root")).agg(F.ceil(F.count("id") / SIDE).alias("blocks"))
+    own = named.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        F.col("root").alias("group"),
+        F.least("block", "other").alias("lo"),
+        F.greatest("block", "other").alias("hi"),
+        "id",
+        F.col("component").alias("root"),
+        (F.col("block") <= F.col("other")).alias("first"),
+    )
+    return (
+        dealt.join(sets, "id")
+        .select("group", "lo", "hi", "id", "root", "first", "items")
+        .groupBy("group", "lo", "hi")
+        .applyInArrow(_block_links, "a long, b long")
+    )
+
+
 def _hub(turn: int) -> Column:
     return F.min(F.struct(F.xxhash64("band", "id", F.lit(turn)), "id"))["id"]
 
@@ -171,16 +231,14 @@ def near_duplicates(
         )
         mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         open_rows = placed.join(mixed.where("lo <> hi").select("band"), "band", "left_semi")
-        if not hubs:
-            # Between components only: what the hubs have joined is not paired again.
-            one, two = (open_rows.select("band", F.col("id").alias(c), F.col("root").alias(f"r_{c}")) for c in "ab")
-            pairs = one.join(two, "band").where("r_a < r_b")
-        else:
+        if hubs:
             hub = placed.select("band", F.col("id").alias(hubs[0]), F.col("root").alias("r_hub"))
             pairs = open_rows.join(hub, ["band", hubs[0]]).where("root <> r_hub")
-            pairs = pairs.select(F.col(hubs[0]).alias("a"), F.col("id").alias("b"))
+            found = _verified(close(pairs.select(F.col(hubs[0]).alias("a"), F.col("id").alias("b"))), sets)
+        else:
+            found = _in_blocks(spark, open_rows, sets)
         tied = root.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-        links = written(spark, tied.unionByName(_verified(close(pairs), sets)), "links")
+        links = written(spark, tied.unionByName(found), "links")
 
     root = components(spark, links)
     roots = (
