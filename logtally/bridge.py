@@ -150,9 +150,6 @@ FROM {part}
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table: all events as audit rows, ``detail`` as variant."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:  # one small file is one split
-        events = events.repartition(cores)
     # ``spark.sql`` fills in {events} and undoes the doubled braces itself.
     text = spark.sql(AUDIT_ROWS.replace("{k}", SPARK_K), events=events)
     return text.withColumn("detail", F.parse_json("detail"))

@@ -87,8 +87,9 @@ def instant(as_of) -> Column:
 
 
 def within_days(as_of, days: int, name: str = "created_at") -> Column:
-    """Strictly newer than ``days`` before ``as_of``; reaches the Parquet scan."""
-    return F.col(name) > instant(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
+    """After ``days`` before ``as_of`` and not after ``as_of``; reaches the Parquet scan."""
+    end = instant(as_of)
+    return (F.col(name) > end - F.expr(f"INTERVAL {int(days)} DAYS")) & (F.col(name) <= end)
 
 
 # --- numbers and predicates ----------------------------------------------

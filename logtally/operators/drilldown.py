@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from logtally.operators import metrics
-from logtally.operators.ordered import HOT_ROWS
 from logtally.schema import SERIES_DAYS
 
 PREVIEW_ROWS = 10
@@ -65,11 +64,11 @@ class Rollups(NamedTuple):
     visits: DataFrame
 
 
-def rollups(v: DataFrame, hot_rows: int = HOT_ROWS) -> Rollups:
-    visits = metrics.safari_session(v, hot_rows)
+def rollups(v: DataFrame) -> Rollups:
+    visits = metrics.safari_session(v)
     return Rollups(
         metrics.activity_by_account(v),
-        metrics.attempts_by_account(metrics.catch_attempt(v, hot_rows)),
+        metrics.attempts_by_account(metrics.catch_attempt(v)),
         metrics.sessions_by_account(visits),
         visits,
     )

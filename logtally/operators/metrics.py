@@ -18,7 +18,7 @@ from logtally.functions.values import (
     rows,
     seconds_between,
 )
-from logtally.operators.ordered import HOT_ROWS, Ordered, account_group
+from logtally.operators.ordered import Ordered, account_group
 from logtally.operators.quantiles import exact_quantiles
 
 TRADES = ("ITEM_BUY", "ITEM_SELL")
@@ -37,7 +37,7 @@ def _known_account() -> Column:
 # --- economy -------------------------------------------------------------
 
 
-def money_series(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def money_series(v: DataFrame) -> DataFrame:
     """Trades with a balance, each with the account's balance before it."""
     trades = (
         v.where(_action(*TRADES) & F.col("money_after").isNotNull())
@@ -54,7 +54,7 @@ def money_series(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         )
         .withColumn("_account", account_group())
     )
-    ordered = Ordered(trades, ["_account"], "_account", hot_rows)
+    ordered = Ordered(trades, ["_account"])
     linked = ordered.neighbour(["money_after", "created_at"], "_prev", ahead=False)
     before, then = F.col("_prev.money_after"), F.col("_prev.created_at")
     return linked.select(
@@ -159,7 +159,7 @@ def bait_rock_from(activity: DataFrame) -> DataFrame:
 # --- catching ------------------------------------------------------------
 
 
-def catch_attempt(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def catch_attempt(v: DataFrame) -> DataFrame:
     """Attempts with their outcome.
 
     The n-th attempt of an account on one wild creature belongs to the n-th
@@ -175,7 +175,7 @@ def catch_attempt(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     events = v.where(
         (tries | fails) & _known_account() & F.col("wild_uid").isNotNull()
     ).select(*kept, "catch_reason", "action")
-    numbered = Ordered(events, [*keys, "action"], "account_id", hot_rows).number("_nth")
+    numbered = Ordered(events, [*keys, "action"]).number("_nth")
     failed = numbered.where(fails).select(
         *keys, "_nth", F.col("created_at").alias("failed_at"), "catch_reason"
     )
@@ -215,8 +215,8 @@ def attempts_by_account(attempts: DataFrame) -> DataFrame:
     )
 
 
-def catch_rate_daily(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return catch_rate_from(attempts_by_account(catch_attempt(v, hot_rows)), v)
+def catch_rate_daily(v: DataFrame) -> DataFrame:
+    return catch_rate_from(attempts_by_account(catch_attempt(v)), v)
 
 
 def catch_rate_from(per_account: DataFrame, v: DataFrame) -> DataFrame:
@@ -255,12 +255,12 @@ def catch_rate_from(per_account: DataFrame, v: DataFrame) -> DataFrame:
 # --- sessions ------------------------------------------------------------
 
 
-def safari_session(v: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def safari_session(v: DataFrame) -> DataFrame:
     """Each entry with the exit that directly follows it, if one does."""
     moves = v.where(
         _action("SAFARI_ENTER", "SAFARI_EXIT") & _known_account() & outside_tutorial()
     ).select("id", "account_id", "action", "map_id", "created_at", "created_at_kst")
-    linked = Ordered(moves, ["account_id"], "account_id", hot_rows).neighbour(
+    linked = Ordered(moves, ["account_id"]).neighbour(
         ["action", "created_at", "map_id"], "_next", ahead=True
     )
     left = F.coalesce(F.col("_next.action") == "SAFARI_EXIT", F.lit(False))

@@ -1,9 +1,9 @@
 """Previous row, next row and row number inside a group, safe for hot groups.
 
-A plain window puts each group into one task. Here the few groups with very
-many rows are cut into time slots first: windows run per (group, slot), and a
-small table with one row per slot of a hot group carries the slot borders.
-Every other group has the single slot 0, so for it this is the plain window.
+A plain window puts each group into one task. Here every group is cut into
+hours: windows run per (group, slot), and a table with one row per group and
+slot, combined before it is shuffled, carries the slot borders. A group of any
+size takes the same path; no task holds more than its hour.
 
 Rows are ordered by ``created_at`` (NULL last), then ``id``; ids are unique.
 """
@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtally.functions.values import epoch_micros, rows
 
-HOT_ROWS = 1_000_000  # groups up to this size are never cut
-HOT_GROUPS = 10_000  # most groups that are cut: bounds the broadcast
-SLOT_SECONDS = 60
+SLOT_SECONDS = 3600
 
 _SLOT = "_slot"
 _NO_TIME = 1 << 61  # above every time slot
@@ -32,22 +30,6 @@ def account_group() -> Column:
     return F.coalesce(F.col("account_id").cast("bigint"), F.lit(_NULL_ACCOUNT))
 
 
-def hot_groups(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest groups above ``hot_rows``, ``HOT_GROUPS`` at most.
-
-    The bound makes the result safe to broadcast. It loses nothing: a group
-    that is left out has at most 1/10,000 of all rows and fits one task.
-    """
-    return (
-        df.groupBy(key)
-        .agg(rows().alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_GROUPS)
-        .select(key)
-    )
-
-
 def _slot_of_row(slot_seconds: int) -> Column:
     """Grows with (created_at NULL last, id), so slots keep the row order."""
     by_time = F.floor(epoch_micros(F.col("created_at")) / (slot_seconds * 1_000_000))
@@ -58,28 +40,13 @@ def _slot_of_row(slot_seconds: int) -> Column:
 class Ordered:
     """``df`` prepared for ordered access within groups of ``keys``.
 
-    ``hot_on`` is the key whose hot values get cut; it is one of ``keys``.
     Key columns must not be NULL.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: list[str],
-        hot_on: str,
-        hot_rows: int = HOT_ROWS,
-        slot_seconds: int = SLOT_SECONDS,
-    ) -> None:
+    def __init__(self, df: DataFrame, keys: list[str], slot_seconds: int = SLOT_SECONDS) -> None:
         self.keys = keys
         self.cells = [*keys, _SLOT]
-        hot = F.broadcast(hot_groups(df, hot_on, hot_rows).withColumn("_hot", F.lit(1)))
-        slot = _slot_of_row(slot_seconds)
-        self.rows = df.join(hot, hot_on, "left").withColumn(
-            _SLOT, F.when(F.col("_hot").isNotNull(), slot).otherwise(F.lit(0))
-        )
-        self.rows = self.rows.drop("_hot")
-        # Rows of cut groups only; empty, and not even run, if nothing is hot.
-        self.cut = df.join(hot, hot_on).withColumn(_SLOT, slot).drop("_hot")
+        self.rows = df.withColumn(_SLOT, _slot_of_row(slot_seconds))
 
     def _in_cell(self):
         return Window.partitionBy(*self.cells).orderBy(*order_keys())
@@ -100,7 +67,7 @@ class Ordered:
             border = F.max_by(fields, position)
             across = F.lag("_border").over(self._over_slots())
         borders = (
-            self.cut.groupBy(*self.cells)
+            self.rows.groupBy(*self.cells)
             .agg(border.alias("_border"))
             .select(*self.cells, across.alias("_across"))
         )
@@ -115,7 +82,7 @@ class Ordered:
         """Add the 1-based row number ``name`` within each group."""
         before = self._over_slots().rowsBetween(Window.unboundedPreceding, -1)
         offsets = (
-            self.cut.groupBy(*self.cells)
+            self.rows.groupBy(*self.cells)
             .agg(rows().alias("_n"))
             .select(*self.cells, F.sum("_n").over(before).alias("_before"))
         )

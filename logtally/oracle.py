@@ -556,14 +556,19 @@ WHERE money_before + if(action = 'ITEM_SELL', trade_amount, -trade_amount) <> mo
 # --- product and abuse questions ---------------------------------------------------
 
 
-def _within(days: int) -> str:
-    return f"created_at > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL {days} DAY"
+def _within(days: int, as_of: str = "2024-01-31 00:00:00") -> str:
+    end = f"TIMESTAMP '{as_of}'"
+    return f"created_at > {end} - INTERVAL {days} DAY AND created_at <= {end}"
 
 
 SQL["dau_recent"] = f"""{_BASE}
 SELECT {_TEXT_DAY}, count(DISTINCT account_id) AS dau FROM v
 WHERE {_within(30)} AND account_id IS NOT NULL GROUP BY day"""
 
+SQL["dau_recent_past"] = f"""{_BASE}
+SELECT {_TEXT_DAY}, count(DISTINCT account_id) AS dau FROM v
+WHERE {_within(10, "2024-01-20 00:00:00")} AND account_id IS NOT NULL GROUP BY day"""
+
 SQL["funnel"] = f"""{_BASE}
 SELECT {_n("signup")} AS signup, {_n("avatar")} AS avatar, {_n("caught")} AS first_catch
 FROM (SELECT bool_or(action IN ('REGISTER_LOCAL', 'LOGIN_OAUTH')) AS signup,

@@ -74,15 +74,10 @@ def assertions(
     as_of,
     gap_days: int = 3,
     gap_threshold: int = GAP_THRESHOLD,
-    fresh: DataFrame | None = None,
 ) -> DataFrame:
-    """All assertions as (check_name, detail), ordered by both.
-
-    ``fresh`` narrows the search for duplicate ids, the one check that shuffles
-    every row: after each load, the rows in that load's id range are enough.
-    """
+    """All assertions over the whole table as (check_name, detail), ordered by both."""
     checks = [
-        duplicate_ids(audit if fresh is None else fresh),
+        duplicate_ids(audit),
         ip_column(spark, audit),
         unmasked_urls(v),
         username_column(spark, v),

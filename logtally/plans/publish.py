@@ -106,6 +106,7 @@ def _check_drilldown(shot: Snapshot) -> None:
 
 
 def _refuse(violations: DataFrame) -> None:
-    found = violations.limit(20).collect()  # as many as one message holds
-    if found:
-        raise ContractError("; ".join(str(r) for r in found))
+    total = violations.count()
+    if total:
+        some = violations.limit(20).collect()  # as many as one message holds
+        raise ContractError(f"{total} violations: " + "; ".join(str(r) for r in some))

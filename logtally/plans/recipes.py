@@ -17,7 +17,7 @@ from logtally.functions.values import (
     within_days,
 )
 from logtally.operators.metrics import TRADES
-from logtally.operators.ordered import HOT_ROWS, Ordered, account_group
+from logtally.operators.ordered import Ordered, account_group
 from logtally.operators.quantiles import exact_quantiles
 from logtally.schema import TICKET_ITEM
 
@@ -99,14 +99,14 @@ def catch_composition(v: DataFrame, dim: DataFrame, as_of, days: int = 14) -> Da
     )
 
 
-def reentry_gap(v: DataFrame, as_of, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFrame:
+def reentry_gap(v: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Time from each entry to the account's next one."""
     entries = (
         v.where(_is("SAFARI_ENTER") & within_days(as_of, days))
         .select("id", "account_id", "created_at")
         .withColumn("_account", account_group())
     )
-    linked = Ordered(entries, ["_account"], "_account", hot_rows).neighbour(
+    linked = Ordered(entries, ["_account"]).neighbour(
         ["created_at"], "_next", ahead=True
     )
     return linked.select(
@@ -199,13 +199,12 @@ def bot_screen(
     max_gap: float = 300,
     min_events: int = 300,
     top: int = 20,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Accounts whose events follow each other too evenly."""
     events = v.where(within_days(as_of, days) & F.col("account_id").isNotNull()).select(
         "id", "account_id", "created_at"
     )
-    linked = Ordered(events, ["account_id"], "account_id", hot_rows).neighbour(
+    linked = Ordered(events, ["account_id"]).neighbour(
         ["created_at"], "_prev", ahead=False
     )
     micros = epoch_micros(F.col("created_at")) - epoch_micros(F.col("_prev.created_at"))
@@ -217,13 +216,14 @@ def bot_screen(
         .agg(rows().alias("n"), F.stddev_samp(F.col("_gap") / 1e6).alias("_sd"))
         .where(F.col("n") >= min_events)
     )
-    # Gaps stay below 2^29 microseconds: cells of 2^14 keep both passes small.
+    # Cells of the first pass: 2^15 at most for gaps up to ``max_gap``.
+    widest = max(1, int(max_gap * 1e6)).bit_length()
     middle = exact_quantiles(
         gaps.join(spread.select("account_id"), "account_id", "left_semi"),
         "account_id",
         "_gap",
         {"_median": 0.5},
-        shift=14,
+        shift=max(14, widest - 15),
         unit=1e6,
     )
     median, sd = F.col("_median"), F.col("_sd")

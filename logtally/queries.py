@@ -381,6 +381,14 @@ def _recent(name: str, days: int, operator: Callable[[DataFrame], DataFrame]) ->
 
 
 _recent("dau_recent", 30, lambda v: recipes.recent_dau(v, AS_OF))
+PAST = "2024-01-20 00:00:00"  # rows lie on both sides
+
+
+@_register("dau_recent_past")
+def dau_recent_past(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.recent_dau(bridge.store(spark, sf_dir).recent(PAST, 10), PAST, 10)
+
+
 _recent("funnel", 30, lambda v: recipes.funnel(v, AS_OF))
 _recent("faucet_sink", 30, lambda v: recipes.faucet_sink(v, AS_OF))
 _recent("map_edges", 7, lambda v: recipes.map_edges(v, AS_OF))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -12,14 +13,16 @@ _OWN_DIR: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only where the session names none (a single-machine test) a fresh local
-    folder is made and set.
+    Only where the session names none and runs on one machine (a test), a fresh
+    local folder is made; on a cluster that would be an error, and is one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="logtally-"))
     return _OWN_DIR[0]
@@ -66,7 +69,7 @@ def create(spark: SparkSession, path: str, text: str) -> None:
     """
     fs, target = _fs(spark, path)
     side = spark._jvm.org.apache.hadoop.fs.Path(
-        target.getParent(), f".{target.getName()}.{spark.sparkContext.applicationId}"
+        target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}"
     )
     out = fs.create(side, True)
     out.write(bytearray(text, "utf-8"))

@@ -7,8 +7,8 @@
 A run's files are written first, then one rename adds a commit file that lists
 them. What no commit lists is not there: a failed run leaves nothing visible,
 and a retry writes new folders. Readers open one small file, the newest commit,
-or an older one for an older version. One writer at a time is assumed, and a
-second one fails at the commit.
+or an older one for an older version. A run is pinned to the commit it has read
+and can only become the next one: of two overlapping writers one fails.
 
     append   new rows, ids unseen before
     force    rows that replace earlier rows of the same id
@@ -53,6 +53,7 @@ class RunWriter:
 
     store: "Store"
     kind: str
+    base: int  # the commit that this run has read; it becomes the next one
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
     parts: list[str] = field(default_factory=list)
     min_id: int | None = None
@@ -94,9 +95,13 @@ class RunWriter:
         )
 
     def commit(self) -> None:
-        store = Store(self.store.spark, self.store.root)
-        number = store.last_number()
-        runs = store.committed()
+        """Become commit ``base + 1``, or fail if another run already has.
+
+        What came after the commit this run has read is unknown to it: neither
+        could it tell known ids from new ones, nor replace rows it has not seen.
+        """
+        store = Store(self.store.spark, self.store.root, self.base)
+        number, runs = self.base, store.committed()
         if self.kind == "compact":
             runs = [replace(r, parts=tuple(p for p in r.parts if p != "audit")) for r in runs]
         runs.append(
@@ -151,7 +156,7 @@ class Store:
         return [Run(**{**r, "parts": tuple(r["parts"])}) for r in records]
 
     def new_run(self, kind: str) -> RunWriter:
-        return RunWriter(self, kind)
+        return RunWriter(self, kind, self.last_number() if self.at is None else self.at)
 
     def path(self, part: str, name: str) -> str:
         return f"{self.root}/{part}/run={name}"
@@ -162,32 +167,30 @@ class Store:
     # --- facts -----------------------------------------------------------
 
     def _stored(self) -> DataFrame:
-        typed = _typed_columns(self.spark)
-        table: DataFrame | None = None
-        waiting: list[Run] = []
-
-        def read(runs: list[Run]) -> DataFrame:
-            reader = self.spark.read.schema(typed).option("basePath", f"{self.root}/audit")
-            return reader.parquet(*[self._part(r, "audit") for r in runs])
-
-        def add(more: DataFrame) -> DataFrame:
-            return more if table is None else table.unionByName(more)
+        """Rows of all runs, less those that a later forced run replaced.
 
-        for run in self.committed():
-            if "audit" not in run.parts:
-                continue
-            if run.kind == "force":
-                if waiting:
-                    table, waiting = add(read(waiting)), []
-                forced = read([run])
-                if table is not None:
-                    table = _without_ids(table, forced, run.min_id, run.max_id)
-                table = add(forced)
-            else:
-                waiting.append(run)
-        if waiting:
-            table = add(read(waiting))
-        return self.spark.createDataFrame([], typed) if table is None else table
+        One scan, whatever the number of forced runs: their ids, each with the
+        newest run that forced it, are joined once against the rows.
+        """
+        typed = _typed_columns(self.spark)
+        runs = [r for r in self.committed() if "audit" in r.parts]
+        if not runs:
+            return self.spark.createDataFrame([], typed)
+
+        reader = self.spark.read.schema(typed).option("basePath", f"{self.root}/audit")
+        table = reader.parquet(*[self._part(r, "audit") for r in runs])
+        forced = [r for r in runs if r.kind == "force"]
+        if not forced:
+            return table
+        order = self.spark.createDataFrame(
+            [(r.name, i) for i, r in enumerate(runs)], "run string, _order int"
+        )
+        ordered = table.join(order, "run")
+        by = ordered.where(F.col("run").isin([r.name for r in forced])).groupBy("id").agg(
+            F.max("_order").alias("_by")
+        )
+        kept = ordered.join(by, "id", "left").where("_by IS NULL OR _order >= _by")
+        return kept.select(*typed.fieldNames())
 
     def audit_v(self, days: tuple | None = None) -> DataFrame:
         """The typed view. ``days`` (first, last), KST, prunes whole folders."""
@@ -202,23 +205,13 @@ class Store:
         return self.audit_v(days).select(*_AUDIT_COLUMNS)
 
     def recent(self, as_of, days: int) -> DataFrame:
-        """The typed view from ``days`` before ``as_of`` on, whole local days.
+        """The typed view from ``days`` before ``as_of`` up to it, whole local days.
 
-        For questions about a recent window: older day folders are not read.
+        For questions about a window: other day folders are not read.
         """
         first = instant(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-        stored = self._stored().where(F.col("d_kst") >= to_kst(first).cast("date"))
-        return stored.drop("run", "d_kst")
-
-    def last_load(self) -> DataFrame:
-        """All rows, of any run, in the id range of the newest run with rows.
-
-        A load can only have doubled ids of its own range.
-        """
-        runs = [r for r in self.committed() if "audit" in r.parts]
-        if not runs or runs[-1].min_id is None:
-            return self.audit_v().limit(0)
-        return in_id_range(self.audit_v(), runs[-1].min_id, runs[-1].max_id)
+        ends = [to_kst(t).cast("date") for t in (first, instant(as_of))]
+        return self._stored().where(F.col("d_kst").between(*ends)).drop("run", "d_kst")
 
     def latest_event(self) -> DataFrame:
         """Time of the newest event, one row, from the commits where they tell.
@@ -235,8 +228,9 @@ class Store:
 
     def compact(self) -> None:
         """Rewrite all rows as one run; worth it after forced or many small runs."""
-        run = self.new_run("compact")
-        run.write_typed(self.audit_v())
+        now = self.snapshot()
+        run = now.new_run("compact")
+        run.write_typed(now.audit_v())
         run.commit()
 
     # --- history and dimensions ------------------------------------------
@@ -290,14 +284,5 @@ def in_id_range(df: DataFrame, low: int, high: int) -> DataFrame:
     return df.where(F.col("id").between(low, high))
 
 
-def _without_ids(table: DataFrame, gone: DataFrame, low: int, high: int) -> DataFrame:
-    """``table`` less the ids of ``gone``; only its id range is joined at all."""
-    if low is None:
-        return table
-    inside = in_id_range(table, low, high).join(gone.select("id"), "id", "left_anti")
-    outside = table.where(~F.col("id").between(low, high))
-    return inside.unionByName(outside)
-
-
 def count_rows(df: DataFrame) -> int:
     return df.agg(rows()).first()[0]

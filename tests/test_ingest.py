@@ -258,10 +258,40 @@ def test_daily_run_loads_and_checks(spark, store, base):
     row, found = ingest.daily(spark, store, base, NOW)
     assert row.rows_inserted == 3
     assert [tuple(r) for r in found.collect()] == [("gap", "2→5000")]
-    assert ids(store.last_load()) == [1, 2, 5_000]
-    ship(base, "2026-08-22", [line(5_001)])
-    ingest.load(spark, store, base, NOW)
-    assert ids(store.last_load()) == [5_001]
+
+
+def test_doubled_ids_are_found_after_later_loads(spark, store, base):
+    ship(base, DAY, [line(1), line(2)])
+    load(spark, store, base)
+    twice = store.new_run("append")
+    twice.write_audit(store.audit().where("id = 1"))
+    twice.commit()
+    ship(base, "2026-08-22", [line(900)])
+    _, found = ingest.daily(spark, store, base, NOW)
+    assert ("dup", "1") in [tuple(r) for r in found.collect()]
+
+
+def test_overlapping_runs_cannot_both_commit(spark, store, base):
+    ship(base, DAY, [line(1), line(2)])
+    load(spark, store, base)
+    first, second = store.new_run("append"), store.new_run("compact")
+    for run, number in ((first, 3), (second, 4)):
+        run.write_audit(store.audit().where("id = 1").selectExpr(f"{number} AS id", "* EXCEPT (id)"))
+    first.commit()
+    with pytest.raises(FileExistsError):
+        second.commit()
+    assert ids(store.audit_v()) == [1, 2, 3]
+
+
+def test_scans_do_not_grow_with_forced_loads(spark, store, base):
+    ship(base, DAY, [line(1), line(2)])
+    scans = []
+    for _ in range(4):
+        ingest.load(spark, store, base, NOW, force=True)
+        plan = store.audit_v()._jdf.queryExecution().optimizedPlan().toString()
+        scans.append(plan.count("Relation ["))
+        assert ids(store.audit_v()) == [1, 2]
+    assert len(set(scans[1:])) == 1 and scans[-1] <= 2
 
 
 def test_schema_checks(spark):

@@ -1,6 +1,5 @@
 import datetime
 
-import pytest
 
 from helpers import at, view
 from logtally.operators import drilldown, metrics
@@ -13,8 +12,7 @@ def by_id(df, key="id"):
     return {r[key]: r for r in df.collect()}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_attempts_pair_by_ordinal(spark, hot_rows):
+def test_attempts_pair_by_ordinal(spark):
     def attempt(i, clock, account=1, uid="w", **more):
         return (i, account, "POKEMON_CATCH_ATTEMPT", DAY + clock,
                 {"mapId": "s001", "wildUid": uid, **more})
@@ -32,7 +30,7 @@ def test_attempts_pair_by_ordinal(spark, hot_rows):
             attempt(8, "10:04:00", account=None), attempt(9, "10:04:00", uid=None),
         ],
     )
-    got = by_id(metrics.catch_attempt(v, hot_rows))
+    got = by_id(metrics.catch_attempt(v))
     assert sorted(got) == [1, 3, 5, 6]
     assert (got[1].outcome, got[1].outcome_inferred) == ("break_out", False)
     # A failure without a reason counts as caught but leaves its time.
@@ -42,8 +40,7 @@ def test_attempts_pair_by_ordinal(spark, hot_rows):
     assert got[6].outcome == "odd"
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_only_the_next_event_closes_a_session(spark, hot_rows):
+def test_only_the_next_event_closes_a_session(spark):
     def move(i, clock, what, place="s001", account=1):
         return (i, account, what, DAY + clock, {"mapId": place})
 
@@ -58,7 +55,7 @@ def test_only_the_next_event_closes_a_session(spark, hot_rows):
             move(6, "10:30:00", "SAFARI_ENTER", account=None),
         ],
     )
-    got = sorted(metrics.safari_session(v, hot_rows).collect(), key=lambda r: r.entered_at)
+    got = sorted(metrics.safari_session(v).collect(), key=lambda r: r.entered_at)
     assert [(r.closed, r.dwell_sec, r.exit_map) for r in got] == [
         (False, None, None), (True, 300.0, "s002"), (False, None, None),
     ]
@@ -99,8 +96,7 @@ def test_session_over_local_midnight_and_tutorial(spark):
     assert totals["safari_session", "all"] == 2 and totals["catch_rate", "broke_out"] == 1
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_balance_series(spark, hot_rows):
+def test_balance_series(spark):
     def trade(i, clock, account, action, money, **more):
         return (i, account, action, DAY + clock, {"money": money, **more})
 
@@ -115,7 +111,7 @@ def test_balance_series(spark, hot_rows):
             trade(6, "10:00:09", None, "ITEM_SELL", 11, totalGain=1),
         ],
     )
-    got = by_id(metrics.money_series(v, hot_rows))
+    got = by_id(metrics.money_series(v))
     assert sorted(got) == [1, 2, 4, 5, 6]
     assert (got[2].money_before, got[2].money_delta, got[2].secs_since_prev) == (900, 50, 30.0)
     assert got[1].money_before is None and got[6].money_delta == 1  # no account is a group
@@ -191,8 +187,7 @@ def test_tickets_are_counted_in_pieces(spark):
     assert [(r.account_id, r.enters, r.acquired, r.deficit) for r in got] == [(2, 4, 2, 2)]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_even_steps_look_like_a_bot(spark, hot_rows):
+def test_even_steps_look_like_a_bot(spark):
     def events(account, steps, first):
         now, rows = at(DAY + "00:00:00"), []
         for i, step in enumerate(steps):
@@ -206,7 +201,7 @@ def test_even_steps_look_like_a_bot(spark, hot_rows):
         + events(4, [0.05] * 40 + [400] * 40, 300),
     )
     got = recipes.bot_screen(
-        v, "2026-08-21 00:00:00", min_events=30, hot_rows=hot_rows
+        v, "2026-08-21 00:00:00", min_events=30
     ).collect()
     assert [(r.account_id, r.n, r.median_s, r.sd_s) for r in got] == [
         (1, 39, 5.0, 0.0), (2, 39, 9.0, 4.05),

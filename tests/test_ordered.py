@@ -8,9 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from logtally.operators import ordered
 from logtally.operators.id_gaps import id_gaps
-from logtally.operators.ordered import Ordered, hot_groups, order_keys
+from logtally.operators.ordered import Ordered, order_keys
 from logtally.operators.quantiles import exact_quantiles
 
 START = datetime(2026, 8, 20)
@@ -30,40 +29,30 @@ def skewed(spark):
     ).repartition(5)
 
 
-def test_hot_groups_are_found(skewed):
-    assert [r.account_id for r in hot_groups(skewed, "account_id", 100).collect()] == [7]
-    assert hot_groups(skewed, "account_id", 10_000).count() == 0
-
-
-def test_hot_group_limit_bounds_the_broadcast(skewed, monkeypatch):
-    monkeypatch.setattr(ordered, "HOT_GROUPS", 3)
-    assert hot_groups(skewed, "account_id", 1).count() == 3
-
-
-@pytest.mark.parametrize("hot_rows", [0, 100, 10_000])
+@pytest.mark.parametrize("seconds", [1, 60, 3600])
 @pytest.mark.parametrize("ahead", [True, False])
-def test_neighbour_equals_plain_window(skewed, hot_rows, ahead):
+def test_neighbour_equals_plain_window(skewed, seconds, ahead):
     window = Window.partitionBy("account_id").orderBy(*order_keys())
     step = F.lead if ahead else F.lag
     plain = skewed.select("id", step("x").over(window).alias("n"), step("id").over(window).alias("m"))
-    split = Ordered(skewed, ["account_id"], "account_id", hot_rows).neighbour(
+    split = Ordered(skewed, ["account_id"], seconds).neighbour(
         ["x", "id"], "_n", ahead
     )
     got = split.select("id", F.col("_n.x").alias("n"), F.col("_n.id").alias("m"))
     assert sorted(got.collect()) == sorted(plain.collect())
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100])
-def test_number_equals_plain_window(skewed, hot_rows):
+@pytest.mark.parametrize("seconds", [1, 3600])
+def test_number_equals_plain_window(skewed, seconds):
     two = skewed.withColumn("kind", F.col("x") % 2)
     window = Window.partitionBy("account_id", "kind").orderBy(*order_keys())
     plain = two.select("id", F.row_number().over(window).cast("bigint").alias("n"))
-    got = Ordered(two, ["account_id", "kind"], "account_id", hot_rows).number("n")
+    got = Ordered(two, ["account_id", "kind"], seconds).number("n")
     assert sorted(got.select("id", "n").collect()) == sorted(plain.collect())
 
 
 def test_no_single_task_holds_the_hot_group(skewed):
-    cut = Ordered(skewed, ["account_id"], "account_id", hot_rows=100).rows
+    cut = Ordered(skewed, ["account_id"], 60).rows
     biggest = cut.groupBy("account_id", "_slot").count().agg(F.max("count")).first()[0]
     assert biggest < 100
 
