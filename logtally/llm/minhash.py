@@ -218,29 +218,30 @@ def near_duplicates(
         else texts.join(wanted, "id", "left_semi").mapInArrow(_set_rows, "id long, items array<long>"),
         "sets",
     )
-    links = written(
-        spark, _verified(close(member.select(F.col("hub0").alias("a"), F.col("id").alias("b"))), sets), "links"
-    )
+    root = components(spark, _verified(close(member.select(F.col("hub0").alias("a"), F.col("id").alias("b"))), sets))
     for turn in range(1, HUBS + 1):
         hubs = [f"hub{turn}"] if turn < HUBS else []
-        root = components(spark, links)
         placed = written(
             spark,
             member.join(root, "id", "left").select(*hubs, "band", "id", F.coalesce("root", "id").alias("root")),
             "placed",
         )
-        mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        open_rows = placed.join(mixed.where("lo <> hi").select("band"), "band", "left_semi")
+        ends = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        mixed = written(spark, ends.where("lo <> hi").select("band"), "mixed")
+        if mixed.isEmpty():  # every bucket lies in one component
+            break
+        open_rows = placed.join(mixed, "band", "left_semi")
         if hubs:
             hub = placed.select("band", F.col("id").alias(hubs[0]), F.col("root").alias("r_hub"))
             pairs = open_rows.join(hub, ["band", hubs[0]]).where("root <> r_hub")
             found = _verified(close(pairs.select(F.col(hubs[0]).alias("a"), F.col("id").alias("b"))), sets)
         else:
             found = _in_blocks(spark, open_rows, sets)
-        tied = root.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-        links = written(spark, tied.unionByName(found), "links")
+        late = written(spark, found, "late-links")
+        if not late.isEmpty():  # else the components stay as they are
+            tied = root.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+            root = components(spark, tied.unionByName(late))
 
-    root = components(spark, links)
     roots = (
         copies.join(root.withColumnRenamed("id", "rep"), "rep", "left")
         .select("id", F.coalesce("root", "rep").alias("root"))
