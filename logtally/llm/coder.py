@@ -33,8 +33,8 @@ from logtally.llm.tokens import crc32, encoder
 from logtally.llm.words import parts
 from logtally.sources import files
 
-BLOCK, LANES = 4096, 512
-SLOTS = 1 << 13  # of each table of predictions
+BLOCK, LANES = 1024, 1024  # short blocks: many lanes share each numpy call
+SLOTS = 1 << 12  # of each table of predictions
 SURE = 7  # most a prediction is trusted
 STEP, LIMIT = 24, 1 << 14  # added to a frequency; sum at which a row is halved
 _TOP, _BOTTOM, _WORD = np.uint64(1 << 24), np.uint64(1 << 16), np.uint64(0xFFFFFFFF)
@@ -105,8 +105,8 @@ class _Mixer:
         self.coder = coder
         self.weights = np.ones((n * 64, 3), np.uint16) * np.uint16(STEP)
         self.nibbles = [np.ones((n * 16**k, 16), np.uint16) for k in range(4)]
-        self.guess = np.zeros((2, n * SLOTS), np.int64)
-        self.trust = np.zeros((2, n * SLOTS), np.int64)
+        self.guess = np.zeros((2, n * SLOTS), np.uint16)
+        self.trust = np.zeros((2, n * SLOTS), np.uint8)
         self.last = np.zeros((2, n), np.int64)
 
     @staticmethod
@@ -120,8 +120,8 @@ class _Mixer:
         lane = np.arange(n)
         one, two = self.last[0, :n], self.last[1, :n]
         slot = lane * SLOTS + np.stack([(one * 0x9E5) % SLOTS, (one * 0x9E3779B1 + two * 0x85EBCA77 >> 7) % SLOTS])
-        guess = np.take_along_axis(self.guess, slot, axis=1)
-        trust = np.take_along_axis(self.trust, slot, axis=1)
+        guess = np.stack([self.guess[k, slot[k]] for k in range(2)]).astype(np.int64)
+        trust = np.stack([self.trust[k, slot[k]] for k in range(2)]).astype(np.int64)
         gate = lane * 64 + trust[1] * 8 + trust[0]
         pick = None
         if ids is not None:
