@@ -50,7 +50,7 @@ _MONEY = """money AS (
   SELECT b.*, lag(money_after) OVER prior AS money_before,
     lag(created_at) OVER prior AS before_at
   FROM v b
-  WHERE action LIKE 'ITEM_%' AND action <> 'ITEM_GIVE_HOLD'
+  WHERE action IN ('ITEM_BUY', 'ITEM_SELL')
     AND money_after IS NOT NULL
   WINDOW prior AS (PARTITION BY account_id ORDER BY created_at, id))"""
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.functions.values import kst_day, payload, rows, within_days
 from logtally.operators.dimensions import orphan_keys
-from logtally.operators.drilldown import CATEGORIES, SCOPE
+from logtally.operators.drilldown import CATEGORIES, SCOPE, drill_preview, drill_totals
 from logtally.operators.id_gaps import GAP_THRESHOLD, id_gaps
 from logtally.plans.series import SERIES
 from logtally.schema import SERIES_DAYS
@@ -285,6 +285,22 @@ def drill_invariants(series: dict[str, DataFrame], counts: DataFrame) -> DataFra
     return off.union(twice.select(*SCOPE, F.lit("account"), F.col("least"), F.col("n")))
 
 
+def preview_invariants(counts: DataFrame, preview: DataFrame, totals: DataFrame) -> DataFrame:
+    """Where a published preview or total is not what the drill-down gives.
+
+    One row per metric, category, day and rule with the number of rows that
+    are missing or too many: a preview holds the first ten accounts by count
+    and id, each once, and a total the accounts and unidentified records.
+    """
+    pairs = {"preview": (drill_preview(counts), preview), "totals": (drill_totals(counts), totals)}
+    parts = []
+    for name, (expected, published) in pairs.items():
+        published = published.select(*expected.columns)
+        for rule, more, less in (("missing", expected, published), ("extra", published, expected)):
+            parts.append(more.exceptAll(less).select(*SCOPE, F.lit(f"{name}_{rule}").alias("rule")))
+    return reduce(DataFrame.unionByName, parts).groupBy(*SCOPE, "rule").agg(rows().alias("n"))
+
+
 def _mismatch(name: str, published: Column, found: Column, applies: Column) -> Column:
     number = F.coalesce(found, F.lit(0))
     return F.struct(

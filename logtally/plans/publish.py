@@ -42,6 +42,7 @@ def publish(store: Store, out: str, built_at) -> str:
         lambda: shot.totals.repartition(1).write.json(f"{folder}/totals"),
         lambda: shot.preview.repartition(1).write.json(f"{folder}/preview"),
     )
+    _check_preview(shot, folder)
     for name, frame in {"meta": shot.meta, **shot.series}.items():
         files.create(spark, f"{folder}/series/{name}.json", _array(frame))
     explained = [
@@ -105,6 +106,14 @@ def _check_drilldown(shot: Snapshot) -> None:
     _refuse(checks.drill_invariants(shot.series, shot.counts))
 
 
+def _check_preview(shot: Snapshot, folder: str) -> None:
+    """What was written, read back, against the drill-down."""
+    read = shot.counts.sparkSession.read
+    preview = read.schema(shot.preview.schema).json(f"{folder}/preview")
+    totals = read.schema(shot.totals.schema).json(f"{folder}/totals")
+    _refuse(checks.preview_invariants(shot.counts, preview, totals))
+
+
 def _refuse(violations: DataFrame) -> None:
     total = violations.count()
     if total:

@@ -127,3 +127,22 @@ def test_contract_rules(spark, store, tmp_path):
     negative = spark.createDataFrame([(1, -1, None, 0)], row)
     assert [r.rule for r in checks.meta_contract(negative).collect()] == ["negative:last_inserted"]
     assert [r.rule for r in checks.meta_contract(negative.where("false")).collect()] == ["row_count"]
+
+
+def test_spoiled_preview_and_totals_are_found(spark):
+    day = datetime(2026, 8, 20).date()
+    rows = [("dau", "active", day, i, 20 - i) for i in range(1, 13)] + [("dau", "new", day, None, 2)]
+    layout = "metric string, category string, d date, account_id int, count bigint"
+    counts = spark.createDataFrame(rows, layout)
+    preview, totals = drilldown.drill_preview(counts), drilldown.drill_totals(counts)
+
+    def found(preview, totals):
+        return {(r.category, r.rule, r.n) for r in checks.preview_invariants(counts, preview, totals).collect()}
+
+    assert preview.count() == 10 and found(preview, totals) == set()
+    assert found(preview.where("rank < 10"), totals) == {("active", "preview_missing", 1)}
+    assert found(preview.union(preview.where("rank = 1")), totals) == {("active", "preview_extra", 1)}
+    off = totals.withColumn("unidentified_records", F.col("unidentified_records") + 1)
+    assert found(preview, off.where("category = 'new'")) == {
+        ("active", "totals_missing", 1), ("new", "totals_missing", 1), ("new", "totals_extra", 1)
+    }
