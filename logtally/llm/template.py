@@ -13,8 +13,10 @@ vector. What the frame leaves over are slots, and their text is extracted.
 
 Slots in elements that hold no article text (menus, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles, comments of readers) are
-left out by element, role and class name. If a page marks its article (article
-or main element, or a class that says so), only slots inside count. Where all
+left out by element, role and class name. A class name counts if it is one of
+``_OUTSIDE_NAMES`` as a whole and the element does not hold the marked article.
+If a page marks its article (article or main element, or a class that says so),
+only slots inside count. Where all
 text of a page would be template, as on a host of equal pages, nothing varies
 and the deduction is not used for it.
 
@@ -44,7 +46,7 @@ CLASS_SIZE = 3  # tokens
 
 # Element names of HTML, and names that sites give to such parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
+RAW = frozenset("script style noscript template iframe textarea title svg object".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
@@ -54,13 +56,18 @@ OUTSIDE = frozenset(
     "head nav footer aside form menu dialog button select option fieldset audio video canvas".split()
 ) | RAW
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-_OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed|s)?|promos?|promotion|banner|cookies?|"
-    r"consent|notices?|notifications?|alerts?|sidebar|side-bar|comments?|disqus|repl(?:y|ies)|menu|nav|navbar|"
-    r"navigation|breadcrumbs?|footer|masthead|related|recommended|share|sharing|social|subscribe|"
-    r"newsletter|popup|modal|widgets?|pagination|pager|tags|login|signup)(?:$|[\s_-])"
+# Whole class names or ids; "has-sidebar" or "comments-open" name no part.
+_OUTSIDE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsor sponsored sponsors promo promos promotion banner "
+    "cookie cookies consent notice notices notification notifications alert alerts sidebar side-bar comment "
+    "comments disqus reply replies menu nav navbar navigation breadcrumb breadcrumbs footer masthead related "
+    "recommended share sharing social subscribe newsletter popup modal widget widgets pagination pager tags login "
+    "signup ad-slot ad-container ad-banner cookie-banner cookie-notice cookie-consent comment-list comments-area "
+    "comments-section comment-body post-comments site-footer page-footer site-nav main-nav main-menu nav-menu "
+    "site-menu sidebar-left sidebar-right left-sidebar right-sidebar related-posts related-articles share-buttons "
+    "social-share social-links newsletter-signup".split()
 )
-_MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry|story|content)(?:$|[\s_-](?:body|content|text)?)")
+_MAIN_NAMES = re.compile(r"(?:^|\s)(?:article|articlebody|main|post|entry|story|content)(?:[_-](?:body|content|text))?(?=$|\s)")
 _P_ENDS = BLOCK - {"html", "body"}
 
 _TOKEN = re.compile(
@@ -81,9 +88,12 @@ def _names(attributes: str) -> tuple[str, str]:
 
 def parse(page: str) -> tuple[list[tuple[str, str, bool]], Counter]:
     """(path, text, inside a marked article) of each block, and counts of tag paths."""
-    blocks: list[tuple[str, str, bool]] = []
+    found: list[tuple[str, str, bool, tuple[int, ...]]] = []
     tags: Counter = Counter()
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, outside, main
+    # name, path, outside, main, ancestors (numbered) whose class names say outside
+    stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = [("", "", False, False, ())]
+    wrappers: set[int] = set()  # those that hold or are an article
+    free = False  # an article that none of them holds
     text: list[str] = []
 
     def flush() -> None:
@@ -91,7 +101,7 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], Counter]:
             block = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if block:
-                blocks.append((stack[-1][1], block, stack[-1][3]))
+                found.append((stack[-1][1], block, stack[-1][3], stack[-1][4]))
 
     def close(k: int) -> None:
         del stack[k:]
@@ -123,6 +133,8 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], Counter]:
                 text.append(" ")
             continue
         if name in RAW:
+            if name == "svg" and m[3].endswith("/"):
+                continue
             shut = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = shut.end() if shut else size
             continue
@@ -139,24 +151,32 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], Counter]:
                     break
         elif name in ("td", "th"):
             text.append(" ")
-        _, path, outside, main = stack[-1]
+        _, path, outside, main, within = stack[-1]
         names, role = _names(m[3])
-        main = main or name in ("article", "main") or role == "main" or (
-            name in ("div", "section") and bool(_MAIN_NAMES.search(names))
-        )
+        article = name in ("article", "main") or role == "main"
+        main = main or article or (name in ("div", "section") and bool(_MAIN_NAMES.search(names)))
         outside = (
             outside
             or name in OUTSIDE
             or (name == "header" and not stack[-1][3])
             or role in OUTSIDE_ROLES
-            or bool(names and name not in ("html", "body") and _OUTSIDE_NAMES.search(names))
         )
+        if names and name not in ("html", "body") and not _OUTSIDE_NAMES.isdisjoint(names.split()):
+            within = (*within, at)
+        if article and not outside:
+            free = free or (name == "article" and not within)
+            wrappers.update(within)
         path = f"{path}/{name}.{names}" if name in BLOCK else path
         tags[path] += name in BLOCK
         if not m[3].endswith("/") or name in BLOCK:
-            stack.append((name, path, outside, main))
+            stack.append((name, path, outside, main, within))
     flush()
-    return blocks, tags
+    inside = [b for b in found if not b[3]]
+    if wrappers and not free:  # the page's article lies in such an element, unless that holds the lesser part
+        lifted = [b for b in found if wrappers.issuperset(b[3])]
+        if sum(len(b[1]) for b in lifted if b[3] and b[2]) >= sum(len(b[1]) for b in inside if b[2]):
+            inside = lifted
+    return [b[:3] for b in inside], tags
 
 
 def _hash(text: str) -> int:

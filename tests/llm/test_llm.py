@@ -275,6 +275,24 @@ def test_template_blocks_are_left_out(spark):
     assert (got[30], got[31], got[32]) == ("", "", "alone")
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="layout has-sidebar"><article><p>one</p></article><div class="sidebar"><p>x</p></div></div>',
+    '<div class="content no-sidebar"><p>one</p></div>',
+    '<article class="post comments-open"><p>one</p></article><div class="comments"><article><p>x</p></article></div>',
+    '<div class="widget"><article><p>one</p></article></div>',
+    '<article class="notice"><p>one</p></article><p>x</p>',
+    '<article><svg width="1"/><p>one</p></article><svg><text>x</text></svg>',
+    '<article><p>one<math/></p></article>',
+])
+def test_article_text_is_kept(page):
+    assert template.extract(page, frozenset()) == "one"
+
+
+def test_comment_and_formula():
+    page = '<article><p>a <math><mi>x</mi></math></p><div class="comments"><p>no</p></div></article>'
+    assert template.extract(page, frozenset()) == "a x"
+
+
 def test_pages_against_a_plain_reading(spark):
     pages = {r.page_id: r.html for r in table(spark, SMALL, "pages").collect()}
     got = {r.page_id: r.text for r in template.main_text(spark, table(spark, SMALL, "pages")).collect()}
