@@ -293,6 +293,29 @@ def test_comment_and_formula():
     assert template.extract(page, frozenset()) == "a x"
 
 
+def test_template_of_part_of_the_pages(spark):
+    """Layouts, blocks on most pages or twice a page, odd and empty pages of one host."""
+    rows = []
+    for i in range(40):
+        a, b = ("<div class=x1><p>Layout one has this</p>", "</div>") if i % 2 else ("<div class=y1><h2>Other layout</h2>", "</div>")
+        most = "<section><p>Shown on most of the pages</p></section>" if i % 10 else ""
+        twice = "<div class=t><p>Seen here two times</p></div>"
+        rows.append((i, "http://a.org/x", f"<body><h3>The host</h3>{a}{twice}<p>Text {i} is of its own</p>{most}{twice}{b}</body>"))
+    rows += [(40, "http://a.org/x", None), (41, "http://a.org/x", ""), (42, "http://a.org/x", "<p>odd one")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in template.main_text(spark, frame).collect()}
+    assert got == {**{i: f"Text {i} is of its own" for i in range(40)}, 40: "", 41: "", 42: "odd one"}
+
+
+def test_repeated_article_is_no_template(spark):
+    other = "<h3>The host</h3><article><p>{}</p></article>"
+    again = "<h3>The host</h3><article><h2>Shown again</h2><p>on six pages of the host</p></article>"
+    rows = [(i, "http://a.org/x", again if i < 6 else other.format(f"Text {i}")) for i in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in template.main_text(spark, frame).collect()}
+    assert got == {i: "Shown again\non six pages of the host" if i < 6 else f"Text {i}" for i in range(20)}
+
+
 def test_pages_against_a_plain_reading(spark):
     pages = {r.page_id: r.html for r in table(spark, SMALL, "pages").collect()}
     got = {r.page_id: r.text for r in template.main_text(spark, table(spark, SMALL, "pages")).collect()}
