@@ -90,6 +90,21 @@ def test_repeated_passage_stays_once(spark):
     assert all(got[i] == t for i, t in enumerate([*texts, *ODD]) if i not in (5, 9))
 
 
+def test_passages_are_cut_at_their_ends(spark):
+    """Passages of 51 words, plain and of short periods, go whole; those of 50 stay."""
+    random = np.random.default_rng(4)
+    passages = [" ".join(random.choice(WORDS, 51)) for _ in range(60)]
+    passages += [" ".join((random.choice(WORDS, period).tolist() * 51)[:51]) for period in range(1, 13) for _ in range(5)]
+    around = [random_texts(3, 30, 100 + i) for i in range(len(passages))]
+    first = [f"{a[0]} p{i}x {p} p{i}y {a[1]}" for i, (a, p) in enumerate(zip(around, passages))]
+    second = [f"{a[2]} q{i}x {p} q{i}y {a[0]}" for i, (a, p) in enumerate(zip(around, passages))]
+    short = [f"{a[1]} r{i}x {p.rsplit(' ', 1)[0]} r{i}y {a[2]}" for i, (a, p) in enumerate(zip(around, passages))]
+    rows = chunks.remove_repeats(spark, docs_of(spark, [*first, *second, *short])).collect()
+    got = {r.doc_id: r.text for r in rows}
+    gone = [t.replace(f"{p} ", "") for t, p in zip(second, passages)]
+    assert got == dict(enumerate([*first, *gone, *short]))
+
+
 def test_chunks_resist_insertions():
     data = random_texts(1, 3000, 3)[0].encode()
     one, two = (np.frombuffer(d, np.uint8) for d in (data, b"inserted words " + data))
