@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.sources import files
 from logtally.sources.dims import Dims
 from logtally.sources.store import Store
 
 AS_OF = "2024-01-31 00:00:00"
+OBJECT_ROWS = 1000  # of the one sampled object
 
 SPARK_K = "CAST(get_json_object(props, '$.k') AS INT)"
 
@@ -194,15 +195,9 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
     return loaded
 
 
-def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int) -> None:
-    """Ship the bridged rows as gzip JSON-lines objects, one or more per day.
-
-    The folder's day is the event's day moved by ``days_later``: an archive
-    day is when rows were shipped.
-    """
-    rows = audit(spark, sf_dir)
-    day = F.date_add(F.col("created_at").cast("date"), days_later)
-    lines = rows.select(
+def lines(rows: DataFrame, *others: Column) -> DataFrame:
+    """Audit rows as the columns of an archive line, and ``others``."""
+    return rows.select(
         "id",
         "account_id",
         "action",
@@ -214,10 +209,29 @@ def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int)
         F.concat(
             F.translate(F.col("created_at").cast("string"), " ", "T"), F.lit("+00:00")
         ).alias("created_at"),
-        day.alias("day"),
+        *others,
     )
+
+
+def export_object(spark: SparkSession, sf_dir: str, base: str, name: str) -> None:
+    """Ship the newest bridged rows as one object, ``name`` under ``base``."""
+    newest = audit(spark, sf_dir).orderBy(F.desc("created_at"), F.desc("id")).limit(OBJECT_ROWS)
+    raw = f"{base}/shipped"
+    lines(newest).coalesce(1).write.json(raw, compression="gzip", ignoreNullFields=False)
+    part = next(n for n in files.children(spark, raw) if n.endswith(".json.gz"))
+    files.rename(spark, f"{raw}/{part}", f"{base}/{name}")
+
+
+def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int) -> None:
+    """Ship the bridged rows as gzip JSON-lines objects, one or more per day.
+
+    The folder's day is the event's day moved by ``days_later``: an archive
+    day is when rows were shipped.
+    """
+    rows = audit(spark, sf_dir)
+    day = F.date_add(F.col("created_at").cast("date"), days_later)
     raw = f"{base}/shipped"
-    lines.repartition("day").write.partitionBy("day").json(
+    lines(rows, day.alias("day")).repartition("day").write.partitionBy("day").json(
         raw, compression="gzip", ignoreNullFields=False
     )
     for folder in files.children(spark, raw):

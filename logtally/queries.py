@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from logtally import bridge, schema
+from logtally import bridge
 from logtally.functions.values import kst_day, round_to, rows
 from logtally.operators import dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
@@ -326,10 +326,13 @@ def _assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contract_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = bridge.store(spark, sf_dir)
     audit, dims = store.audit(), store.dims()
-    shape = audit.agg(
+    base = f"{bridge.folder(spark, sf_dir, 'shape')}/{uuid.uuid4().hex}"
+    sampled = "audit/2024/01/30/audit-1.jsonl.gz"
+    bridge.export_object(spark, sf_dir, base, sampled)
+    shape = archive.read_events(spark, [f"{base}/{sampled}"]).agg(
         F.max("created_at").alias("observed_at"),
-        F.lit("audit/2024/01/30/audit-1.jsonl.gz").alias("sampled"),
-        F.array(*[F.lit(n) for n in sorted(schema.ARCHIVE_LINE.names)]).alias("columns"),
+        F.lit(sampled).alias("sampled"),
+        F.array(*[F.lit(n) for n in archive.source_columns(spark, f"{base}/{sampled}")]).alias("columns"),
     )
     return checks.contract_drift(audit, shape, dims.pokemon, dims.version, AS_OF)
 

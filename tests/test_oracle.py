@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from logtally import bridge
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -51,3 +52,11 @@ def test_matches_checking_sql(spark, duck, name):
 
 def test_every_query_is_known():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_drift_sees_the_source_columns(spark, monkeypatch):
+    lines = bridge.lines
+    monkeypatch.setattr(bridge, "lines", lambda rows, *others: lines(rows, *others).drop("ip"))
+    got = {r["item"]: r["actual"] for r in entry.queries()["contract_drift"](spark, SF).collect()}
+    assert got["1. source carries ip"] == "no"
+    assert got["2. source columns"] == "[account_id, action, created_at, detail, id, source, status, user_agent]"
