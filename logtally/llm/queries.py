@@ -330,7 +330,7 @@ WITH RECURSIVE given AS (
 ), links AS (
     SELECT DISTINCT a.r AS a, b.r AS b
     FROM decided a JOIN decided b ON a.valid AND b.valid AND a.address = b.address AND a.r <> b.r
-    WHERE NOT a.own OR NOT b.own OR a.address IN (SELECT address FROM decided WHERE NOT own)
+    WHERE a.address IN (SELECT address FROM decided WHERE r IN (SELECT r FROM targets))
 ), reach AS (
     SELECT r AS a, r AS b FROM targets
     UNION

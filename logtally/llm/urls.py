@@ -16,7 +16,7 @@ is one small row with the least of these pages, to which each of them points.
 
 Addresses count as equal without scheme and fragment, hosts lower-cased, an
 empty path as ``/``. Text without ``://`` is no address: such a page has an
-empty host and path and no links. Links in comments, scripts, styles and other
+empty host and path, and only absolute links. Links in comments, scripts, styles and other
 raw text are none. Null urls and html count as empty. Rows with equal or null
 ids are judged each for itself.
 """
@@ -227,8 +227,9 @@ def _aliases(spark: SparkSession, own: DataFrame, linked: DataFrame, rules: Data
     to = F.col("url")
     far = linked.select("row", host(to).alias("host"), path(to).alias("path"), address(to).alias("address"))
     near = own.where("address IS NOT NULL").select("row", "host", "path", "address")
-    # One row per (row, address). Pages that nothing links to never meet another.
-    named = far.select("address").distinct()
+    # One row per (row, address). Pages that no link concerns never meet another.
+    linking = near.join(far.select("row").distinct(), "row", "left_semi")
+    named = far.select("address").unionByName(linking.select("address")).distinct()
     far_ends = far.select("row", "address").unionByName(
         near.join(named, "address", "left_semi").select("row", "address")
     )
