@@ -69,6 +69,8 @@ SELECT
       ',"money":', CAST(cents * 5 AS VARCHAR(20)), '}}')
     WHEN 'MAP_CHANGE' THEN concat(
       '{{"from":"', mp, '","to":"s00', CAST(k % 3 AS VARCHAR(3)), '","x":1,"y":2}}')
+    WHEN 'SOCKET_DISCONNECT' THEN concat('{{"ownedSlot":', CASE
+      WHEN k % 3 = 0 THEN 'false' WHEN k % 3 = 1 THEN 'true' ELSE 'null' END, '}}')
     WHEN 'LOGIN_FAILED' THEN
       '{{"url":"/api/auth/login","method":"POST","errorCode":"FAILED_ACCOUNT","body":{{"username":"x@example.com"}}}}'
     WHEN 'REQUEST_REJECTED' THEN
@@ -79,7 +81,7 @@ SELECT
            ELSE '"plain string detail"' END
     ELSE NULL END AS detail,
   CASE WHEN k % 9 = 0 THEN NULL WHEN k % 9 = 1 THEN '' ELSE 'agent' END AS user_agent,
-  CASE WHEN action = 'MAP_CHANGE' THEN 'socket'
+  CASE WHEN action IN ('MAP_CHANGE', 'SOCKET_CONNECT', 'SOCKET_DISCONNECT') THEN 'socket'
        WHEN action = 'POKEMON_SPAWN' THEN 'worker' ELSE 'api' END AS source,
   ts AS created_at
 FROM (
@@ -99,7 +101,9 @@ FROM (
       WHEN k % 5 = 0 THEN 'CREATE_USER'
       WHEN k % 5 = 1 THEN 'POKEMON_CATCH'
       WHEN k % 5 = 2 THEN 'MAP_CHANGE'
-      WHEN k % 5 = 3 THEN 'LOGIN_OAUTH'
+      WHEN k % 5 = 3 AND k % 2 = 0 THEN 'LOGIN_OAUTH'
+      WHEN k % 5 = 3 THEN 'SOCKET_CONNECT'
+      WHEN k % 4 = 0 THEN 'SOCKET_DISCONNECT'
       ELSE 'LOGIN_FAILED' END AS action,
     concat('s00', CAST(k % 5 AS VARCHAR(3))) AS mp,
     concat('w', CAST(user_id AS VARCHAR(20)), '-', CAST(k % 3 AS VARCHAR(3))) AS wu,

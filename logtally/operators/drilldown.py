@@ -56,12 +56,14 @@ CATEGORIES = (
 
 class Rollups(NamedTuple):
     """Counts per (day, account), the common ground of series and drill-down,
-    and the sessions themselves, for their quantiles."""
+    and the sessions themselves, for their quantiles. ``spans`` are the
+    published days per metric where they are known already."""
 
     activity: DataFrame
     attempts: DataFrame
     sessions: DataFrame
     visits: DataFrame
+    spans: DataFrame | None = None
 
 
 def rollups(v: DataFrame) -> Rollups:
@@ -76,6 +78,8 @@ def rollups(v: DataFrame) -> Rollups:
 
 def published_days(source: Rollups) -> DataFrame:
     """First and last published day per metric: four rows."""
+    if source.spans is not None:
+        return source.spans
     day = F.col("d_kst")
     known_day = F.when(F.col("account_id").isNotNull(), day)
     days = {

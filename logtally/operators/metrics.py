@@ -7,6 +7,8 @@ before its shuffle, and the drill-down reads the same rollups.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtally.functions.values import (
@@ -103,9 +105,14 @@ def activity_by_account(v: DataFrame) -> DataFrame:
         F.count_if(tried & F.col("used_bait")).alias("attempts_bait"),
         F.count_if(tried & F.col("used_rock")).alias("attempts_rock"),
         F.count_if(tried & is_plain()).alias("attempts_plain"),
+        F.count_if(_observed_catch()).alias("caught_observed"),
     )
 
 
+def _observed_catch() -> Column:
+    return _action("POKEMON_CATCH") & ~F.col("is_starter")
+
+
 def dau_daily(v: DataFrame) -> DataFrame:
     return dau_from(activity_by_account(v))
 
@@ -159,6 +166,46 @@ def bait_rock_from(activity: DataFrame) -> DataFrame:
 # --- catching ------------------------------------------------------------
 
 
+_PAIR = ["account_id", "wild_uid"]
+_ATTEMPT = (
+    "id account_id created_at created_at_kst map_id wild_uid"
+    " pokedex_id level is_shiny used_bait used_rock party_bonus"
+).split()
+
+
+class Carried(NamedTuple):
+    """What the pairing of later events needs to know of all earlier ones.
+
+    ``ordinals``: attempts and failures so far per account and creature.
+    ``pending``: failures whose attempt is still to come, with their ordinal.
+    """
+
+    ordinals: DataFrame
+    pending: DataFrame
+
+
+def pairing_events(v: DataFrame) -> DataFrame:
+    """Attempts and failures that have an account and a creature."""
+    return v.where(
+        _action("POKEMON_CATCH_ATTEMPT", "POKEMON_CATCH_FAIL")
+        & _known_account()
+        & F.col("wild_uid").isNotNull()
+    ).select(*_ATTEMPT, "catch_reason", "action")
+
+
+def _numbered(events: DataFrame, before: Carried | None) -> DataFrame:
+    """Events with their ordinal among the pair's attempts, or its failures."""
+    numbered = Ordered(events, [*_PAIR, "action"]).number("_nth")
+    if before is None:
+        return numbered
+    earlier = F.when(_action("POKEMON_CATCH_ATTEMPT"), F.col("attempts")).otherwise(F.col("fails"))
+    return (
+        numbered.join(before.ordinals, _PAIR, "left")
+        .withColumn("_nth", F.col("_nth") + F.coalesce(earlier, F.lit(0)))
+        .drop("attempts", "fails")
+    )
+
+
 def catch_attempt(v: DataFrame) -> DataFrame:
     """Attempts with their outcome.
 
@@ -166,33 +213,63 @@ def catch_attempt(v: DataFrame) -> DataFrame:
     failure of the pair. An attempt without a failure reason counts as caught,
     and ``outcome_inferred`` says that nobody observed it.
     """
+    return paired(pairing_events(v))
+
+
+def paired(events: DataFrame, before: Carried | None = None) -> DataFrame:
+    """The attempts among ``events`` with their outcome.
+
+    ``before`` stands for all events that come earlier than these; the result
+    is the same as if they had been read.
+    """
     tries, fails = _action("POKEMON_CATCH_ATTEMPT"), _action("POKEMON_CATCH_FAIL")
-    keys = ["account_id", "wild_uid"]
-    kept = (
-        "id account_id created_at created_at_kst map_id wild_uid"
-        " pokedex_id level is_shiny used_bait used_rock party_bonus"
-    ).split()
-    events = v.where(
-        (tries | fails) & _known_account() & F.col("wild_uid").isNotNull()
-    ).select(*kept, "catch_reason", "action")
-    numbered = Ordered(events, [*keys, "action"]).number("_nth")
-    failed = numbered.where(fails).select(
-        *keys, "_nth", F.col("created_at").alias("failed_at"), "catch_reason"
+    attempt = F.struct(*_ATTEMPT)
+    failure = F.struct(F.col("created_at").alias("failed_at"), "catch_reason")
+    # The ordinal is part of the key, so hot pairs spread over tasks.
+    sides = _numbered(events, before).select(
+        *_PAIR, "_nth", F.when(tries, attempt).alias("_try"), F.when(fails, failure).alias("_fail")
     )
-    # The ordinal is part of the join key, so hot pairs spread over tasks.
-    return (
-        numbered.where(tries)
-        .select(*kept, "_nth")
-        .join(failed, [*keys, "_nth"], "left")
-        .select(
-            *kept,
-            "failed_at",
-            F.coalesce("catch_reason", F.lit("caught")).alias("outcome"),
-            F.col("catch_reason").isNull().alias("outcome_inferred"),
+    if before is not None:
+        waiting = before.pending.select(
+            *_PAIR, "_nth", F.struct("failed_at", "catch_reason").alias("_fail")
         )
+        sides = sides.unionByName(waiting, allowMissingColumns=True)
+    both = sides.groupBy(*_PAIR, "_nth").agg(
+        F.any_value("_try", ignoreNulls=True).alias("_try"),
+        F.any_value("_fail", ignoreNulls=True).alias("_fail"),
+    )
+    reason = F.col("_fail.catch_reason")
+    return both.where(F.col("_try").isNotNull()).select(
+        *[F.col(f"_try.{c}").alias(c) for c in _ATTEMPT],
+        F.col("_fail.failed_at").alias("failed_at"),
+        F.coalesce(reason, F.lit("caught")).alias("outcome"),
+        reason.isNull().alias("outcome_inferred"),
     )
 
 
+def carried(events: DataFrame, before: Carried | None = None) -> Carried:
+    """The state behind ``events``, which follow those that ``before`` stands for."""
+    tries, fails = _action("POKEMON_CATCH_ATTEMPT"), _action("POKEMON_CATCH_FAIL")
+    ordinals = events.groupBy(*_PAIR).agg(
+        F.count_if(tries).alias("attempts"), F.count_if(fails).alias("fails")
+    )
+    waiting = (
+        _numbered(events, before)
+        .where(fails)
+        .select(*_PAIR, "_nth", F.col("created_at").alias("failed_at"), "catch_reason")
+    )
+    if before is not None:
+        waiting = waiting.unionByName(before.pending)
+        ordinals = (
+            ordinals.unionByName(before.ordinals)
+            .groupBy(*_PAIR)
+            .agg(F.sum("attempts").alias("attempts"), F.sum("fails").alias("fails"))
+        )
+    ahead = ordinals.where("fails > attempts").select(*_PAIR, "attempts")
+    pending = waiting.join(ahead, _PAIR).where("_nth > attempts").drop("attempts")
+    return Carried(ordinals, pending)
+
+
 def attempts_by_account(attempts: DataFrame) -> DataFrame:
     """Outcome counts per day and account, tutorial map left out."""
     caught = F.col("outcome") == "caught"
@@ -216,19 +293,23 @@ def attempts_by_account(attempts: DataFrame) -> DataFrame:
 
 
 def catch_rate_daily(v: DataFrame) -> DataFrame:
-    return catch_rate_from(attempts_by_account(catch_attempt(v)), v)
+    observed = (
+        v.where(_observed_catch())
+        .groupBy(kst_day().alias("d_kst"))
+        .agg(rows().alias("caught_observed"))
+    )
+    return catch_rate_from(attempts_by_account(catch_attempt(v)), observed)
+
+
+def observed_from(activity: DataFrame) -> DataFrame:
+    return activity.groupBy("d_kst").agg(F.sum("caught_observed").alias("caught_observed"))
 
 
-def catch_rate_from(per_account: DataFrame, v: DataFrame) -> DataFrame:
+def catch_rate_from(per_account: DataFrame, observed: DataFrame) -> DataFrame:
     totals = [c for c in per_account.columns if c not in BY_ACCOUNT]
     day = per_account.groupBy("d_kst").agg(
         *[F.sum(c).alias(c) for c in totals], F.count("account_id").alias("users")
     )
-    observed = (
-        v.where(_action("POKEMON_CATCH") & ~F.col("is_starter"))
-        .groupBy(kst_day().alias("d_kst"))
-        .agg(rows().alias("caught_observed"))
-    )
     c = F.col
     seen = F.coalesce("caught_observed", F.lit(0))
     return day.join(observed, "d_kst", "left").select(
@@ -257,9 +338,17 @@ def catch_rate_from(per_account: DataFrame, v: DataFrame) -> DataFrame:
 
 def safari_session(v: DataFrame) -> DataFrame:
     """Each entry with the exit that directly follows it, if one does."""
-    moves = v.where(
+    return sessions_of(moves(v))
+
+
+def moves(v: DataFrame) -> DataFrame:
+    """Entries and exits that have an account, outside the tutorial."""
+    return v.where(
         _action("SAFARI_ENTER", "SAFARI_EXIT") & _known_account() & outside_tutorial()
     ).select("id", "account_id", "action", "map_id", "created_at", "created_at_kst")
+
+
+def sessions_of(moves: DataFrame) -> DataFrame:
     linked = Ordered(moves, ["account_id"]).neighbour(
         ["action", "created_at", "map_id"], "_next", ahead=True
     )

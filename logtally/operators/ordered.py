@@ -2,8 +2,9 @@
 
 A plain window puts each group into one task. Here every group is cut into
 hours: windows run per (group, slot), and a table with one row per group and
-slot, combined before it is shuffled, carries the slot borders. A group of any
-size takes the same path; no task holds more than its hour.
+slot carries the slot borders. Both come out of one shuffle of the rows by
+(group, slot), so the source is read once. A group of any size takes the same
+path; no task holds more than its hour.
 
 Rows are ordered by ``created_at`` (NULL last), then ``id``; ids are unique.
 """
@@ -34,7 +35,7 @@ def _slot_of_row(slot_seconds: int) -> Column:
     """Grows with (created_at NULL last, id), so slots keep the row order."""
     by_time = F.floor(epoch_micros(F.col("created_at")) / (slot_seconds * 1_000_000))
     by_id = F.lit(_NO_TIME) + F.shiftright(F.col("id"), 20)
-    return F.coalesce(by_time, by_id)
+    return F.coalesce(by_time, by_id, F.lit(_NO_TIME))
 
 
 class Ordered:
@@ -46,7 +47,8 @@ class Ordered:
     def __init__(self, df: DataFrame, keys: list[str], slot_seconds: int = SLOT_SECONDS) -> None:
         self.keys = keys
         self.cells = [*keys, _SLOT]
-        self.rows = df.withColumn(_SLOT, _slot_of_row(slot_seconds))
+        self.columns = df.columns
+        self.rows = df.withColumn(_SLOT, _slot_of_row(slot_seconds)).repartition(*self.cells)
 
     def _in_cell(self):
         return Window.partitionBy(*self.cells).orderBy(*order_keys())
@@ -54,42 +56,47 @@ class Ordered:
     def _over_slots(self):
         return Window.partitionBy(*self.keys).orderBy(_SLOT)
 
+    def _borders(self, pick, across: Column) -> DataFrame:
+        """One row per cell with ``_across``, from the cells' border rows.
+
+        A border is the whole row: the aggregate then needs all columns, like
+        the window beside it, and both read the same shuffled rows.
+        """
+        position = F.struct(F.col("created_at").isNull(), "created_at", "id")
+        return (
+            self.rows.groupBy(*self.cells)
+            .agg(pick(F.struct(*self.columns), position).alias("_border"), rows().alias("_n"))
+            .select(*self.cells, across.alias("_across"))
+        )
+
     def neighbour(self, columns: list[str], name: str, ahead: bool) -> DataFrame:
         """Add struct ``name``: ``columns`` of the next (or previous) row."""
         fields = F.struct(*columns)
-        position = F.struct(F.col("created_at").isNull(), "created_at", "id")
         if ahead:
             inside = F.lead(fields).over(self._in_cell())
-            border = F.min_by(fields, position)
-            across = F.lead("_border").over(self._over_slots())
+            borders = self._borders(F.min_by, F.lead("_border").over(self._over_slots()))
         else:
             inside = F.lag(fields).over(self._in_cell())
-            border = F.max_by(fields, position)
-            across = F.lag("_border").over(self._over_slots())
-        borders = (
-            self.rows.groupBy(*self.cells)
-            .agg(border.alias("_border"))
-            .select(*self.cells, across.alias("_across"))
-        )
+            borders = self._borders(F.max_by, F.lag("_border").over(self._over_slots()))
+        border = F.struct(*[F.col(f"_across.{c}").alias(c) for c in columns])
+        found = F.when(F.col("_across").isNotNull(), border)
         return (
             self.rows.withColumn(name, inside)
             .join(borders, self.cells, "left")
-            .withColumn(name, F.coalesce(name, "_across"))
+            .withColumn(name, F.coalesce(name, found))
             .drop("_across", _SLOT)
         )
 
     def number(self, name: str) -> DataFrame:
         """Add the 1-based row number ``name`` within each group."""
         before = self._over_slots().rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (
-            self.rows.groupBy(*self.cells)
-            .agg(rows().alias("_n"))
-            .select(*self.cells, F.sum("_n").over(before).alias("_before"))
-        )
+        # The border's id is never NULL: it adds the row's dependence, not a value.
+        known = F.when(F.col("_border.id").isNotNull(), F.col("_n"))
+        borders = self._borders(F.max_by, F.sum(known).over(before))
         inside = F.row_number().over(self._in_cell())
         return (
             self.rows.withColumn(name, inside.cast("bigint"))
-            .join(offsets, self.cells, "left")
-            .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
-            .drop("_before", _SLOT)
+            .join(borders, self.cells, "left")
+            .withColumn(name, F.col(name) + F.coalesce("_across", F.lit(0)))
+            .drop("_across", _SLOT)
         )

@@ -329,14 +329,20 @@ _DRILL_SOURCES = {
     ],
 }
 
-# All days lie within 90 days here, so every day with a row is published.
-_DRILL = "drill AS (" + " UNION ALL ".join(
-    f"""SELECT '{metric}' AS metric, '{category}' AS category,
-  CAST(day AS VARCHAR) AS d, account_id, count(*) AS count
+_DRILL = """published AS (
+  SELECT 'dau' AS metric, min(day) AS lo, max(day) AS hi FROM v WHERE account_id IS NOT NULL
+  UNION ALL SELECT 'bait_rock', min(day), max(day) FROM v
+  UNION ALL SELECT 'catch_rate', min(day), max(day) FROM attempt WHERE outside
+  UNION ALL SELECT 'safari_session', CAST(min(entered_kst) AS DATE), CAST(max(entered_kst) AS DATE) FROM session),
+every_day AS (""" + " UNION ALL ".join(
+    f"""SELECT '{metric}' AS metric, '{category}' AS category, day, account_id, count(*) AS count
 FROM {source} src WHERE {condition} GROUP BY day, account_id"""
     for source, entries in _DRILL_SOURCES.items()
     for metric, category, condition in entries
-) + ")"
+) + """),
+drill AS (
+  SELECT metric, category, CAST(day AS VARCHAR) AS d, account_id, count
+  FROM every_day JOIN published USING (metric) WHERE day BETWEEN greatest(lo, hi - 89) AND hi)"""
 
 _DRILL_TOTALS = """drill_totals AS (
   SELECT metric, category, d, count(account_id) AS total_users,
@@ -647,3 +653,96 @@ book AS (
   FROM v WHERE account_id IS NOT NULL AND {_within(30)} GROUP BY account_id)
 SELECT *, enters - acquired AS deficit FROM book WHERE enters > acquired
 ORDER BY deficit DESC, account_id LIMIT 30"""
+
+
+def _zscore(days: int, as_of: str, baseline: int, least: int, min_z: float) -> str:
+    return f"""{_BASE},
+tries AS (
+  SELECT account_id, CAST(floor(epoch(created_at) / 3600) AS BIGINT) AS h, count(*) AS attempts
+  FROM v WHERE {_TRY} AND account_id IS NOT NULL AND wild_uid IS NOT NULL AND {_within(days, as_of)}
+  GROUP BY account_id, h),
+starts AS (SELECT account_id, min(h) AS first FROM tries GROUP BY account_id),
+hours AS (  -- every hour of the baseline, written out
+  SELECT t.account_id, t.h, t.attempts, g.h AS past
+  FROM tries t JOIN starts s ON s.account_id = t.account_id,
+    LATERAL (SELECT unnest(range(greatest(t.h - {baseline}, s.first), t.h)) AS h) g),
+stats AS (
+  SELECT hours.account_id, hours.h, hours.attempts, count(*) AS hours,
+    avg(coalesce(p.attempts, 0)) AS mean, stddev_samp(coalesce(p.attempts, 0)) AS sd
+  FROM hours LEFT JOIN tries p ON p.account_id = hours.account_id AND p.h = hours.past
+  GROUP BY hours.account_id, hours.h, hours.attempts)
+SELECT account_id, CAST(TIMESTAMP '1970-01-01' + to_hours(h) AS VARCHAR) AS hour_utc, attempts, hours,
+  round(mean, 4) AS mean, round(sd, 4) AS sd, round((attempts - mean) / sd, 3) AS z
+FROM stats WHERE hours >= {least} AND sd > 0 AND (attempts - mean) / sd >= {min_z}
+ORDER BY (attempts - mean) / sd DESC, account_id, h LIMIT 1000"""
+
+
+SQL["attempt_zscore"] = _zscore(30, "2024-01-31 00:00:00", 168, 24, 5.0)
+SQL["attempt_zscore_past"] = _zscore(14, "2024-01-20 00:00:00", 48, 12, 2.0)
+
+_CONNECTED = """signs AS (
+  SELECT account_id, created_at, id, action,
+    created_at - lag(created_at) OVER prior > INTERVAL 30 MINUTE AS late
+  FROM v LEFT JOIN (SELECT id AS raw_id, detail FROM raw) d ON d.raw_id = v.id
+  WHERE account_id IS NOT NULL AND created_at IS NOT NULL
+    AND NOT (action = 'SOCKET_DISCONNECT' AND coalesce(detail::JSON ->> '$.ownedSlot', 'true') = 'false')
+  WINDOW prior AS (PARTITION BY account_id ORDER BY created_at, id)),
+numbered AS (
+  SELECT *, count(*) FILTER (late) OVER (PARTITION BY account_id ORDER BY created_at, id) AS nth FROM signs),
+connected AS (
+  SELECT account_id, min(created_at) AS started_at, max(created_at) AS ended_at,
+    date_diff('us', min(created_at), max(created_at)) / 1000000 AS length_sec, count(*) AS events,
+    count(*) FILTER (action = 'SOCKET_CONNECT') AS connects,
+    count(*) FILTER (action = 'SOCKET_DISCONNECT') AS disconnects,
+    last(action ORDER BY created_at, id) = 'SOCKET_DISCONNECT' AS closed
+  FROM numbered GROUP BY account_id, nth)"""
+
+SQL["connection_session"] = f"""{_with(_CONNECTED)}
+SELECT * REPLACE (CAST(started_at AS VARCHAR) AS started_at, CAST(ended_at AS VARCHAR) AS ended_at)
+FROM connected"""
+
+SQL["connection_daily"] = f"""{_with(_CONNECTED)}
+SELECT CAST(CAST(started_at + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS d_kst, count(*) AS sessions,
+  count(DISTINCT account_id) AS users, {_n("closed")} AS closed_sessions,
+  round(sum(length_sec) / count(DISTINCT account_id), 6) AS mean_sec_per_user,
+  round(quantile_cont(length_sec, 0.5), 6) AS length_median_sec,
+  round(quantile_cont(length_sec, 0.9), 6) AS length_p90_sec
+FROM connected GROUP BY d_kst"""
+
+
+def _hmac(salt: str) -> str:
+    """HMAC-SHA256 of the account id, written out."""
+    key = salt.encode().ljust(64, b"\0")
+    inner, outer = (
+        "'" + "".join(f"\\x{b ^ pad:02X}" for b in key) + "'::BLOB" for pad in (0x36, 0x5C)
+    )
+    message = "CAST(CAST(account_id AS VARCHAR) AS BLOB)"
+    return f"sha256({outer} || unhex(sha256({inner} || {message})))[1:32]"
+
+
+_SALT = "a salt for the test tables"
+
+SQL["shared_details"] = f"""{_ALL_DRILL}
+SELECT metric, category, d, {_hmac(_SALT)} AS pseudonym, "count" FROM drill"""
+
+SQL["shared_joined"] = f"""{_ALL_DRILL}
+SELECT 'same' AS salt, count(*) AS links, count(DISTINCT account_id) AS accounts FROM drill
+WHERE metric = 'dau' AND category = 'active' UNION ALL SELECT 'other', 0, 0"""
+
+SQL["shared_leaks"] = f"""{_ALL_DRILL}
+SELECT 'no pseudonym' AS rule, 'dau' AS metric, count(*) AS n FROM drill
+WHERE metric = 'dau' AND account_id IS NOT NULL UNION ALL SELECT 'column account_id', NULL, 1"""
+
+
+def _over_long(sql: str) -> str:
+    """The same question over the rows dealt over more than 200 days."""
+    moved = """v AS (
+  SELECT * FROM (SELECT * REPLACE (created_at + to_days(CAST(id % 7 * 30 AS INTEGER)) AS created_at,
+      kst + to_days(CAST(id % 7 * 30 AS INTEGER)) AS kst,
+      CAST(kst + to_days(CAST(id % 7 * 30 AS INTEGER)) AS DATE) AS day) FROM short) moved
+  WHERE dayofyear(day) % 11 <> 3)"""
+    return sql.replace(_BASE, _BASE.replace("v AS (", "short AS (", 1) + ", " + moved, 1)
+
+
+for _name in ("series_dau", "series_bait_rock", "series_catch_rate", "series_safari_session", "drill_counts"):
+    SQL[f"{_name}_long"] = _over_long(SQL[_name])

@@ -6,11 +6,12 @@ first screens: what they show needs a look, not an action.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtally.functions.values import (
     epoch_micros,
     kst_day,
+    outside_tutorial,
     ratio,
     round_to,
     rows,
@@ -268,3 +269,67 @@ def ticket_ledger(v: DataFrame, as_of, days: int = 30, top: int = 30) -> DataFra
         .limit(top)
         .select("account_id", "enters", "acquired", "deficit", "first_seen", "last_seen")
     )
+
+
+_HOUR = 3_600_000_000  # microseconds
+
+
+def attempt_zscore(
+    v: DataFrame,
+    as_of,
+    days: int = 14,
+    baseline_hours: int = 168,
+    min_hours: int = 24,
+    min_attempts: int = 60,
+    min_z: float = 4.0,
+    top: int = 50,
+) -> DataFrame:
+    """Hours in which an account tried far more often than in the hours before.
+
+    Attempts are those that ``catch_attempt`` pairs. An hour is compared with
+    the account's own ``baseline_hours`` hours before it, or with those since
+    its first attempt in the window, at least ``min_hours``. Hours without an
+    attempt count as zero: they add nothing to the sums, only to the number of
+    hours, so no calendar is joined. Sums are whole numbers, z is taken from
+    them in one step; without any variation there is no z. Windows run over
+    one row per account and hour, however many attempts an account has.
+    """
+    attempts = v.where(
+        _is("POKEMON_CATCH_ATTEMPT")
+        & within_days(as_of, days)
+        & outside_tutorial()
+        & F.col("account_id").isNotNull()
+        & F.col("wild_uid").isNotNull()
+    )
+    hour = F.floor(epoch_micros(F.col("created_at")) / _HOUR)
+    per_hour = attempts.groupBy("account_id", hour.alias("_hour")).agg(rows().alias("attempts"))
+    account = Window.partitionBy("account_id").orderBy("_hour")
+    before = account.rangeBetween(-baseline_hours, -1)
+    n = F.col("attempts")
+    first = F.min("_hour").over(account.rowsBetween(Window.unboundedPreceding, 0))
+    seen = (
+        per_hour.withColumn("_sum", F.coalesce(F.sum(n).over(before), F.lit(0)))
+        .withColumn("_squares", F.coalesce(F.sum(n * n).over(before), F.lit(0)))
+        .withColumn("hours", F.least(F.lit(baseline_hours).cast("bigint"), F.col("_hour") - first))
+    )
+    hours, total = F.col("hours"), F.col("_sum")
+    spread = F.sqrt((hours * F.col("_squares") - total * total) / (hours * (hours - 1)).cast("double"))
+    start = F.timestamp_add("MICROSECOND", F.col("_hour") * _HOUR, F.expr("TIMESTAMP_NTZ'1970-01-01'"))
+    return (
+        seen.where((hours >= max(2, min_hours)) & (n >= min_attempts))
+        .withColumn("_mean", ratio(total, hours))
+        .withColumn("_sd", F.nullif(spread, F.lit(0.0)))
+        .withColumn("z", (n - F.col("_mean")) / F.col("_sd"))
+        .where(F.col("z") >= min_z)
+        .orderBy(F.desc("z"), "account_id", "_hour")
+        .limit(top)
+        .select(
+            "account_id",
+            start.alias("hour_utc"),
+            "attempts",
+            "hours",
+            round_to(F.col("_mean"), 4).alias("mean"),
+            round_to(F.col("_sd"), 4).alias("sd"),
+            round_to(F.col("z"), 3).alias("z"),
+        )
+    )

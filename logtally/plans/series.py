@@ -89,12 +89,13 @@ def to_series(daily: DataFrame, metric: str) -> DataFrame:
     return days.select("d", *[publish(f) for f in SERIES[metric]]).orderBy("d")
 
 
-def all_series(source: Rollups, v: DataFrame) -> dict[str, DataFrame]:
-    """All four series; ``v`` only for the catches that were observed."""
+def all_series(source: Rollups) -> dict[str, DataFrame]:
+    """All four series."""
+    observed = metrics.observed_from(source.activity)
     return {
         "bait_rock": to_series(metrics.bait_rock_from(source.activity), "bait_rock"),
         "dau": to_series(metrics.dau_from(source.activity), "dau"),
-        "catch_rate": to_series(metrics.catch_rate_from(source.attempts, v), "catch_rate"),
+        "catch_rate": to_series(metrics.catch_rate_from(source.attempts, observed), "catch_rate"),
         "safari_session": to_series(
             metrics.safari_session_from(source.sessions, source.visits), "safari_session"
         ),

@@ -7,8 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from logtally.operators import drilldown, metrics
-from logtally.operators.drilldown import Rollups
+from logtally.operators import drilldown
+from logtally.plans import rollup
 from logtally.plans.jobs import together
 from logtally.plans.series import all_series, meta
 from logtally.schema import SERIES_DAYS
@@ -35,49 +35,31 @@ def _with_drilldown(
     )
 
 
-def snapshot(store: Store) -> Snapshot:
-    """Lazy snapshot; every frame reads the same commit of the store."""
-    fixed = store.snapshot()
-    v = fixed.audit_v()
-    source = drilldown.rollups(v)
-    return _with_drilldown(
-        _meta(fixed), all_series(source, v), drilldown.drill_counts(source)
-    )
-
-
 def staged_snapshot(store: Store, folder: str) -> Snapshot:
-    """As ``snapshot``, with the shared intermediate tables put down once.
+    """Everything published, of one commit, from the rollups.
 
-    Pairing and session windows run one time each; series, drill-down and
-    preview then read small rollups, and losing an executor costs no rerun.
+    These take in what is new since the last build; older rows are not read.
+
+    Contributor counts are put down once for details, totals and preview.
     Series and banner row become local frames: 90 rows and one row.
     """
     fixed = store.snapshot()
-    spark, v = fixed.spark, fixed.audit_v()
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    spark = fixed.spark
+    source = rollup.refresh(fixed)
+    series = all_series(source)
+    counts = drilldown.drill_counts(source)
 
-    def sessions() -> tuple[DataFrame, DataFrame]:
-        visits = put("visits", metrics.safari_session(v))
-        return put("sessions", metrics.sessions_by_account(visits)), visits
+    def put() -> DataFrame:
+        counts.write.parquet(f"{folder}/counts")
+        return spark.read.schema(counts.schema).parquet(f"{folder}/counts")
 
-    activity, attempts, (per_account, visits) = together(
-        spark,
-        lambda: put("activity", metrics.activity_by_account(v)),
-        lambda: put("attempts", metrics.attempts_by_account(metrics.catch_attempt(v))),
-        sessions,
-    )
-    source = Rollups(activity, attempts, per_account, visits)
-    series = all_series(source, v)
-    counts, row, *local = together(
+    written, row, *local = together(
         spark,
-        lambda: put("counts", drilldown.drill_counts(source)),
+        put,
         lambda: _local(_meta(fixed)),
         *[partial(_local, frame) for frame in series.values()],
     )
-    return _with_drilldown(row, dict(zip(series, local)), counts)
+    return _with_drilldown(row, dict(zip(series, local)), written)
 
 
 def _meta(store: Store) -> DataFrame:

@@ -9,11 +9,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from logtally import bridge
-from logtally.functions.values import kst_day, round_to, rows
-from logtally.operators import dimensions, drilldown, metrics
+from logtally.functions.values import kst_day, round_to, rows, to_kst
+from logtally.operators import connections, dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
 from logtally.operators.id_gaps import id_gaps
-from logtally.plans import checks, ingest, publish, recipes, reconcile, series
+from logtally.plans import checks, ingest, publish, recipes, reconcile, rollup, series, share
 from logtally.sources import archive, files
 from logtally.sources.store import Store
 
@@ -103,49 +103,116 @@ def _safari_session_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily
 
 
+_over_view("connection_session", connections.connection_session)
+
+
+@_register("connection_daily")
+def _connection_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To the microsecond; engines differ in the last bit beyond it."""
+    daily = connections.connection_daily(connections.connection_session(_v(spark, sf_dir)))
+    for name in ("mean_sec_per_user", "length_median_sec", "length_p90_sec"):
+        daily = daily.withColumn(name, round_to(F.col(name), 6))
+    return daily
+
+
 # --- series, drill-down, periods ---------------------------------------------
 
 
-def _series(v: DataFrame) -> dict[str, DataFrame]:
-    return series.all_series(drilldown.rollups(v), v)
+def _rollups(spark: SparkSession, sf_dir: str) -> drilldown.Rollups:
+    """Kept beside the store: made by the first query, read by the others."""
+    return rollup.refresh(bridge.store(spark, sf_dir))
 
 
-_over_view("series_dau", lambda v: series.to_series(metrics.dau_daily(v), "dau"))
-_over_view(
-    "series_bait_rock", lambda v: series.to_series(metrics.bait_rock_daily(v), "bait_rock")
-)
-_over_view(
-    "series_catch_rate",
-    lambda v: series.to_series(metrics.catch_rate_daily(v), "catch_rate"),
-)
-_over_view(
-    "series_safari_session",
-    lambda v: series.to_series(
-        metrics.safari_session_daily(metrics.safari_session(v)), "safari_session"
-    ),
-)
+def _series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return series.all_series(_rollups(spark, sf_dir))
 
 
-def _counts(v: DataFrame) -> DataFrame:
-    return drilldown.drill_counts(drilldown.rollups(v))
+def _one_series(metric: str) -> None:
+    _register(f"series_{metric}")(lambda spark, sf_dir: _series(spark, sf_dir)[metric])
 
 
-_over_view("drill_counts", _counts)
-_over_view("drill_totals", lambda v: drilldown.drill_totals(_counts(v)))
-_over_view("drill_preview", lambda v: drilldown.drill_preview(_counts(v)))
-_over_view(
-    "drill_page",
-    lambda v: drilldown.drill_page(_counts(v), "dau", "active", "2024-01-10", "1"),
-)
+for _metric in series.SERIES:
+    _one_series(_metric)
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_counts(_rollups(spark, sf_dir))
+
+
+@_register("drill_counts")
+def _drill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(spark, sf_dir)
+
+
+@_register("drill_totals")
+def _drill_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_totals(_counts(spark, sf_dir))
+
+
+@_register("drill_preview")
+def _drill_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_preview(_counts(spark, sf_dir))
+
+
+@_register("drill_page")
+def _drill_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_page(_counts(spark, sf_dir), "dau", "active", "2024-01-10", "1")
 
 
 @_register("drill_by_series")
 def _drill_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drilldown.drill_by_series(_counts(_v(spark, sf_dir)), spark)
+    return drilldown.drill_by_series(_counts(spark, sf_dir), spark)
+
+
+@_register("period_summary")
+def _period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.period_summary(_series(spark, sf_dir), 7)
+
+
+@_register("period_notes")
+def _period_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.period_notes(_series(spark, sf_dir), 7)
 
 
-_over_view("period_summary", lambda v: series.period_summary(_series(v), 7))
-_over_view("period_notes", lambda v: series.period_notes(_series(v), 7))
+def _long(v: DataFrame) -> DataFrame:
+    """The same rows dealt over more than 200 days, with days that have none."""
+    later = F.timestamp_add("DAY", F.col("id") % 7 * 30, F.col("created_at"))
+    moved = v.withColumn("created_at", later).withColumn("created_at_kst", to_kst(F.col("created_at")))
+    return moved.where(F.dayofyear(kst_day()) % 11 != 3)
+
+
+def _long_series(metric: str) -> None:
+    _register(f"series_{metric}_long")(
+        lambda spark, sf_dir: series.all_series(_long_rollups(spark, sf_dir))[metric]
+    )
+
+
+def _long_rollups(spark: SparkSession, sf_dir: str) -> drilldown.Rollups:
+    """Rollups over 200 days that came in three runs, one build after each.
+
+    The second run brings rows for days that the first build had left behind
+    already, the third one the newest days.
+    """
+    base = Store(spark, f"{bridge.folder(spark, sf_dir, 'long')}/store")
+    if base.last_number() == 0:
+        v = _long(_v(spark, sf_dir))
+        newest = F.col("created_at") >= F.lit("2024-07-01").cast("timestamp_ntz")
+        late = (F.col("id") % 5 == 0) & ~newest
+        for rows_ in (v.where(~late & ~newest), v.where(late), v.where(newest)):
+            run = base.new_run("append")
+            run.write_typed(rows_)
+            run.commit()
+            rollup.refresh(base)
+    return rollup.refresh(base)
+
+
+for _metric in series.SERIES:
+    _long_series(_metric)
+
+
+@_register("drill_counts_long")
+def _drill_counts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drilldown.drill_counts(_long_rollups(spark, sf_dir))
 
 
 def _daily_log(v: DataFrame) -> DataFrame:
@@ -177,7 +244,9 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.meta(log, store.latest_event(), dims.version, dims.pokemon)
 
 
-_over_view("period_slice", lambda v: series.period(_series(v), 7)["catch_rate"])
+@_register("period_slice")
+def _period_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.period(_series(spark, sf_dir), 7)["catch_rate"]
 
 
 @_register("publish_roundtrip")
@@ -188,6 +257,42 @@ def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_details(spark, folder)
 
 
+SALT = "a salt for the test tables"  # fixed value: the checking SQL needs it too
+
+
+@_register("shared_details")
+def _shared_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of the drill-down for others: pseudonyms in place of account ids."""
+    out = bridge.folder(spark, sf_dir, "shared")
+    counts = _counts(spark, sf_dir)
+    return share.read(spark, share.publish(spark, counts, out, SALT, AS_OF))
+
+
+@_register("shared_joined")
+def _shared_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two copies joined on the pseudonym: the same salt links all, another none."""
+    counts = _counts(spark, sf_dir).where("metric = 'dau' AND category = 'active'")
+    one, same, other = [share.shared(counts, s) for s in (SALT, SALT, SALT[::-1])]
+
+    def links(copy: DataFrame) -> DataFrame:
+        found = one.select("d", "pseudonym").join(copy.select("d", "pseudonym"), ["d", "pseudonym"])
+        return found.agg(rows().alias("links"), F.count_distinct("pseudonym").alias("accounts"))
+
+    return links(same).select(F.lit("same").alias("salt"), "*").unionByName(
+        links(other).select(F.lit("other").alias("salt"), "*")
+    )
+
+
+@_register("shared_leaks")
+def _shared_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy in which one metric still shows plain ids, and a column too many."""
+    counts = _counts(spark, sf_dir)
+    plain = F.when(F.col("metric") == "dau", F.col("account_id").cast("string"))
+    copy = share.pseudonym(F.col("account_id"), SALT)
+    spoiled = counts.withColumn("pseudonym", F.coalesce(plain, copy))
+    return share.leaks(spoiled).groupBy("rule", "metric").agg(F.sum("n").alias("n"))
+
+
 # --- ingest ------------------------------------------------------------------
 
 _FACT = ["id", "account_id", "action", "source", "created_at"]
@@ -348,7 +453,7 @@ _over_view(
 @_register("series_contract")
 def _series_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sound series but for one day taken out of one of them."""
-    broken = _series(_v(spark, sf_dir))
+    broken = _series(spark, sf_dir)
     broken["dau"] = broken["dau"].where(F.col("d") != F.lit("2024-01-10").cast("date"))
     return checks.series_contract(broken)
 
@@ -356,10 +461,9 @@ def _series_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("drill_invariants")
 def _drill_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records without an account dropped from the drill-down by mistake."""
-    v = _v(spark, sf_dir)
-    source = drilldown.rollups(v)
+    source = _rollups(spark, sf_dir)
     lost = drilldown.drill_counts(source).where(F.col("account_id").isNotNull())
-    return checks.drill_invariants(series.all_series(source, v), lost)
+    return checks.drill_invariants(series.all_series(source), lost)
 
 
 _over_view(
@@ -411,6 +515,22 @@ _recent(
 _recent("ticket_ledger", 30, lambda v: recipes.ticket_ledger(v, AS_OF))
 
 
+_recent(
+    "attempt_zscore",
+    30,
+    lambda v: recipes.attempt_zscore(v, AS_OF, days=30, min_attempts=1, min_z=5.0, top=1000),
+)
+
+
+@_register("attempt_zscore_past")
+def _attempt_zscore_past(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short baseline, and rows on both sides of the window."""
+    v = bridge.store(spark, sf_dir).recent(PAST, 14)
+    return recipes.attempt_zscore(
+        v, PAST, baseline_hours=48, min_hours=12, min_attempts=1, min_z=2.0, top=1000
+    )
+
+
 @_register("catch_composition")
 def _catch_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = bridge.store(spark, sf_dir).recent(AS_OF, 14)

@@ -78,7 +78,7 @@ def test_session_over_local_midnight_and_tutorial(spark):
         ],
     )
     source = drilldown.rollups(v)
-    out = {k: f.collect() for k, f in series.all_series(source, v).items()}
+    out = {k: f.collect() for k, f in series.all_series(source).items()}
     session, catch = out["safari_session"][0], out["catch_rate"][0]
     assert (session.sessions, session.dwell_median_min, session.unclosed_rate) == (2, 15.0, 0.5)
     assert (catch.attempts, catch.catch_rate) == (1, 0.0)
@@ -139,7 +139,7 @@ def test_spine_fills_counts_not_rates_and_keeps_90_days(spark):
 def test_empty_input_gives_empty_series(spark):
     v = view(spark, [(1, 1, "X", "2026-01-01T00:00:00", None)]).where("false")
     source = drilldown.rollups(v)
-    out = series.all_series(source, v)
+    out = series.all_series(source)
     assert all(f.count() == 0 for f in out.values())
     assert drilldown.drill_counts(source).count() == 0
     summary = series.period_summary(out, 7).first()

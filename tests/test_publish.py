@@ -97,7 +97,7 @@ def test_contract_rules(spark, store, tmp_path):
     fill(spark, store, tmp_path)
     v = store.audit_v()
     source = drilldown.rollups(v)
-    good = series.all_series(source, v)
+    good = series.all_series(source)
     assert checks.series_contract(good).count() == 0
     counts = drilldown.drill_counts(source)
     assert checks.drill_invariants(good, counts).count() == 0
