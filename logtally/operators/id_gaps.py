@@ -21,8 +21,19 @@ def id_gaps(ids: DataFrame, threshold: int = GAP_THRESHOLD) -> DataFrame:
     level = ids.where(F.col("id").isNotNull()).select(
         F.col("id").alias("_first"), F.col("id").alias("_last")
     )
+    return interval_gaps(level, threshold, (_BUCKET_BITS, 2 * _BUCKET_BITS, None))
+
+
+def interval_gaps(
+    level: DataFrame, threshold: int, shifts: tuple = (2 * _BUCKET_BITS - 6, None)
+) -> DataFrame:
+    """Jumps between neighbouring intervals (_first, _last), as (prev, id).
+
+    The given shifts suit intervals of 2^15 ids: a task sees 2^21 of them at
+    most, then up to 2^27 at the top, if ids span all 63 bits.
+    """
     found = []
-    for shift in (_BUCKET_BITS, 2 * _BUCKET_BITS, None):
+    for shift in shifts:
         if shift is None:
             near = Window.orderBy("_first")
         else:

@@ -10,9 +10,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.functions.values import kst_day, payload, rows, within_days
+from logtally.operators import id_sets
 from logtally.operators.dimensions import orphan_keys
 from logtally.operators.drilldown import CATEGORIES, SCOPE, drill_preview, drill_totals
-from logtally.operators.id_gaps import GAP_THRESHOLD, id_gaps
+from logtally.operators.id_gaps import GAP_THRESHOLD
 from logtally.plans.series import SERIES
 from logtally.schema import SERIES_DAYS
 
@@ -25,8 +26,8 @@ def _found(df: DataFrame, check: str, detail: Column) -> DataFrame:
 
 
 def duplicate_ids(audit: DataFrame) -> DataFrame:
-    twice = audit.groupBy("id").agg(rows().alias("_n")).where(F.col("_n") > 1)
-    return _found(twice, "dup", F.col("id"))
+    sets = id_sets.id_sets(audit, every=F.lit(True))
+    return _found(id_sets.repeated(audit, sets, "every"), "dup", F.col("id"))
 
 
 def _columns_like(spark: SparkSession, df: DataFrame, check: str, test) -> DataFrame:
@@ -50,9 +51,8 @@ def unmasked_urls(v: DataFrame) -> DataFrame:
 def recent_gaps(
     audit: DataFrame, as_of, days: int = 3, threshold: int = GAP_THRESHOLD
 ) -> DataFrame:
-    gaps = id_gaps(audit.where(within_days(as_of, days)).select("id"), threshold)
-    arrow = F.concat(F.col("prev").cast("string"), F.lit("→"), F.col("id").cast("string"))
-    return _found(gaps, "gap", arrow)
+    sets = id_sets.id_sets(audit.where(within_days(as_of, days)), recent=F.lit(True))
+    return _found(id_sets.jumps(sets, "recent", threshold), "gap", _arrow())
 
 
 def orphan_pokedex(v: DataFrame, dim: DataFrame) -> DataFrame:
@@ -75,19 +75,60 @@ def assertions(
     gap_days: int = 3,
     gap_threshold: int = GAP_THRESHOLD,
 ) -> DataFrame:
-    """All assertions over the whole table as (check_name, detail), ordered by both."""
+    """All assertions over the whole table as (check_name, detail), ordered by both.
+
+    Repeated ids and id jumps come from one set of bitmaps, urls and orphans
+    from one pass over the view.
+    """
+    recent = F.coalesce(within_days(as_of, gap_days), F.lit(False))
+    sets = id_sets.id_sets(audit, every=F.lit(True), recent=recent)
     checks = [
-        duplicate_ids(audit),
+        _id_rules(audit, sets, gap_threshold),
         ip_column(spark, audit),
-        unmasked_urls(v),
         username_column(spark, v),
-        recent_gaps(audit, as_of, gap_days, gap_threshold),
-        orphan_pokedex(v, dim),
+        _row_rules(v, dim),
         carriage_returns(dim),
     ]
     return reduce(DataFrame.unionByName, checks).orderBy("check_name", "detail")
 
 
+def _id_rules(audit: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    gaps = id_sets.jumps(sets, "recent", threshold)
+    twice = id_sets.repeated(audit, sets, "every")
+    return _found(twice, "dup", F.col("id")).unionByName(_found(gaps, "gap", _arrow()))
+
+
+def _row_rules(v: DataFrame, dim: DataFrame) -> DataFrame:
+    """Rules on single rows, as one list of flagged rules per row.
+
+    Keys meet the dimension as the other rules' rows pass beside them: a row
+    with a broken rule has no key, so no dimension row takes it away.
+    """
+    rules = F.array(
+        F.struct(
+            F.lit("unmasked_url").alias("check_name"),
+            F.col("id").cast("string").alias("detail"),
+            F.lit(None).cast("string").alias("_key"),
+            F.col("req_url").contains("?").alias("_broken"),
+        ),
+        F.struct(
+            F.lit("orphan_pokedex").alias("check_name"),
+            F.col("pokedex_id").alias("detail"),
+            F.col("pokedex_id").alias("_key"),
+            F.col("pokedex_id").isNotNull().alias("_broken"),
+        ),
+    )
+    flagged = v.select(F.inline(F.filter(rules, lambda r: F.coalesce(r["_broken"], F.lit(False)))))
+    known = dim.select(F.col("pokedex_id").alias("_key"))
+    # An empty dimension is not delivered yet and makes no orphans.
+    asked = flagged.where(F.col("_key").isNull() | known.exists())
+    return asked.join(known, "_key", "left_anti").select("check_name", "detail")
+
+
+def _arrow() -> Column:
+    return F.concat(F.col("prev").cast("string"), F.lit("→"), F.col("id").cast("string"))
+
+
 # --- contract drift -------------------------------------------------------
 
 

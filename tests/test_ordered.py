@@ -8,6 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
+from helpers import view
+from logtally.operators import id_sets, metrics
 from logtally.operators.id_gaps import id_gaps
 from logtally.operators.ordered import Ordered, order_keys
 from logtally.operators.quantiles import exact_quantiles
@@ -99,3 +101,57 @@ def test_gaps_equal_brute_force(spark, values, threshold):
     got = sorted((r.prev, r.id) for r in id_gaps(df, threshold).collect())
     line = sorted(values)
     assert got == [(a, b) for a, b in zip(line, line[1:]) if b - a > threshold]
+
+
+# --- ids as bitmaps ----------------------------------------------------------
+
+
+def scattered(seed, n=3000):
+    random = np.random.default_rng(seed)
+    near = random.integers(-70_000, 140_000, n)
+    edges = [0, 1, -1, 32767, 32768, 32769, -32767, -32768, 65536, 65537, 10**12]
+    return sorted({*near.tolist(), *edges, *range(200_000, 200_400)})
+
+
+@pytest.mark.parametrize("threshold", [1, 7, 15, 16, 40, 1000])
+def test_id_sets_match_brute_force(spark, threshold):
+    ids = scattered(1)
+    other = [i for i in ids if i % 5 and not 65_537 <= i <= 98_304] + [10**13]
+    twice = ids[::400] * 2
+    frame = spark.createDataFrame([(i,) for i in ids + twice + [None]], "id bigint")
+    sets = id_sets.id_sets(frame, held=F.lit(True), even=F.col("id") % 2 == 0)
+    got = sorted((r.prev, r.id) for r in id_sets.jumps(sets, "held", threshold).collect())
+    assert got == [(a, b) for a, b in zip(ids, ids[1:]) if b - a > threshold]
+    even = [i for i in ids if i % 2 == 0]
+    got = sorted((r.prev, r.id) for r in id_sets.jumps(sets, "even", threshold).collect())
+    assert got == [(a, b) for a, b in zip(even, even[1:]) if b - a > threshold]
+    if threshold > 1:
+        return
+    assert sorted(r.id for r in id_sets.repeated(frame, sets, "held").collect()) == ids[::400]
+    unpacked = sets.select(F.explode(id_sets.members(F.col("held"), F.col("bucket"))).alias("id"))
+    assert sorted(r.id for r in unpacked.collect()) == ids
+    fact = id_sets.id_sets(spark.createDataFrame([(i,) for i in other], "id bigint"), held=F.lit(True))
+    lost = id_sets.lacking(sets, fact, "held").collect()
+    missing = sorted(set(ids) - set(other))
+    assert sum(r.n for r in lost) == len(missing)
+    assert min(r.from_id for r in lost) == missing[0] and max(r.to_id for r in lost) == missing[-1]
+
+
+def scans(df):
+    """Scans of files in the plan that was run in the end."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("FileScan")
+
+
+def test_ordered_metrics_read_the_view_once(spark, tmp_path):
+    rows = [
+        (i, i % 3, ["ITEM_BUY", "SAFARI_ENTER", "SAFARI_EXIT", "POKEMON_CATCH_ATTEMPT", "POKEMON_CATCH_FAIL"][i % 5],
+         f"2026-08-2{i % 7}T0{i % 9}:00:00", {"money": i, "wildUid": "w", "mapId": "s001"})
+        for i in range(300)
+    ]
+    view(spark, rows).write.parquet(f"{tmp_path}/v")
+    v = spark.read.parquet(f"{tmp_path}/v")
+    assert scans(metrics.money_series(v)) == 1
+    assert scans(metrics.safari_session(v)) == 1
+    assert scans(metrics.catch_attempt(v)) == 2
