@@ -189,13 +189,12 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
     """
     loaded = Store(spark, folder(spark, sf_dir, "bridge"))
     if loaded.last_number() == 0:
-        rows = loaded.new_run("append")
-        rows.write_audit(audit(spark, sf_dir))
-        rows.commit()
-        delivered = loaded.new_run("dims")
+        # One run with all parts: a failure leaves no store with rows but no dimensions.
+        run = loaded.new_run("append")
+        run.write_audit(audit(spark, sf_dir))
         for part, table in dims(spark, sf_dir)._asdict().items():
-            delivered.write(part, table)
-        delivered.commit()
+            run.write(part, table)
+        run.commit()
     return loaded
 
 
@@ -226,16 +225,19 @@ def export_object(spark: SparkSession, sf_dir: str, base: str, name: str) -> Non
     files.rename(spark, f"{raw}/{part}", f"{base}/{name}")
 
 
-def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int) -> None:
-    """Ship the bridged rows as gzip JSON-lines objects, one or more per day.
+def export_archive(
+    spark: SparkSession, sf_dir: str, base: str, days_later: int, rows: DataFrame | None = None
+) -> None:
+    """Ship the bridged rows, or some, as gzip JSON-lines objects, one or more per day.
 
     The folder's day is the event's day moved by ``days_later``: an archive
     day is when rows were shipped.
     """
-    rows = audit(spark, sf_dir)
+    rows = audit(spark, sf_dir) if rows is None else rows
     day = F.date_add(F.col("created_at").cast("date"), days_later)
-    raw = f"{base}/shipped"
-    lines(rows, day.alias("day")).repartition("day").write.partitionBy("day").json(
+    raw = f"{base}/shipped-{days_later}"
+    # A day of many rows is dealt over several objects.
+    lines(rows, day.alias("day")).hint("rebalance", "day").write.partitionBy("day").json(
         raw, compression="gzip", ignoreNullFields=False
     )
     for folder in files.children(spark, raw):
@@ -247,5 +249,5 @@ def export_archive(spark: SparkSession, sf_dir: str, base: str, days_later: int)
             files.rename(
                 spark,
                 f"{raw}/{folder}/{name}",
-                f"{target}/audit-{shipped}T0003Z-{number}.jsonl.gz",
+                f"{target}/audit-{shipped}T{days_later:04d}Z-{number}.jsonl.gz",
             )

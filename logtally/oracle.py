@@ -474,6 +474,30 @@ WHERE ship > DATE '2024-01-19'"""
 
 SQL["jsonl_roundtrip"] = SQL["audit_parse"]
 
+# Reloaded are objects of the last seven days: rows of 25 January on.
+_AGAIN = f"({_TRADE} AND created_at >= TIMESTAMP '2024-01-25')"
+SQL["forced_load"] = f"""{_BASE}
+SELECT {_FACT.replace("source", f"if({_AGAIN}, 'forced', source) AS source")} FROM v"""
+SQL["repeat_load"] = f"""{_BASE}
+SELECT {_FACT} FROM v"""
+
+
+def _reload_log(first_day: str) -> str:
+    """The first load has everything, the second one objects but no new row."""
+    return f"""{_BASE},
+a AS (SELECT count(*) AS n, max(id) AS top, count(DISTINCT CAST(created_at AS DATE)) AS days,
+    count(DISTINCT CASE WHEN {_TRADE} AND created_at >= TIMESTAMP '2024-01-25' THEN CAST(created_at AS DATE) END)
+    + count(DISTINCT CASE WHEN created_at >= TIMESTAMP '{first_day}' THEN CAST(created_at AS DATE) END) AS again
+  FROM v)
+SELECT '2026-11-01 00:00:00' AS run_at, '2026-01-01' AS scanned_from, days AS files_scanned,
+  n AS rows_inserted, n AS total_rows, top AS max_id FROM a
+UNION ALL
+SELECT '2026-11-01 01:00:00', '2026-10-25', again, 0, n, top FROM a"""
+
+
+SQL["forced_load_log"] = _reload_log("2024-01-29")
+SQL["repeat_load_log"] = _reload_log("2999-01-01")
+
 SQL["load_log_row"] = f"""{_BASE}
 SELECT '2026-11-01 00:00:00' AS run_at, '2026-01-01' AS scanned_from,
   count(DISTINCT CAST(created_at AS DATE)) AS files_scanned,
@@ -506,6 +530,37 @@ UNION ALL
 SELECT 'orphan_pokedex', pokedex_id FROM v
 WHERE pokedex_id IS NOT NULL AND pokedex_id NOT IN (SELECT pokedex_id FROM dim)"""
 
+SQL["assertions_dirty"] = f"""{_with(_dim_cte())}
+SELECT 'ip_column_present' AS check_name, 'ip' AS detail
+UNION ALL SELECT 'username_column_exposed', 'Login_Username'
+UNION ALL SELECT 'unmasked_url', CAST(id AS VARCHAR) FROM v
+WHERE req_url IS NOT NULL AND req_method IS NOT NULL
+UNION ALL SELECT 'crlf_residue', CAST(pokedex_id_raw AS VARCHAR) FROM dim
+UNION ALL
+SELECT 'gap', concat(id, '→', nxt) FROM (
+  SELECT id, {_NEXT_ID} AS nxt FROM v
+  WHERE created_at > TIMESTAMP '2024-01-28 00:00:00') n WHERE nxt - id > 1000
+UNION ALL
+SELECT 'orphan_pokedex', pokedex_id FROM v
+WHERE pokedex_id IS NOT NULL AND pokedex_id NOT IN (SELECT pokedex_id FROM dim)"""
+
+SQL["contract_broken"] = f"""{_with(_DAU_DAY)},
+days AS (SELECT datediff('day', min(day), max(day)) + 1 AS n FROM dau_day)
+SELECT 'dau' AS metric, 'too_many_days' AS rule, CAST(4 * n AS VARCHAR) AS detail FROM days WHERE 4 * n > 90
+UNION ALL SELECT 'dau', 'days_not_contiguous', concat(4 * n, '/', 4 * n, '/', n + 300) FROM days
+UNION ALL SELECT 'catch_rate', 'not_finite:catch_rate', '2024-01-10'
+UNION ALL SELECT 'safari_session', 'not_finite:unclosed_rate', '2024-01-10'
+UNION ALL SELECT 'bait_rock', 'days_not_contiguous', concat(n + 1, '/', n, '/', n) FROM days
+UNION ALL SELECT 'meta', 'negative:last_inserted', CAST(-count(*) AS VARCHAR)
+FROM v WHERE day = (SELECT max(day) FROM v)
+UNION ALL SELECT 'meta', 'row_count', '2'"""
+
+SQL["preview_spoiled"] = f"""{_ALL_DRILL}, {_DRILL_TOTALS},
+hit AS (SELECT metric, category, d, total_users FROM drill_totals WHERE metric = 'dau' AND d = '2024-01-10')
+SELECT metric, category, d, 'totals_missing' AS rule, 1 AS n FROM hit
+UNION ALL SELECT metric, category, d, 'totals_extra', 1 FROM hit
+UNION ALL SELECT metric, category, d, 'preview_missing', 1 FROM hit WHERE total_users > 0"""
+
 SQL["contract_drift"] = f"""{_BASE},
 recent AS (SELECT * FROM v WHERE created_at > TIMESTAMP '2024-01-01 00:00:00'),
 n AS (SELECT
@@ -746,3 +801,9 @@ def _over_long(sql: str) -> str:
 
 for _name in ("series_dau", "series_bait_rock", "series_catch_rate", "series_safari_session", "drill_counts"):
     SQL[f"{_name}_long"] = _over_long(SQL[_name])
+
+
+for _name, _days, _past_days in (
+    ("ticket_ledger", 30, 12), ("map_edges", 7, 7), ("funnel", 30, 10), ("shiny_screen", 30, 15), ("bot_screen", 30, 15),
+):
+    SQL[f"{_name}_past"] = SQL[_name].replace(_within(_days), _within(_past_days, "2024-01-20 00:00:00"))

@@ -105,7 +105,7 @@ def _write_rows(
     batch = archive.latest_per_id(archive.read_events(spark, paths)).drop("path")
     if rows_before == 0:
         run.write_audit(batch)
-        return count_rows(spark.read.parquet(run.path("audit")))
+        return _written_rows(run)
     # Parsed once and put down, as the comparison below needs its id range.
     batch.write.parquet(run.path("staged"))
     staged = spark.read.parquet(run.path("staged"))
@@ -118,11 +118,16 @@ def _write_rows(
         inserted = count_rows(fresh)
     else:
         run.write_audit(fresh)
-        inserted = count_rows(spark.read.parquet(run.path("audit")))
+        inserted = _written_rows(run)
     files.remove(spark, run.path("staged"))
     return inserted
 
 
+def _written_rows(run: RunWriter) -> int:
+    """Also of a run without any row, which has no file to tell a schema."""
+    return count_rows(run.store.spark.read.schema("id bigint").parquet(run.path("audit")))
+
+
 def load_dims(spark: SparkSession, store: Store, base: str, as_of: datetime) -> bool:
     """Load the newest dimension files; False, and no change, where none are."""
     dims = read_dims(spark, base, as_of)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -376,6 +376,47 @@ def _loaded(spark: SparkSession, sf_dir: str) -> Store:
     return store
 
 
+_AGAIN = _SHIPPED_LATER + 4  # trades shipped again, changed, on later days
+
+
+def _reloaded(spark: SparkSession, sf_dir: str, force: bool) -> Store:
+    """A loaded archive that grows by changed copies of trades, loaded again."""
+    base = bridge.folder(spark, sf_dir, f"reload-{force}")
+    store = Store(spark, f"{base}/store")
+    if len(store.committed()) < 2:
+        archive_ = f"{base}/{uuid.uuid4().hex}"
+        bridge.export_archive(spark, sf_dir, archive_, _SHIPPED_LATER)
+        if store.last_number() == 0:
+            ingest.load(spark, store, archive_, _LOAD_AT)
+        trades = bridge.audit(spark, sf_dir).where(F.col("action").isin(*metrics.TRADES))
+        changed = trades.withColumn("source", F.lit("forced"))
+        bridge.export_archive(spark, sf_dir, archive_, _AGAIN, changed)
+        ingest.load(spark, store, archive_, _LOAD_AT + timedelta(hours=1), force=force)
+    return store
+
+
+@_register("forced_load")
+def _forced_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window's rows read again: the copy shipped last replaces the old row."""
+    return _reloaded(spark, sf_dir, True).audit().select(*_FACT)
+
+
+@_register("forced_load_log")
+def _forced_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reloaded(spark, sf_dir, True).load_log()
+
+
+@_register("repeat_load")
+def _repeat_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are known already change nothing, whatever their new copy says."""
+    return _reloaded(spark, sf_dir, False).audit().select(*_FACT)
+
+
+@_register("repeat_load_log")
+def _repeat_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reloaded(spark, sf_dir, False).load_log()
+
+
 @_register("jsonl_roundtrip")
 def _jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir).audit_v().drop("detail")
@@ -427,6 +468,54 @@ def _assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.assertions(spark, v, v, _dim(spark, sf_dir), AS_OF)
 
 
+@_register("assertions_dirty")
+def _assertions_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact with ip, a view with unmasked urls and a login name, and a
+    dimension whose line ends were never stripped."""
+    v = _v(spark, sf_dir)
+    audit = v.withColumn("ip", F.lit("192.0.2.1"))
+    method = F.concat("req_url", F.lit("?code="), F.col("req_method"))
+    dirty = v.withColumn("req_url", F.coalesce(method, F.col("req_url"))).withColumn("Login_Username", F.lit("x"))
+    file = bridge.pokemon_file(spark, sf_dir)
+    dim = _dim(spark, sf_dir).join(
+        file.select(F.col("id").alias("pokedex_id_raw"), F.col("tier").alias("_raw")), "pokedex_id_raw", "left"
+    )
+    return checks.assertions(spark, audit, dirty, dim.withColumn("tier", F.col("_raw")).drop("_raw"), AS_OF)
+
+
+@_register("contract_broken")
+def _contract_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the published series and the banner row, broken once."""
+    sound = _series(spark, sf_dir)
+    first = F.col("d") == F.lit("2024-01-10").cast("date")
+    more = F.explode(F.array(*[F.date_add("d", 100 * k) for k in range(4)]))
+    endless = F.when(first, F.lit(float("inf"))).otherwise(F.col("catch_rate"))
+    unknown = F.when(first, F.lit(float("nan"))).otherwise(F.col("unclosed_rate"))
+    broken = {
+        "dau": sound["dau"].withColumn("d", more),
+        "catch_rate": sound["catch_rate"].withColumn("catch_rate", endless),
+        "safari_session": sound["safari_session"].withColumn("unclosed_rate", unknown),
+        "bait_rock": sound["bait_rock"].unionByName(sound["bait_rock"].where(first)),
+    }
+    store = bridge.store(spark, sf_dir)
+    row = series.meta(_daily_log(store.audit_v()), store.latest_event(), store.dims().version, store.dims().pokemon)
+    negative = row.withColumn("last_inserted", -F.col("last_inserted"))
+    twice = row.unionByName(row)
+    parts = [checks.series_contract(broken), checks.meta_contract(negative), checks.meta_contract(twice)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@_register("preview_spoiled")
+def _preview_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preview that lost its first account, and totals one too high, on one day."""
+    counts = _counts(spark, sf_dir)
+    spoiled = (F.col("d") == F.lit("2024-01-10").cast("date")) & (F.col("metric") == "dau")
+    preview = drilldown.drill_preview(counts).where(~(spoiled & (F.col("rank") == 1)))
+    users = F.when(spoiled, F.col("total_users") + 1).otherwise(F.col("total_users"))
+    totals = drilldown.drill_totals(counts).withColumn("total_users", users)
+    return checks.preview_invariants(counts, preview, totals)
+
+
 @_register("contract_drift")
 def _contract_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = bridge.store(spark, sf_dir)
@@ -515,6 +604,24 @@ _recent(
 _recent("ticket_ledger", 30, lambda v: recipes.ticket_ledger(v, AS_OF))
 
 
+def _past(name: str, days: int, operator: Callable[[DataFrame], DataFrame]) -> None:
+    """The same questions with rows on both sides of ``as_of``."""
+    _register(f"{name}_past")(
+        lambda spark, sf_dir: operator(bridge.store(spark, sf_dir).recent(PAST, days))
+    )
+
+
+_past("ticket_ledger", 12, lambda v: recipes.ticket_ledger(v, PAST, days=12))
+_past("map_edges", 7, lambda v: recipes.map_edges(v, PAST))
+_past("funnel", 10, lambda v: recipes.funnel(v, PAST, days=10))
+_past("shiny_screen", 15, lambda v: recipes.shiny_screen(v, PAST, days=15, min_catches=1))
+_past(
+    "bot_screen",
+    15,
+    lambda v: recipes.bot_screen(v, PAST, days=15, max_gap=400_000, min_events=3),
+)
+
+
 _recent(
     "attempt_zscore",
     30,

@@ -22,9 +22,10 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime
-from functools import cache
+from functools import cache, reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from logtally import schema
 from logtally.functions.values import instant, kst_day, rows, to_kst
@@ -169,8 +170,8 @@ class Store:
     def _stored(self) -> DataFrame:
         """Rows of all runs, less those that a later forced run replaced.
 
-        One scan, whatever the number of forced runs: their ids, each with the
-        newest run that forced it, are joined once against the rows.
+        Whatever the number of forced runs: rows in the ranges of their ids meet
+        once by id, with the newest run that forced it. All others pass as they are.
         """
         typed = _typed_columns(self.spark)
         runs = [r for r in self.committed() if "audit" in r.parts]
@@ -185,12 +186,14 @@ class Store:
         order = self.spark.createDataFrame(
             [(r.name, i) for i, r in enumerate(runs)], "run string, _order int"
         )
-        ordered = table.join(order, "run")
-        by = ordered.where(F.col("run").isin([r.name for r in forced])).groupBy("id").agg(
-            F.max("_order").alias("_by")
+        near = reduce(
+            or_, [F.col("id").between(r.min_id, r.max_id) for r in forced if r.min_id is not None], F.lit(False)
         )
-        kept = ordered.join(by, "id", "left").where("_by IS NULL OR _order >= _by")
-        return kept.select(*typed.fieldNames())
+        ordered = table.where(near).join(order, "run")
+        force = F.when(F.col("run").isin([r.name for r in forced]), F.col("_order"))
+        newest = F.max(force).over(Window.partitionBy("id"))
+        kept = ordered.withColumn("_by", newest).where("_by IS NULL OR _order >= _by")
+        return table.where(~near).unionByName(kept.select(*table.columns)).select(*typed.fieldNames())
 
     def audit_v(self, days: tuple | None = None) -> DataFrame:
         """The typed view. ``days`` (first, last), KST, prunes whole folders."""
@@ -271,7 +274,7 @@ class Store:
 
     def dims(self) -> Dims:
         """The dimensions loaded last; empty ones before the first delivery."""
-        runs = [r for r in self.committed() if r.kind == "dims"]
+        runs = [r for r in self.committed() if set(Dims._fields) <= set(r.parts)]
         if not runs:
             return stub(self.spark)
         return Dims(

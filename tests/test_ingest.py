@@ -318,3 +318,25 @@ def test_funnel_on_loaded_rows(spark, store, base):
 def test_gzip_fixture_is_gzip(base):
     path = ship(base, DAY, [line(1)])
     assert gzip.open(path, "rt").read().count("\n") == 1
+
+
+def test_objects_with_known_ids_only_add_nothing(spark, tmp_path):
+    store, archive_ = Store(spark, str(tmp_path / "store")), str(tmp_path / "archive")
+    ship(archive_, "2026-08-20", [line(1), line(2)])
+    ingest.load(spark, store, archive_, datetime(2026, 8, 21))
+    ship(archive_, "2026-08-21", [line(1, source="again"), line(2)])
+    row = ingest.load(spark, store, archive_, datetime(2026, 8, 22))
+    assert (row.rows_inserted, row.total_rows, row.files_scanned) == (0, 2, 1)
+    assert {r.source for r in store.audit().collect()} == {"api"}
+    assert ids(store.audit_v()) == [1, 2]
+
+
+def test_forced_rows_replace_rows_in_their_range_only(spark, tmp_path):
+    store, archive_ = Store(spark, str(tmp_path / "store")), str(tmp_path / "archive")
+    ship(archive_, "2026-08-20", [line(i) for i in range(1, 60)])
+    ingest.load(spark, store, archive_, datetime(2026, 8, 21))
+    ship(archive_, "2026-08-25", [line(i, source="new") for i in (10, 20, 30)])
+    ingest.load(spark, store, archive_, datetime(2026, 9, 1), force=True)
+    found = {r.id: r.source for r in store.audit().collect()}
+    assert sorted(found) == list(range(1, 60))
+    assert {i for i, s in found.items() if s == "new"} == {10, 20, 30}
