@@ -186,7 +186,7 @@ def token_pieces(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, keep_space).encode
         for part in parts(batches):
-            ids, offs = encode(part.column("text").to_pylist(), end_id)
+            ids, offs = encode(part.column("text"), end_id)
             found = []
             for doc, a, b in zip(part.column("doc_id").to_pylist(), offs[:-1].tolist(), offs[1:].tolist(), strict=True):
                 for piece, start in enumerate(range(a, b, capacity)):

@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
 Both vocabularies split a text before they merge, and never across a single
-space: what stands between spaces can be encoded on its own. A memo of bounded
+space: what stands between spaces can be encoded on its own. Strings of special
+tokens become these tokens, as the library does by default. A memo of bounded
 size keeps the ids of pieces seen. Texts for which that may not hold (white
 space before a space for the byte vocabulary) are encoded whole.
 """
@@ -12,10 +13,13 @@ import os
 import re
 import zlib
 from functools import cache
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MEMO = 400_000  # pieces kept per worker process
+MEMO = 400_000  # pieces kept per worker process; words are short, so twice as many
 
 _RUN_BEFORE_SPACE = re.compile(r"\s (?:\s|\Z)")
 
@@ -25,9 +29,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings are ordinary text
-    return found
+    return Tokenizer.from_file(path)
 
 
 # A Latin word, with a space before it or not, and marks behind it: both
@@ -40,6 +42,7 @@ class Encoder:
 
     def __init__(self, path: str, keep_space: bool) -> None:
         self.path, self.keep_space = path, keep_space
+        self.memo = MEMO if keep_space else 2 * MEMO
         self.index: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -69,10 +72,10 @@ class Encoder:
         return self.ids[self.start[at] : self.start[at] + self.length[at]].tolist()
 
     def _forget(self) -> None:
-        """Back to MEMO pieces: those seen first, so the frequent ones, stay."""
-        while len(self.index) > MEMO:
+        """Back to the memo's size: pieces seen first, so the frequent ones, stay."""
+        while len(self.index) > self.memo:
             self.index.popitem()
-        self.start, self.length = self.start[:MEMO], self.length[:MEMO]
+        self.start, self.length = self.start[: self.memo], self.length[: self.memo]
         self.ids = self.ids[: self.length.sum()]
 
     def _pieces(self, text: str) -> list[str]:
@@ -83,28 +86,55 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
 
-    def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids after each other, each text's followed by ``end_id`` if given; n + 1 offsets."""
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            found = self._pieces(text) if text else []
-            counts[i] = len(found)
-            pieces += found
-        new = list(dict.fromkeys(p for p in pieces if p not in self.index))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        texts = pc.fill_null(texts, "")
+        split = self._split_whole if self.keep_space or _has_separators(texts) else _split_words
+        distinct, which, ends = split(texts)
+        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(known < 0).tolist()
+        if unknown:
+            self._learn([distinct[i] for i in unknown])
+            known[unknown] = [self.index[distinct[i]] for i in unknown]
+        at = known[which]
         length = self.length[at]
         before = np.concatenate([[0], np.cumsum(length)])
         ids = self.ids[np.arange(before[-1]) + np.repeat(self.start[at] - before[:-1], length)]
-        offsets = before[np.concatenate([[0], np.cumsum(counts)])]
+        offsets = before[ends]
         self._forget()
         if end_id is None:
             return ids, offsets
         return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))
 
 
+    def _split_whole(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pieces, the number of each piece in them, and n + 1 piece offsets."""
+        pieces: list[str] = []
+        ends = [0]
+        for text in texts.to_pylist():
+            pieces += self._pieces(text) if text else []
+            ends.append(len(pieces))
+        numbers: dict[str, int] = {}
+        which = np.fromiter((numbers.setdefault(p, len(numbers)) for p in pieces), np.int64, len(pieces))
+        return list(numbers), which, np.array(ends)
+
+
+def _has_separators(texts: pa.Array) -> bool:
+    """Any of U+001C to U+001F: white space to Arrow, text to the vocabulary."""
+    return bool(pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py())
+
+
+def _split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """As ``_split_whole``, between white space, without a Python object per word."""
+    lists = pc.utf8_split_whitespace(texts)
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(filled)])
+    coded = words.filter(pa.array(filled)).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), before[ends]
+
+
 @cache
 def encoder(path: str, keep_space: bool) -> Encoder:
     """The worker's own: its memo serves all tasks that the worker runs."""
