@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from logtally.llm.shared import written
 from logtally.llm.words import Words, _BYTE, _SPACE, _powers, distinct, flat, lists, mix, parts
@@ -221,9 +221,10 @@ def remove_repeats(
         texts.join(known, ["id", "h"]).mapInArrow(_run_rows, "id long, h long, place long, run long"),
         "runs",
     )
-    holders = runs.groupBy("run").agg(F.min("id").alias("holder"), F.max("id").alias("other")).where("holder < other")
+    # One shuffle: rows of a run lie together, and the window spills if they are many.
+    holder = F.min("id").over(Window.partitionBy("run"))
     marks = (
-        runs.join(holders.select("run", "holder"), "run")
+        runs.withColumn("holder", holder)
         .where("holder < id")
         .groupBy("id", "h")
         .agg(F.collect_set("place").alias("marks"))
