@@ -26,7 +26,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages stay in one document only."""
-    return chunks.remove_repeats(spark, docs).select(*docs.columns)
+    return chunks.remove_repeats(spark, docs, counts=False)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,9 +199,13 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True
 ) -> DataFrame:
-    """``docs`` with repeated passages cut out of the text, plus n_spans and removed_bytes."""
+    """``docs`` with repeated passages cut out of the text, plus n_spans and removed_bytes.
+
+    These two take the place of columns of the same names; without ``counts``
+    they are left out, and ``docs`` keeps all of its columns.
+    """
     keyed = docs.select(
         F.struct(*[c for c in docs.columns if c != text_col]).alias("row"),
         F.col(id_col).cast("long").alias("id"),
@@ -233,5 +237,10 @@ def remove_repeats(
     kind = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
     kind = kind.add("n_spans", T.LongType()).add("removed_bytes", T.LongType())
     out = rows.mapInArrow(_cut_rows, kind)
-    fields = [F.col("text").alias(text_col) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return out.select(*fields, "n_spans", "removed_bytes")
+    added = ["n_spans", "removed_bytes"] if counts else []
+    fields = [
+        F.col("text").alias(text_col) if c == text_col else F.col(f"row.`{c}`").alias(c)
+        for c in docs.columns
+        if c not in added
+    ]
+    return out.select(*fields, *added)

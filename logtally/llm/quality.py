@@ -226,8 +226,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
     return fit(x[order], y[order])
 
 
-def scored(docs: DataFrame, model: Gam) -> DataFrame:
-    """``docs`` with a column ``score``; other columns ride along in a struct."""
+def _judged(docs: DataFrame, model: Gam) -> DataFrame:
+    """(row, score): the columns of ``docs`` in a struct, whatever their names."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +235,13 @@ def scored(docs: DataFrame, model: Gam) -> DataFrame:
             s = model.score(features(part.column("text")))
             yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s)], names=["row", "score"])
 
-    kind = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    out = rows.mapInArrow(score, kind)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "score"], "score")
+    return rows.mapInArrow(score, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
+
+
+def scored(docs: DataFrame, model: Gam) -> DataFrame:
+    """``docs`` with a column ``score``, in place of one of this name."""
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "score"]
+    return _judged(docs, model).select(*kept, "score")
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -254,6 +258,4 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: in
 def accepted(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` scored 0.5 or more, columns unchanged."""
     model = train(docs.select("doc_id", "text"), labels, sample)
-    kept = scored(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, model)
-    kept = kept.where("score >= 0.5").drop("score")
-    return kept.withColumnRenamed("_score", "score") if "score" in docs.columns else kept
+    return _judged(docs, model).where("score >= 0.5").select("row.*")
