@@ -472,7 +472,7 @@ FROM (SELECT CAST(created_at AS DATE) AS ship, max(id) AS cutoff_id
       FROM v GROUP BY ALL) o
 WHERE ship > DATE '2024-01-19'"""
 
-SQL["jsonl_roundtrip"] = SQL["audit_parse"]
+SQL["jsonl_roundtrip"] = SQL["stream_load"] = SQL["audit_parse"]
 
 # Reloaded are objects of the last seven days: rows of 25 January on.
 _AGAIN = f"({_TRADE} AND created_at >= TIMESTAMP '2024-01-25')"

@@ -79,7 +79,8 @@ def load(
     run = store.new_run("force" if force else "append")
     inserted = 0
     if paths:
-        inserted = _write_rows(spark, store, run, paths, force, rows_before)
+        events = archive.read_events(spark, paths)
+        inserted = write_rows(spark, store, run, events, force, rows_before)
         loaded = spark.createDataFrame([(p,) for p in paths], "path string")
         run.write("objects", loaded.withColumn("loaded_at", instant(as_of)).coalesce(1))
         run.shape = {
@@ -93,16 +94,16 @@ def load(
     return row
 
 
-def _write_rows(
+def write_rows(
     spark: SparkSession,
     store: Store,
     run: RunWriter,
-    paths: list[str],
+    events: DataFrame,
     force: bool,
     rows_before: int,
 ) -> int:
-    """Write the batch; return how many of its ids are new."""
-    batch = archive.latest_per_id(archive.read_events(spark, paths)).drop("path")
+    """Write the events read; return how many of their ids are new."""
+    batch = archive.latest_per_id(events).drop("path")
     if rows_before == 0:
         run.write_audit(batch)
         return _written_rows(run)

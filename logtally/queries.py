@@ -13,7 +13,7 @@ from logtally.functions.values import kst_day, round_to, rows, to_kst
 from logtally.operators import connections, dimensions, drilldown, metrics
 from logtally.operators.audit_view import audit_v
 from logtally.operators.id_gaps import id_gaps
-from logtally.plans import checks, ingest, publish, recipes, reconcile, rollup, series, share
+from logtally.plans import checks, ingest, publish, recipes, reconcile, rollup, series, share, stream
 from logtally.sources import archive, files
 from logtally.sources.store import Store
 
@@ -417,6 +417,18 @@ def _repeat_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reloaded(spark, sf_dir, False).load_log()
 
 
+@_register("stream_load")
+def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows from an archive read as a stream, ten objects at a time."""
+    base = bridge.folder(spark, sf_dir, "stream")
+    store = Store(spark, f"{base}/store")
+    if store.last_number() == 0:
+        archive_ = f"{base}/{uuid.uuid4().hex}"
+        bridge.export_archive(spark, sf_dir, archive_, _SHIPPED_LATER)
+        stream.load_stream(spark, store, archive_, f"{archive_}/progress", _LOAD_AT, objects_at_once=10)
+    return store.audit_v().drop("detail")
+
+
 @_register("jsonl_roundtrip")
 def _jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir).audit_v().drop("detail")

@@ -81,12 +81,24 @@ def plan_scan(
 def read_events(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Archive lines under the declared schema; one bad line fails the load.
 
-    gzip objects do not split: one task reads one object. ``ip`` is dropped
-    here. ``paths`` must not be empty.
+    gzip objects do not split: one task reads one object. ``paths`` must not be
+    empty.
     """
-    lines = (
-        spark.read.schema(ARCHIVE_LINE).option("mode", "FAILFAST").json(paths)
-    ).withColumn("path", F.col("_metadata.file_path"))
+    return events_of(spark.read.schema(ARCHIVE_LINE).option("mode", "FAILFAST").json(paths))
+
+
+def stream_events(spark: SparkSession, base: str, objects_at_once: int) -> DataFrame:
+    """The same lines as a stream: each object once, found by the folder pattern."""
+    return events_of(
+        spark.readStream.schema(ARCHIVE_LINE)
+        .option("mode", "FAILFAST")
+        .option("maxFilesPerTrigger", objects_at_once)
+        .json(f"{base.rstrip('/')}/audit/*/*/*/*.jsonl.gz")
+    )
+
+
+def events_of(lines: DataFrame) -> DataFrame:
+    """Typed events, each with the path of its object. ``ip`` is dropped here."""
     # The id is the fact's key: a line without one fails the load as well.
     id_or_fail = F.coalesce("id", F.raise_error(F.lit("archive line without id")))
     return lines.select(
@@ -98,7 +110,7 @@ def read_events(spark: SparkSession, paths: list[str]) -> DataFrame:
         "user_agent",
         "source",
         utc_wallclock(F.col("created_at")).alias("created_at"),
-        "path",
+        F.col("_metadata.file_path").alias("path"),
     )
 
 
@@ -110,13 +122,9 @@ def latest_per_id(events: DataFrame) -> DataFrame:
     """
     day = F.regexp_extract("path", r"audit/(\d{4}/\d{2}/\d{2})/", 1)
     # Copies inside one object have no order of their own; any fixed one will do.
-    content = F.to_json(
-        F.struct(
-            "account_id", "action", "status", "detail", "user_agent", "source", "created_at"
-        )
-    )
+    plain = F.xxhash64("account_id", "action", "status", "user_agent", "source", "created_at")
     newest = Window.partitionBy("id").orderBy(
-        day.desc(), F.desc("path"), F.xxhash64(content).desc()
+        day.desc(), F.desc("path"), plain.desc(), F.to_json("detail").desc()
     )
     return (
         events.withColumn("_rank", F.row_number().over(newest))
