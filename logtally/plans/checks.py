@@ -15,7 +15,7 @@ from logtally.operators.dimensions import orphan_keys
 from logtally.operators.drilldown import CATEGORIES, SCOPE, drill_preview, drill_totals
 from logtally.operators.id_gaps import GAP_THRESHOLD
 from logtally.plans.series import SERIES
-from logtally.schema import SERIES_DAYS
+from logtally.schema import ARCHIVE_LINE, SERIES_DAYS
 
 
 def _found(df: DataFrame, check: str, detail: Column) -> DataFrame:
@@ -23,6 +23,7 @@ def _found(df: DataFrame, check: str, detail: Column) -> DataFrame:
 
 
 # --- assertions after a load ---------------------------------------------
+# The names that findings carry (check_name) and the drift items.
 
 
 def duplicate_ids(audit: DataFrame) -> DataFrame:
@@ -181,7 +182,7 @@ def contract_drift(
         ),
         (
             "2. source columns",
-            "[account_id, action, created_at, detail, id, ip, source, status, user_agent]",
+            "[" + ", ".join(sorted(ARCHIVE_LINE.names)) + "]",
             F.coalesce(F.col("columns").cast("string"), F.lit("(no sample)")),
             F.coalesce("observed", none),
         ),

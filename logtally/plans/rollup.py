@@ -53,11 +53,13 @@ def _records(store: Store) -> str:
     return f"{_root(store)}/records"
 
 
+def _record(store: Store, number: int) -> dict:
+    return json.loads(files.read_text(store.spark, f"{_records(store)}/{number:012d}.json"))
+
+
 def _newest(store: Store) -> tuple[int, dict | None]:
     number = files.last_number(store.spark, _records(store))
-    if number == 0:
-        return 0, None
-    return number, json.loads(files.read_text(store.spark, f"{_records(store)}/{number:012d}.json"))
+    return number, _record(store, number) if number else None
 
 
 def refresh(store: Store) -> Rollups:
@@ -65,12 +67,32 @@ def refresh(store: Store) -> Rollups:
 
     Of two refreshes at the same time one fails with ``FileExistsError``.
     """
+    return refreshed(store)[0]
+
+
+def refreshed(store: Store) -> tuple[Rollups, Store]:
+    """As ``refresh``, with the store frozen at the commit they belong to."""
     fixed = store.snapshot()
     number, known = _newest(store)
     if known is None or known["commit"] != fixed.at:
         known = _next_record(fixed, known)
         files.create(store.spark, f"{_records(store)}/{number + 1:012d}.json", json.dumps(known))
-    return _read(store, known)
+        _sweep(store, number + 1)
+    return _read(store, known), fixed
+
+
+def _sweep(store: Store, number: int) -> None:
+    """Remove what only the record before the last one has: readers of that are done."""
+    if number < 3:
+        return
+
+    def folders(record: dict) -> set[str]:
+        state = {f"states/{record['state']}"} if record["state"] else set()
+        return {f"built/{record['built']['name']}", *state, *[f"sets/{s['name']}" for s in record["sets"]]}
+
+    kept = folders(_record(store, number)) | folders(_record(store, number - 1))
+    for folder in folders(_record(store, number - 2)) - kept:
+        files.remove(store.spark, f"{_root(store)}/{folder}")
 
 
 def _next_record(store: Store, known: dict | None) -> dict:

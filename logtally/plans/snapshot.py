@@ -43,9 +43,8 @@ def staged_snapshot(store: Store, folder: str) -> Snapshot:
     Contributor counts are put down once for details, totals and preview.
     Series and banner row become local frames: 90 rows and one row.
     """
-    fixed = store.snapshot()
-    spark = fixed.spark
-    source = rollup.refresh(fixed)
+    source, fixed = rollup.refreshed(store)
+    spark = store.spark
     series = all_series(source)
     counts = drilldown.drill_counts(source)
 

@@ -3,6 +3,7 @@
 import random
 import shutil
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,9 @@ def test_builds_read_new_runs_only(spark, store):
         for run in store.committed():
             shutil.rmtree(store.path("audit", run.name), ignore_errors=True)
     assert facts(rollup.refresh(store).attempts) == facts(source.attempts)
+    # Four builds, the folders of the last two are left.
+    assert len(list(Path(store.root, "rollups", "built").iterdir())) == 2
+    assert len(list(Path(store.root, "rollups", "sets").iterdir())) == 4
 
 
 def test_forced_and_compacted_runs(spark, store):
