@@ -1,13 +1,14 @@
 """Best-fit packing of token sequences: configuration linear program, then rounding.
 
 Only the histogram of piece lengths decides the packing, and it has at most
-``capacity`` rows however large the corpus is. On it, a fractional solution of
-the configuration program (cover every piece of every length with as few full
-sequences as possible) comes from multiplicative weights: a length's weight
-falls as it is covered, and the next configuration is the best one under the
-weights, found by knapsack dynamic programming over the capacity. Counts of
-full configurations are rounded down; what is left is placed best-fit, longest
-first.
+``capacity`` rows however large the corpus is. On it, the configuration program
+(cover every piece of every length with as few sequences as possible) is solved
+by multiplicative weights: passes price all lengths by their weights, find the
+best configurations by knapsack dynamic programming over the capacity, and raise
+the weights of the lengths they leave uncovered. The mean of the passes is
+rounded down, the program packs the remainder once more, and best-fit, longest
+first, places only what no configuration of full worth holds. The prices bound
+from below what any packing needs; passes end when the bound is met.
 
 The plan says, for each length, which ranks of its pieces go to which
 sequences; ranks are given in Spark, salted, so that a length which holds many
@@ -19,6 +20,8 @@ packed each on its own; a null id is packed like any other.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,96 +35,140 @@ from logtally.llm.words import parts
 
 CAPACITY = 4096
 SALTS = 256
-ITEMS = 160  # lengths priced at once
-ROUNDS = 200  # of multiplicative weights
-RATE = 0.5
-SCALES = (1.0, 0.75, 0.5, 0.25, 0.1)
+PASSES = 4  # of multiplicative weights
+RATE = 0.002
+NEAR = 0.0005  # share of the best worth
+WORTH = 0.999  # of the best configuration, below which best-fit goes on
+TIE = 1e-12
 
 
 # --- the plan, on the histogram --------------------------------------------
 
 
-def knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The best multiset of lengths within capacity; ``most`` of each."""
-    best = np.zeros(capacity + 1)
-    taken: list[tuple[int, int, np.ndarray]] = []
-    for length, value, limit in zip(lengths.tolist(), values.tolist(), most.tolist(), strict=True):
-        limit, copies = min(limit, capacity // length), 1
-        while limit > 0:
-            copies = min(copies, limit)
-            limit -= copies
-            width = length * copies
-            other = best[: capacity + 1 - width] + value * copies
-            better = other > best[width:] + 1e-12
-            best[width:] = np.where(better, other, best[width:])
-            taken.append((length, copies, better))
-            copies *= 2
-    found: Counter = Counter()
-    room = int(np.argmax(best))
-    for length, copies, better in reversed(taken):
-        width = length * copies
-        if room >= width and better[room - width]:
-            found[length] += copies
+class Knapsack:
+    """The best multisets of lengths for every room at once; ``most`` of each length.
+
+    Of equally good ones it takes that with lengths that come first, so with
+    lengths in falling order the short ones are kept for rooms that need them.
+    """
+
+    def __init__(self, lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> None:
+        self.items: list[tuple[int, int, int]] = []  # index of the length, copies, width
+        for i, (length, limit) in enumerate(zip(lengths.tolist(), most.tolist(), strict=True)):
+            limit, copies = min(limit, capacity // length), 1
+            while limit > 0:
+                copies = min(copies, limit)
+                limit -= copies
+                self.items.append((i, copies, length * copies))
+                copies *= 2
+        better = np.zeros((len(self.items), capacity + 1), dtype=bool)
+        self.best = np.zeros(capacity + 1)
+        for k, (i, copies, width) in enumerate(self.items):
+            other = self.best[: capacity + 1 - width] + prices[i] * copies
+            np.greater(other, self.best[width:] + TIE, out=better[k, width:])
+            np.copyto(self.best[width:], other, where=better[k, width:])
+        self._by_room = np.ascontiguousarray(better.T)
+
+    def fill(self, room: int) -> dict[int, int]:
+        """Copies by index of the best multiset in ``room``."""
+        found: dict[int, int] = {}
+        end = len(self.items)
+        while room > 0 and end:
+            taken = np.flatnonzero(self._by_room[room, :end])
+            if not len(taken):
+                break
+            end = int(taken[-1])
+            i, copies, width = self.items[end]
+            found[i] = found.get(i, 0) + copies
             room -= width
-    return dict(found)
+        return found
 
 
-def fractional(count: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
-    """Configurations with fractional numbers that cover no length more than once.
+def covering(count: np.ndarray, weight: np.ndarray, capacity: int) -> tuple[dict[tuple, int], np.ndarray, float]:
+    """One pass of the program under ``weight``: configurations, what they leave, a lower bound.
 
-    ``count[l]`` pieces of length l; a configuration is a sorted tuple of (length, copies).
+    Every length in ``count`` is priced, by its share of the capacity times its
+    weight. Each length in turn, longest first, asks for the best configuration
+    that holds it; it is taken as often as the rest allows if none is worth
+    more than ``NEAR`` above it, those of most worth first. The pass ends when the best one left is worth less than
+    ``WORTH`` of the best at first. Prices over the best worth are a solution of
+    the dual program, which gives the bound.
     """
-    lengths = np.flatnonzero(count)
-    need = count[lengths].astype(float)
-    weight = np.ones(len(lengths))
-    cover = np.zeros(len(lengths))
-    use: dict[tuple, float] = {}
-    where = {int(v): i for i, v in enumerate(lengths)}
-    for _ in range(min(rounds, 4 * len(lengths))):
-        # the least covered lengths, weighted by size, and the small ones that fill gaps
-        rank = np.argsort(-weight * lengths, kind="stable")
-        chosen = np.unique(np.concatenate([rank[: ITEMS - 32], np.arange(min(32, len(lengths)))]))
-        most = np.minimum(count[lengths[chosen]], capacity)
-        found = knapsack(lengths[chosen], (weight * lengths)[chosen] / capacity, most, capacity)
-        at = np.array([where[v] for v in found])
-        copies = np.array(list(found.values()), dtype=float)
-        step = float((need[at] / copies).min())
-        key = tuple(sorted(found.items()))
-        use[key] = use.get(key, 0.0) + step
-        cover[at] += step * copies / need[at]
-        weight = np.exp(-RATE * (cover - cover.min()))
-        if cover.min() >= 2:
+    left, out, first, bound = count.copy(), {}, 0.0, 0.0
+    while left.any():
+        lengths = np.flatnonzero(left)[::-1]
+        prices = weight[lengths] * lengths / capacity
+        sack = Knapsack(lengths, prices, np.minimum(left[lengths], capacity), capacity)
+        top = float(sack.best[capacity])
+        if not first:
+            first, bound = top, float(count[lengths] @ prices) / top
+        if top < WORTH * first:
             break
-    scale = max(1.0, float(cover.max(initial=1.0)))
-    return {k: v / scale for k, v in use.items() if sum(n * c for n, c in k) == capacity}
-
-
-def plan(count: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple, int]]:
-    """(configuration, how many sequences) that hold exactly ``count``.
-
-    The fractional solution is taken at several scales: the less of it is
-    rounded, the more short pieces stay to fill what is placed best-fit. The
-    scale with the fewest sequences wins.
+        worth = prices + sack.best[capacity - lengths]
+        near = np.flatnonzero(worth >= top * (1 - NEAR))
+        asked = near[np.argsort(-worth[near].round(9), kind="stable")].tolist()
+        found = ({**(f := sack.fill(capacity - int(lengths[i]))), i: f.get(i, 0) + 1} for i in asked)
+        some = False
+        for config in itertools.chain(found, [None]):
+            if config is None:  # none of them could be taken whole: the best of all can
+                if some:
+                    break
+                config = sack.fill(capacity)
+            times = min(int(left[lengths[i]]) // c for i, c in config.items())
+            if times:
+                some = True
+                key = tuple(sorted(((int(lengths[i]), c) for i, c in config.items()), reverse=True))
+                out[key] = out.get(key, 0) + times
+                for i, c in config.items():
+                    left[lengths[i]] -= c * times
+    return out, left, bound
+
+
+def plan(count: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
+    """(configuration, how many sequences) that hold exactly ``count``."""
+    return solve(count, capacity)[0]
+
+
+def solve(count: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[tuple, int]], int, int]:
+    """The plan, how many of its sequences come from the program, and the program's lower bound.
+
+    The fractional solution is the mean of the passes so far. After each its
+    numbers are rounded down, the program packs what is left once more, and
+    what no configuration of full worth holds is placed best-fit. Lengths that
+    a pass leaves uncovered gain weight for the next. The fewest sequences win;
+    the passes end when the bound is met.
     """
     whole = [(((capacity, 1),), int(count[capacity]))] if count[capacity] else []
     count = count.astype(np.int64).copy()
     count[[0, capacity]] = 0
     if not count.any():
-        return whole
-    solution = fractional(count, capacity, rounds)
-    found = [_rounded(count, solution, scale, capacity) for scale in SCALES]
-    return whole + min(found, key=lambda f: sum(times for _, times in f))
-
-
-def _rounded(count: np.ndarray, solution: dict, scale: float, capacity: int) -> list[tuple[tuple, int]]:
-    left, out = count.copy(), []
-    for config, x in sorted(solution.items(), key=lambda e: -e[1]):
-        times = min(int(x * scale), *(int(left[v]) // c for v, c in config))
-        if times > 0:
-            out.append((config[::-1], times))
-            for v, c in config:
-                left[v] -= c * times
-    return out + best_fit(left, capacity)
+        return whole, 0, len(whole) and whole[0][1]
+    weight, total, least = np.ones(capacity + 1), Counter(), 0.0
+    best: tuple[list, int] | None = None
+    for n in range(1, PASSES + 1):
+        configs, uncovered, bound = covering(count, weight, capacity)
+        total.update(configs)
+        least = max(least, bound)
+        rounded, left = Counter(), count.copy()
+        for config, x in total.items():
+            if times := x // n:
+                rounded[config] = times
+                for length, c in config:
+                    left[length] -= c * times
+        again, rest, _ = covering(left, weight, capacity)
+        rounded.update(again)
+        packed = [*rounded.items(), *best_fit(rest, capacity)]
+        if best is None or _sequences(packed) < _sequences(best[0]):
+            best = packed, sum(rounded.values())
+        if _sequences(best[0]) <= math.ceil(least - 1e-6):
+            break
+        weight *= np.exp(RATE * uncovered / np.maximum(count, 1))
+    full = _sequences(whole)
+    return whole + best[0], best[1], full + math.ceil(least - 1e-6)
+
+
+def _sequences(configs: list[tuple[tuple, int]]) -> int:
+    return sum(times for _, times in configs)
 
 
 def best_fit(count: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
