@@ -1,11 +1,20 @@
 """Document fingerprints by winnowing, with built-in functions only.
 
-Every run of ``K`` words has a hash; of every ``WINDOW`` neighbouring runs the
-smallest is chosen, the rightmost of equal ones, once for all windows that
-choose it, with its position. Two texts that share ``K + WINDOW - 1`` words in
-a row share a fingerprint. A text with fewer than ``K`` words has one hash over
-all of them, one with fewer runs than a window the smallest of its runs, one
-without words (null and empty texts too) none.
+A text is a row of units: words of up to ``LONG`` code points, and the single
+code points of longer ones, so that text without spaces is cut too. Every run of
+``K`` units has a polynomial hash modulo a prime, the value that a rolling hash
+has at this place. Array functions carry no state from one element to the next,
+so the value is put together from those of half as many units. Of every
+``WINDOW`` neighbouring runs the smallest is chosen, the rightmost of equal ones,
+once for all windows that choose it, with its position. Two texts that share
+``K + WINDOW - 1`` units in a row share a mark. Texts of up to ``SHORT`` code
+points have few units, so they have a second level of marks over all their code
+points, in runs of ``SHORT_K``, and share one with 15 code points in common. So
+of texts of 30 code points or more, with single spaces between words, half is
+always enough to share a mark. With fewer units than a run, runs are halved until
+they fit; with fewer runs than a window, the smallest is chosen. A text without
+words (a null or empty one too) has no marks on the first level, one without
+code points none at all.
 
 Likeness is shared hashes over all hashes of two texts; 1 for two texts
 without any. The next document of the last one is the first; a null id has no
@@ -17,8 +26,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-K, WINDOW = 4, 8
+K, WINDOW = 4, 8  # powers of two
+LONG = 15
+SHORT, SHORT_K = 512, 8
+PRIME, BASE = (1 << 31) - 1, 1_000_003
 _LOW = (1 << 32) - 1
+_UNIT = rf"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{1,{LONG}}}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
 
 
 def let(value: Column, body) -> Column:
@@ -34,41 +47,64 @@ def smallest(values: Column, width: int) -> Column:
     return let(wider, lambda w: smallest(w, width * 2))
 
 
-def marks(text: Column) -> Column:
-    """Chosen hashes in order, as longs: hash above, position from the right below."""
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def rolled(values: Column, k: int, width: int = 1) -> Column:
+    """Polynomial hashes of all runs of ``k`` of ``values``, or of half as many until they fit."""
+    if width == k:
+        return values
+    power = F.lit(pow(BASE, width, PRIME)).cast("bigint")
+    wider = F.transform(
+        F.slice(values, 1, F.size(values) - width),
+        lambda v, i: (v * power + F.get(values, i + width)) % F.lit(PRIME),
+    )
+    return F.when(F.size(values) <= width, values).otherwise(let(wider, lambda w: rolled(w, k, width * 2)))
 
-    def runs(h: Column) -> Column:
+
+def _chosen(units: Column, k: int) -> Column:
+    """Chosen runs of an array of units, as longs: hash above, position from the right below."""
+    hashes = F.transform(units, lambda u: F.xxhash64(u).bitwiseAND(F.lit(0x7FFFFFFF)) % F.lit(PRIME))
+
+    def chosen(values: Column) -> Column:
         # With the position below the hash, the least is also the rightmost of equals.
-        def run(i: Column) -> Column:
-            value = F.xxhash64(*[F.get(h, i + j) for j in range(K)])
-            return F.shiftleft(value.bitwiseAND(F.lit(0x7FFFFFFF)), 32) + (F.lit(_LOW) - i)
+        placed = F.transform(values, lambda v, i: F.shiftleft(v, 32) + (F.lit(_LOW) - i))
+        last = F.greatest(F.size(values) - WINDOW + 1, F.lit(1))
+        return let(placed, lambda p: F.array_distinct(F.slice(smallest(p, 1), 1, last)))
 
-        last = F.greatest(F.size(h) - K, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), run)
+    return let(hashes, lambda h: let(rolled(h, k), chosen))
 
-    def chosen(r: Column) -> Column:
-        last = F.greatest(F.size(r) - WINDOW + 1, F.lit(1))
-        return F.array_distinct(F.slice(smallest(r, 1), 1, last))
 
-    none = F.array().cast("array<bigint>")
-    return let(hashes, lambda h: F.when(F.size(h) == 0, none).otherwise(let(runs(h), chosen)))
+def marks(text: Column) -> Column:
+    """Chosen runs of a text's units, and of its code points if it is short: two arrays."""
+    short = F.when(
+        F.char_length(text) <= SHORT,
+        _chosen(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), SHORT_K),
+    )
+    return F.struct(
+        _chosen(F.regexp_extract_all(text, F.lit(_UNIT), F.lit(0)), K).alias("units"),
+        F.coalesce(short, F.array().cast("array<bigint>")).alias("points"),
+    )
 
 
 def fingerprint(found: Column) -> Column:
-    """Chosen hashes as hash:position, in order of position."""
-    return F.array_join(
-        F.transform(
-            found,
-            lambda v: F.concat_ws(":", F.lower(F.hex(F.shiftright(v, 32))), F.lit(_LOW) - v.bitwiseAND(F.lit(_LOW))),
-        ),
-        " ",
-    )
+    """Chosen hashes as hash:position, in order of position; behind a bar those of code points."""
+
+    def level(marks: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                marks,
+                lambda v: F.concat_ws(":", F.lower(F.hex(F.shiftright(v, 32))), F.lit(_LOW) - v.bitwiseAND(F.lit(_LOW))),
+            ),
+            " ",
+        )
+
+    points = F.when(F.size(found["points"]) > 0, F.concat(F.lit("|"), level(found["points"])))
+    return F.concat(level(found["units"]), F.coalesce(points, F.lit("")))
 
 
 def hashes(found: Column) -> Column:
-    return F.array_distinct(F.transform(found, lambda v: F.shiftright(v, 32).cast("int")))
+    """Distinct hashes of both levels, those of code points as negative numbers."""
+    units = F.transform(found["units"], lambda v: F.shiftright(v, 32).cast("int"))
+    points = F.transform(found["points"], lambda v: (-F.shiftright(v, 32) - 1).cast("int"))
+    return F.array_distinct(F.concat(units, points))
 
 
 def likeness(one: Column, other: Column) -> Column:

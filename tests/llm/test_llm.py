@@ -153,6 +153,54 @@ def test_packing_is_gapless(spark):
     assert {r.doc_id for r in rows} == set(range(49))
 
 
+def held(configs):
+    found = np.zeros(packing.CAPACITY + 1, dtype=np.int64)
+    for config, times in configs:
+        assert sum(length * c for length, c in config) <= packing.CAPACITY
+        for length, c in config:
+            found[length] += c * times
+    return found
+
+
+def test_program_packs_what_best_fit_does_not():
+    count = np.zeros(packing.CAPACITY + 1, dtype=np.int64)
+    for length, n in {2053: 600, 1034: 600, 1029: 600, 1014: 1200}.items():  # just over a half and a quarter
+        count[length] = n
+    packed, program, bound = packing.solve(count)
+    assert (held(packed) == count).all()
+    assert sum(times for _, times in packed) == program == bound == 900
+    assert sum(times for _, times in packing.best_fit(count, packing.CAPACITY)) == 1100
+
+
+@pytest.mark.parametrize("times", [1, 100])
+def test_program_meets_its_bound(times):
+    random = np.random.default_rng(3)
+    lengths = np.minimum(np.exp(random.normal(6.4, 1.0, 2000)).astype(int) + 1, packing.CAPACITY)
+    count = np.bincount(lengths, minlength=packing.CAPACITY + 1) * times
+    packed, program, bound = packing.solve(count)
+    assert (held(packed) == count).all()
+    total = sum(n for _, n in packed)
+    assert total <= bound + 1 and program >= 0.95 * (total - count[packing.CAPACITY])
+
+
+def test_pieces_equal_the_library_cut_at_capacity(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    texts = [*random_texts(6, 200, 7), *ODD, random_texts(1, 9000, 8)[0]]
+    library = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    expected = {}
+    for i, t in enumerate(texts):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        for piece, a in enumerate(range(0, len(ids), packing.CAPACITY)):
+            some = ids[a : a + packing.CAPACITY]
+            expected[i, piece] = (a, len(some), zlib.crc32(np.array(some, dtype="<u4").tobytes()))
+    rows = packing.pack_documents(spark, docs_of(spark, texts), vocabulary("word_bpe_49k.json")).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
 @pytest.mark.parametrize("name,keep", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_ids_equal_the_library(name, keep):
     from tokenizers import Tokenizer
@@ -257,7 +305,7 @@ def test_winnowing_by_brute_force(spark):
 
         assert got[i].edited_sha256 == hashlib.sha256(expected.encode()).hexdigest()
         assert got[i].n_chars == len(t)
-        found = [tuple(f.split(":")) for f in got[i].fingerprint.split()]
+        found = [tuple(f.split(":")) for f in got[i].fingerprint.split("|")[0].split()]
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
         places = [int(p) for _, p in found]
         assert places == sorted(places) and bool(found) == bool(words)
@@ -269,8 +317,79 @@ def test_winnowing_by_brute_force(spark):
 
 def test_rightmost_of_equal_marks(spark):
     frame = docs_of(spark, ["tie " * 20])
-    found = winnow.fingerprints(spark, frame).first().fingerprint.split()
-    assert [int(f.split(":")[1]) for f in found] == list(range(7, 17))
+    words, characters = winnow.fingerprints(spark, frame).first().fingerprint.split("|")
+    assert [int(f.split(":")[1]) for f in words.split()] == list(range(7, 17))
+    # Every fourth place has the least run; the rightmost in each window is chosen.
+    places = [int(f.split(":")[1]) for f in characters.split()]
+    assert places and set(np.diff(places)) == {4}
+
+
+def winnowed(text):
+    """The marks of a text by plain loops: {(level, value, place)}."""
+    import xxhash
+
+    def hashed(unit):
+        return (xxhash.xxh64_intdigest(unit.encode(), seed=42) & 0x7FFFFFFF) % winnow.PRIME
+
+    units = [c for w in re.split(r"[\x20\x09-\x0D]+", text) if w for c in ([w] if len(w) <= winnow.LONG else w)]
+    levels = [(0, units, winnow.K)]
+    if 0 < len(text) <= winnow.SHORT:
+        levels.append((1, list(text), winnow.SHORT_K))
+    out = set()
+    for level, units, k in levels:
+        if not units:
+            continue
+        while k > len(units):
+            k //= 2
+        runs = []
+        for i in range(len(units) - k + 1):
+            value = 0
+            for unit in units[i : i + k]:
+                value = (value * winnow.BASE + hashed(unit)) % winnow.PRIME
+            runs.append(value)
+        for a in range(max(1, len(runs) - winnow.WINDOW + 1)):
+            value, place = min((v, -i) for i, v in enumerate(runs[a : a + winnow.WINDOW], a))
+            out.add((level, value, -place))
+    return out
+
+
+def test_marks_and_likeness_by_plain_loops(spark):
+    texts = [*random_texts(6, 90, 9), *[t for t in ODD if t is None or len(t) < 5000], "y" * 3000, "漢字仮名交" * 300]
+    texts += ["two words", "漢字" * 20, "ab " * 7, " ".join(["antidisestablishmentarianism"] * 30)]
+    got = {r.doc_id: r for r in winnow.fingerprints(spark, docs_of(spark, texts)).collect()}
+
+    def read(fingerprint):
+        return {
+            (level, int(v, 16), int(i)) for level, part in enumerate(fingerprint.split("|")) for v, i in (m.split(":") for m in part.split())
+        }
+
+    def alike(one, other):
+        one, other = ({(m[0], m[1]) for m in marks} for marks in (one, other))
+        return len(one & other) / len(one | other) if one | other else 1.0
+
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[i - 1] or ""
+        half = len(t) // 2
+        edited_marks = winnowed(t[: len(t) - half] + after[:half])
+        assert read(got[i].fingerprint) == winnowed(t), i
+        assert read(got[i].edited_fingerprint) == edited_marks, i
+        assert got[i].near_edited == pytest.approx(alike(winnowed(t), edited_marks))
+        assert got[i].near_next == pytest.approx(alike(winnowed(t), winnowed(after)))
+
+
+def test_half_of_a_text_is_always_seen(spark):
+    random = np.random.default_rng(4)
+    letters = list("abcdefghij漢字仮名😀é")
+    texts = []
+    for n in (30, 31, 100, 511, 512, 513, 514, 600, 1030, 5000):
+        for widest in (1, 4, 15, 16, 40, 10_000):
+            text = ""
+            while len(text) < n:
+                text += "".join(random.choice(letters, int(random.integers(1, widest + 1)))) + " "
+            texts.append(text[:n].rstrip() + "." * (n - len(text[:n].rstrip())))
+    texts += ["漢" * 2000, "".join(random.choice(letters, 70_000))]
+    rows = winnow.fingerprints(spark, docs_of(spark, texts)).collect()
+    assert all(r.near_edited > 0 for r in rows)
 
 
 PAGE = """<html><head><title>T</title></head><body><header>Site {n}</header><div class="top">Fixed words of the site</div>
