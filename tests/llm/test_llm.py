@@ -153,6 +153,16 @@ def test_packing_is_gapless(spark):
     assert {r.doc_id for r in rows} == set(range(49))
 
 
+def test_the_end_of_a_text_is_learned(spark):
+    texts = [*random_texts(200, 3, 11), *[""] * 20]
+    found = mixing.score(spark, docs_of(spark, texts)).where("held_out").collect()
+    empty = [r.score for r in found if r.n_tokens == 1]
+    assert empty and min(empty) > -4  # the text's class alone costs log10(16)
+    words, which, place = mixing.word_bytes([b"ab", b"", b"c"])
+    assert words.tobytes() == b"ab \nc " and which.tolist() == [0, 0, 0, 1, 2, 2] and place.tolist() == [0, 1, 2, 0, 0, 1]
+    assert len(mixing.word_bytes([])[0]) == 0
+
+
 def held(configs):
     found = np.zeros(packing.CAPACITY + 1, dtype=np.int64)
     for config, times in configs:
