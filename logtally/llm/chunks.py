@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from logtally.llm.shared import written
+from logtally.llm.shared import dropped, written
 from logtally.llm.words import Words, _BYTE, _SPACE, _powers, distinct, flat, lists, mix, parts
 
 PASSAGE = 51  # words: over 50
@@ -151,7 +151,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 part.column("id").take(pa.array(doc)),
                 part.column("h").take(pa.array(doc)),
-                pa.array(at - runs.words.bounds[doc]),
+                pa.array((at - runs.words.bounds[doc]).astype(np.int32)),
                 pa.array(runs.hashes(at, PASSAGE)),
             ],
             names=["id", "h", "place", "run"],
@@ -216,23 +216,31 @@ def remove_repeats(
     anchors = written(spark, texts.mapInArrow(_anchor_rows, "id long, h long, anchors array<long>"), "anchors")
     placed = anchors.select("id", "h", F.explode("anchors").alias("anchor"))
     shared = placed.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    known = (
+    known = written(
+        spark,
         placed.join(shared.select("anchor"), "anchor")
-        .groupBy("id", "h").agg(F.collect_set("anchor").alias("known"))
+        .groupBy("id", "h").agg(F.collect_set("anchor").alias("known")),
+        "known",
     )
+    dropped(spark, anchors)
+    # A place is below 2^31, as a text is below 2 GB.
     runs = written(
         spark,
-        texts.join(known, ["id", "h"]).mapInArrow(_run_rows, "id long, h long, place long, run long"),
+        texts.join(known, ["id", "h"]).mapInArrow(_run_rows, "id long, h long, place int, run long"),
         "runs",
     )
+    dropped(spark, known)
     # One shuffle: rows of a run lie together, and the window spills if they are many.
     holder = F.min("id").over(Window.partitionBy("run"))
-    marks = (
+    marks = written(
+        spark,
         runs.withColumn("holder", holder)
         .where("holder < id")
         .groupBy("id", "h")
-        .agg(F.collect_set("place").alias("marks"))
+        .agg(F.collect_set("place").alias("marks")),
+        "marks",
     )
+    dropped(spark, runs)
     rows = keyed.join(marks, ["id", "h"], "left").select("row", "text", "marks")
     kind = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
     kind = kind.add("n_spans", T.LongType()).add("removed_bytes", T.LongType())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def dropped(spark: SparkSession, table: DataFrame) -> None:
+    """Remove a ``written`` table that nothing reads any more, and shuffles that nothing holds.
+
+    Spark removes a shuffle's files once the driver's collector finds it
+    unused, which on a quiet driver may be after all work is done.
+    """
+    folders = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+    for folder in folders:
+        files.remove(spark, folder)
+    gc.collect()  # the driver's handles of shuffled tables
+    spark._jvm.System.gc()
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components of the undirected ``edges`` (a, b: long).
 

@@ -6,12 +6,14 @@ lower-cased. A null text counts as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-PART_BYTES = 4 << 20  # texts worked on at once; a longer single text is one part
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others have none
+PART_BYTES = 2 << 20  # texts worked on at once; a longer single text is one part
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -65,6 +67,14 @@ def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[p
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory to the system: Spark keeps its workers, and all of an executor's count together."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 class Words:

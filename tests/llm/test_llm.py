@@ -2,6 +2,7 @@
 
 import html as html_lib
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter
@@ -14,6 +15,7 @@ import corpus_pipeline
 from logtally.llm import caps, chunks, coder, minhash, mixing, packing, pieces, quality, template, tokens, winnow
 from logtally.llm.queries import table, vocabulary
 from logtally.llm.shared import components
+from logtally.sources import files
 
 SMALL = "/root/testdata/sf0.001"
 WORDS = [f"w{i}" for i in range(4000)]
@@ -502,3 +504,12 @@ def test_pipeline_stages(spark):
         docs = kept.cache()
         assert 0 < docs.count() <= 200, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).select("doc_id").distinct().count() == docs.count()
+
+
+def test_substring_scratch_is_removed_when_read(spark):
+    scratch = pathlib.Path(files.shared_dir(spark)) / "llm"
+    kinds = ("anchors", "known", "runs", "marks")
+    before = {k: len(list(scratch.glob(f"{k}-*"))) for k in kinds}
+    passage = random_texts(1, 200, 5)[0]
+    chunks.remove_repeats(spark, docs_of(spark, [f"a {passage}", f"b {passage} c", "d"])).collect()
+    assert {k: len(list(scratch.glob(f"{k}-*"))) - before[k] for k in kinds} == {"anchors": 0, "known": 0, "runs": 0, "marks": 1}
