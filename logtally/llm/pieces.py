@@ -217,8 +217,8 @@ class PieceEncoder(Encoder):
     def _pieces(self, text: str) -> list[str]:
         return _CHUNK.findall(MARK + text.replace(" ", MARK))
 
-    def _learn(self, pieces: list[str]) -> None:
-        self._put(pieces, encode_chunks(pieces, model(self.path)))
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        return encode_chunks(pieces, model(self.path))
 
 
 @cache

@@ -9,16 +9,18 @@ space before a space for the byte vocabulary) are encoded whole.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
 from functools import cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from logtally.llm.words import flat
+
 MEMO = 400_000  # pieces kept per worker process; words are short, so twice as many
 
 _RUN_BEFORE_SPACE = re.compile(r"\s (?:\s|\Z)")
@@ -43,40 +45,70 @@ class Encoder:
     def __init__(self, path: str, keep_space: bool) -> None:
         self.path, self.keep_space = path, keep_space
         self.memo = MEMO if keep_space else 2 * MEMO
-        self.index: dict[str, int] = {}
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, pieces: list[str]) -> None:
+        # Pieces by their hash, sorted, and their numbers; all else by number, first seen first.
+        self.keys, self.number = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.name, self.name_end = np.zeros(0, np.uint8), np.zeros(0, np.int64)  # as UTF-8
+        self.ids, self.end = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _find(self, hashes: np.ndarray, pieces: pa.Array) -> np.ndarray:
+        """Numbers of the pieces that the memo has, else -1; equal hashes are confirmed on the bytes."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        data, offs = flat(pieces)
+        length, number = np.diff(offs), self.number[at].astype(np.int64)
+        start = np.where(number > 0, self.name_end[number - 1], 0)
+        alike = np.flatnonzero((self.keys[at] == hashes) & (self.name_end[number] - start == length))
+        here, size = offs[:-1][alike], length[alike]
+        before = np.cumsum(size) - size
+        within = np.arange(int(size.sum())) - np.repeat(before, size)
+        odd = data[np.repeat(here, size) + within] != self.name[np.repeat(start[alike], size) + within]
+        wrong = np.unique(np.searchsorted(before, np.flatnonzero(odd), side="right") - 1) if odd.any() else []
+        found = np.full(len(hashes), -1, np.int64)
+        found[alike] = number[alike]
+        found[alike[wrong]] = -1
+        return found
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of the pieces; a word and the marks behind it are encoded, and kept, on their own."""
         split = {p: m.groups() for p in pieces if (m := _MARKED_WORD.fullmatch(p))}
-        roots = (r for p in pieces for r in split.get(p, (p,)))
-        self._add({r: None for r in roots if r not in self.index})
-        self._add({p: r for p, r in split.items() if p not in self.index})
-
-    def _add(self, new: dict[str, tuple[str, str] | None]) -> None:
-        whole = [p for p, r in new.items() if r is None]
-        found = _tokenizer(self.path).encode_batch_fast(whole, add_special_tokens=False)
-        known = {p: e.ids for p, e in zip(whole, found, strict=True)}
-        self._put(list(new), [known[p] if r is None else [*self._of(r[0]), *self._of(r[1])] for p, r in new.items()])
-
-    def _put(self, new: list[str], ids: list[list[int]]) -> None:
-        lengths = np.array([len(i) for i in ids], dtype=np.int64)
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.ids = np.concatenate([self.ids, flat])
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-
-    def _of(self, piece: str) -> list[int]:
-        at = self.index[piece]
-        return self.ids[self.start[at] : self.start[at] + self.length[at]].tolist()
-
-    def _forget(self) -> None:
-        """Back to the memo's size: pieces seen first, so the frequent ones, stay."""
-        while len(self.index) > self.memo:
-            self.index.popitem()
-        self.start, self.length = self.start[: self.memo], self.length[: self.memo]
-        self.ids = self.ids[: self.length.sum()]
+        roots = list(dict.fromkeys(r for p in pieces for r in split.get(p, (p,))))
+        names, hashes = pa.array(roots, pa.string()), _hashes(roots)
+        known = self._find(hashes, names)
+        bounds = np.append(0, self.end)
+        ids = {roots[i]: self.ids[bounds[k] : bounds[k + 1]].tolist() for i, k in enumerate(known.tolist()) if k >= 0}
+        new = np.flatnonzero(known < 0)
+        found = self._whole([roots[i] for i in new.tolist()])
+        ids |= {roots[i]: f for i, f in zip(new.tolist(), found, strict=True)}
+        self._keep(hashes[new], names.take(pa.array(new)), *_flat_ids(found))
+        return [ids[p] if p in ids else [*ids[split[p][0]], *ids[split[p][1]]] for p in pieces]
+
+    def _whole(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in _tokenizer(self.path).encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _keep(self, hashes: np.ndarray, pieces: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Add pieces until the memo is full: those seen first, so the frequent ones, stay."""
+        room = self.memo - len(self.end)
+        if not room or not len(hashes):
+            return
+        values, first = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.keys, values)
+        fresh = np.append(self.keys, 0)[at] != values
+        fresh |= at == len(self.keys)
+        first = np.sort(first[fresh])[:room]
+        if not len(first):
+            return
+        data, offs = flat(pieces)
+        for own, own_end, more, bounds in (("name", "name_end", data, offs), ("ids", "end", ids, np.append(0, ends))):
+            size = np.diff(bounds)[first]
+            at = np.repeat(bounds[first], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            setattr(self, own_end, np.append(getattr(self, own_end), len(getattr(self, own)) + np.cumsum(size)))
+            setattr(self, own, np.append(getattr(self, own), more[at]))
+        order = np.argsort(hashes[first], kind="stable")
+        place = np.searchsorted(self.keys, hashes[first][order])
+        numbers = len(self.end) - len(first) + order
+        self.keys = np.insert(self.keys, place, hashes[first][order])
+        self.number = np.insert(self.number, place, numbers.astype(np.int32))
 
     def _pieces(self, text: str) -> list[str]:
         if not self.keep_space:
@@ -92,17 +124,23 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         split = self._split_whole if self.keep_space or _has_separators(texts) else _split_words
         distinct, which, ends = split(texts)
-        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
-        unknown = np.flatnonzero(known < 0).tolist()
-        if unknown:
-            self._learn([distinct[i] for i in unknown])
-            known[unknown] = [self.index[distinct[i]] for i in unknown]
+        pieces = pa.array(distinct, pa.string())
+        hashes = _hashes(distinct)
+        known = self._find(hashes, pieces)
+        unknown = np.flatnonzero(known < 0)
+        new = self._encoded([distinct[i] for i in unknown.tolist()])
+        new_ids, new_end = _flat_ids(new)
+        # The memo's ids and, behind them, those of the pieces it lacks.
+        table = np.concatenate([self.ids, new_ids])
+        bounds = np.concatenate([[0], self.end, len(self.ids) + new_end])
+        known[unknown] = len(self.end) + np.arange(len(unknown))
         at = known[which]
-        length = self.length[at]
+        start, length = bounds[at], bounds[at + 1] - bounds[at]
         before = np.concatenate([[0], np.cumsum(length)])
-        ids = self.ids[np.arange(before[-1]) + np.repeat(self.start[at] - before[:-1], length)]
+        ids = table[np.arange(before[-1]) + np.repeat(start - before[:-1], length)]
         offsets = before[ends]
-        self._forget()
+        if len(unknown):
+            self._keep(hashes[unknown], pieces.take(pa.array(unknown)), new_ids, new_end)
         if end_id is None:
             return ids, offsets
         return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))
@@ -120,6 +158,16 @@ class Encoder:
         return list(numbers), which, np.array(ends)
 
 
+def _hashes(pieces: list[str]) -> np.ndarray:
+    return np.fromiter(map(hash, pieces), np.int64, len(pieces))
+
+
+def _flat_ids(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids after each other, and the end of each list."""
+    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+    return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), ends
+
+
 def _has_separators(texts: pa.Array) -> bool:
     """Any of U+001C to U+001F: white space to Arrow, text to the vocabulary."""
     return bool(pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py())

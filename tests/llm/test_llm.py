@@ -4,6 +4,7 @@ import html as html_lib
 import math
 import pathlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -506,6 +507,33 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).select("doc_id").distinct().count() == docs.count()
 
 
+@pytest.mark.parametrize("name,keep", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_full_memo_and_equal_hashes_change_no_ids(name, keep, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary(name))
+    texts = [*random_texts(6, 300, 11), "word, word. word; other, oth", *ODD]
+    monkeypatch.setattr(tokens, "_hashes", lambda pieces: np.array([len(p) for p in pieces], np.int64))
+    few = tokens.Encoder(vocabulary(name), keep)
+    few.memo = 5
+    for _ in range(2):
+        ids, offs = few.encode(texts, 2)
+        for t, a, b in zip(texts, offs[:-1], offs[1:]):
+            assert ids[a:b].tolist() == [*library.encode(t or "", add_special_tokens=False).ids, 2]
+    assert len(few.end) == len(few.name_end) == len(few.keys) == 5
+
+
+def test_the_memo_takes_little_memory():
+    words = [f"x{i:06d}" for i in range(100_000)]
+    encoder = tokens.Encoder(vocabulary("word_bpe_49k.json"), False)
+    encoder.encode(["warm up"], 1)
+    tracemalloc.start()
+    encoder.encode([" ".join(words)], 1)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 100 * len(words)
+
+
 def test_substring_scratch_is_removed_when_read(spark):
     scratch = pathlib.Path(files.shared_dir(spark)) / "llm"
     kinds = ("anchors", "known", "runs", "marks")
