@@ -166,6 +166,27 @@ def test_the_end_of_a_text_is_learned(spark):
     assert len(mixing.word_bytes([])[0]) == 0
 
 
+def test_words_are_scored_in_their_order(spark):
+    random = np.random.default_rng(3)
+    lead = {w: random.choice(WORDS[:200], 2) for w in WORDS[:200]}  # two words may follow each
+    texts = []
+    for _ in range(300):
+        words = ["w0"]
+        while len(words) < 60:
+            words.append(str(random.choice(lead[words[-1]])))
+        texts.append(" ".join(words))
+    shuffled = [" ".join(random.permutation(t.split())) for t in texts]
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 == 2]
+    out = [j for j in range(1000, 4000) if zlib.crc32(str(j).encode()) % 7 == 2][: len(held)]
+    rows = [*enumerate(texts), *((j, shuffled[i]) for i, j in zip(held, out))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in mixing.score(spark, frame.repartition(3)).collect()}
+    assert all(got[i].score > got[j].score for i, j in zip(held, out))
+    assert sum(got[i].score for i in held) > sum(got[i].base_score for i in held)
+    again = {r.doc_id: r.score for r in mixing.score(spark, frame.coalesce(1)).collect()}
+    assert all(again[i] == pytest.approx(got[i].score) for i in again)  # however the rows lie in files
+
+
 def held(configs):
     found = np.zeros(packing.CAPACITY + 1, dtype=np.int64)
     for config, times in configs:
