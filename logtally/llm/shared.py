@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from logtally.sources import files
 
@@ -59,7 +59,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         # large star: larger neighbours of a vertex point to its minimum
         large = (
             both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        ).where("a <> b").distinct()
+        ).where("a <> b")  # as many rows as links: equal ones go below
         # small star: a vertex and its smaller neighbours point to the minimum
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -70,11 +70,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        now = written(spark, small, "links")
-        state = now.agg(
-            F.count("a").alias("n"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"),
-        ).first()
+        links = Observation()  # taken as the round is written, not in a job of its own
+        now = written(
+            spark,
+            small.observe(
+                links,
+                F.count("a").alias("n"),
+                F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"),
+            ),
+            "links",
+        )
+        state = links.get
         if state == seen:
             break
         seen = state

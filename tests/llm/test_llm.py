@@ -13,6 +13,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from pyspark.sql.classic.dataframe import DataFrame
+
 from logtally.llm import caps, chunks, coder, minhash, mixing, packing, pieces, quality, template, tokens, winnow
 from logtally.llm.queries import table, vocabulary
 from logtally.llm.shared import components
@@ -51,6 +53,17 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}}
 
 
+def test_a_round_of_components_is_one_job(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 5)], "a long, b long")
+    rounds = []
+    real = DataFrame.agg  # the old rounds counted their links by an aggregate of the written table
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrame, "agg", lambda self, *c: rounds.append(c) or real(self, *c))
+        assert dict(components(spark, edges).collect()) == {1: 1, 2: 1, 3: 1}
+    assert not rounds
+    assert components(spark, edges.where("a = 5")).collect() == []  # no link at all
+
+
 def test_minhash_matches_all_pairs(spark):
     base = random_texts(3)
     crowd = [edited(base[0], 1 + s % 5, s) for s in range(60)]
