@@ -26,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logtally.llm.tokens import Encoder, crc32
+from logtally.llm.tokens import Encoder, crc32, flat_ids, listed
 from logtally.llm.words import distinct, parts
 
 MARK = "▁"
+MEMO = 400_000  # chunks kept per worker process
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _WALL = 0x110000  # above every character: between chunks
 
@@ -214,11 +215,15 @@ def encode_chunks(chunks: list[str], m: Model) -> list[list[int]]:
 class PieceEncoder(Encoder):
     """The memo of ``Encoder`` over chunks, new ones by suffix array."""
 
-    def _pieces(self, text: str) -> list[str]:
-        return _CHUNK.findall(MARK + text.replace(" ", MARK))
+    def __init__(self, path: str, keep_space: bool) -> None:
+        super().__init__(path, keep_space)
+        self.memo = MEMO
 
-    def _encoded(self, pieces: list[str]) -> list[list[int]]:
-        return encode_chunks(pieces, model(self.path))
+    def _split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        return listed([_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts.to_pylist()])
+
+    def _fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.arange(len(pieces)), *flat_ids(encode_chunks(pieces, model(self.path)) if pieces else [])
 
 
 @cache

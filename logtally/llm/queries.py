@@ -34,7 +34,7 @@ def vocabulary(name: str) -> str:
 @query
 def op1_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return coder.round_trip(spark, docs, vocabulary("byte_bpe_50k.json"), 2).drop("ids")
+    return coder.round_trip(spark, docs, vocabulary("byte_bpe_50k.json"), 2, with_ids=False)
 
 
 @query

@@ -272,6 +272,12 @@ def test_pieces_equal_the_library_and_read_back():
         assert pieces.decode(ids[a:b], m) == (t or "").replace("▁", " ")
 
 
+def test_pieces_that_are_all_known():
+    encoder = pieces.PieceEncoder(vocabulary("piece_bpe_32k.model"), True)
+    first, again = (encoder.encode(["a few words", None], None) for _ in range(2))
+    assert first[0].tolist() == again[0].tolist() and first[1].tolist() == again[1].tolist()
+
+
 def test_blocks_round_trip_and_checks():
     random = np.random.default_rng(0)
     for ids in ([], [65535], [0] * 9000, random.integers(0, 50257, 5000), random.zipf(1.3, 9000).clip(0, 60000)):
@@ -281,6 +287,37 @@ def test_blocks_round_trip_and_checks():
         coder.read_blocks(lengths, [c ^ 1 for c in checks], coded)
 
 
+def test_blocks_learn_from_each_other():
+    random = np.random.default_rng(1)
+    block = random.integers(0, 50257, coder.BLOCK).astype(np.uint32)
+    coded = coder.write_blocks(np.concatenate([np.roll(block, 25 * i) for i in range(40)]))[2]
+    assert sum(map(len, coded)) < 40 * coder.BLOCK  # afresh in each block: over 2 bytes an id
+
+
+def test_cuts_of_odd_characters_change_no_ids():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    library, random = Tokenizer.from_file(path), np.random.default_rng(2)
+    odd = [*" \n\t\r'’.,aszZ19é×÷ŉſẞ漢字\u00a0\u3000\u2003\u0301\u200b\x1c\x85\x00", "  ", "'s", "'ll", "<|endoftext|>", "the", " word", "😀"]
+    texts = ["".join(random.choice(odd, random.integers(0, 14))) for _ in range(4000)]
+    plain = [c for c in odd if c.isascii() and c not in ("\x1c", "\x85")]
+    texts += ["".join(random.choice(plain, random.integers(0, 14))) for _ in range(4000)]
+    encoder = tokens.Encoder(path, True)
+    for some in (texts[:3000], texts[2000:], texts[:1]):
+        ids, offs = encoder.encode(some, 2)
+        for t, a, b in zip(some, offs[:-1], offs[1:]):
+            assert ids[a:b].tolist() == [*library.encode(t, add_special_tokens=False).ids, 2], repr(t)
+
+
+def test_byte_vocabulary_encodes_each_word_once():
+    encoder = tokens.Encoder(vocabulary("byte_bpe_50k.json"), True)
+    words = [f"{a}{b}" for a in "bcdfg" for b in ("ora", "eli", "uno")]
+    texts = [f"x {w}.\n{v}, {w}!" for w in words for v in words]
+    encoder.encode(texts, 2)
+    assert len(encoder.end) < 3 * len(words)  # no piece per pair of words around a line's end
+
+
 def test_token_files(spark):
     texts = [*random_texts(30, 200, 7), *ODD]
     got = coder.round_trip(spark, docs_of(spark, texts), vocabulary("byte_bpe_50k.json"), 2).collect()
