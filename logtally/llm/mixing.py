@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logtally.llm.shared import dropped, written
-from logtally.llm.words import Words, _BYTE, _powers, lists, mix, parts, seeds
+from logtally.llm.words import Words, _BYTE, _powers, give_back, lists, mix, parts, seeds
 
 ORDERS = (1, 2, 3, 5, 0)  # bytes of a spelled word looked at; 0: all of it
 SLOT_BITS = 20
@@ -53,7 +53,7 @@ CONTEXT_BITS = 23  # slots of each of these
 BLOCK_BITS, SYMBOL_BITS = 4, 18
 GATES = np.array([1, 2, 4, 8, 32, 128, 1024, 16384])  # counts of a slot
 HEAD = 1 << 17
-ITEMS = 1 << 20  # contexts counted at once
+ITEMS, ROW_ITEMS = 1 << 20, 1 << 14  # contexts counted at once, and sent in a row
 STEP, BLOCK, LANES = 32, 2048, 96  # words between refinements; words, and texts, worked on at once
 RATE, FIRST = 0.006, 0.4
 TURNS, CALM, LARGEST = 3, 100, 0.5  # steps of the gates' weights
@@ -224,7 +224,8 @@ class Code:
         since = np.ones(size, np.uint32)
         since[later] = 2 + self.bit[later - 1]
         self.slot = _PATH[self.node[np.arange(size) - depth % 2]] | since
-        del self.node
+        del self.node, heap, above, side, z, o, depth, later, since
+        give_back()
 
     def __reduce__(self) -> tuple:
         return Code, self.given  # workers build it again, from a twentieth of its size
@@ -287,22 +288,23 @@ def _count_rows(code: Broadcast, bits: int, batches: Iterator[pa.RecordBatch]) -
     """Counted contexts of the partition's words by block, then counts of all spelled slots."""
     names = [c.split(" ")[0] for c in _COUNT_ROWS.split(", ")]
     kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
-    inside = bits - BLOCK_BITS + SYMBOL_BITS
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=names)
-
-    def flush(k: int) -> pa.RecordBatch:
-        """Context and symbol of one predictor, five bytes each, by block."""
-        items, times = _packed(held[k])
+    def by_block(k: int, items: np.ndarray, times: np.ndarray, inside: int, low: int) -> Iterator[pa.RecordBatch]:
+        """Sorted items, of ``low`` bits beside four bytes, and how often each came: rows of a block, none large."""
         cut = np.searchsorted(items, np.arange((1 << BLOCK_BITS) + 1, dtype=np.uint64) << np.uint64(inside))
-        rows = []
-        for b, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-            own = items[x:y] & np.uint64((1 << inside) - 1)
-            some = ((own >> np.uint64(8)).astype("<u4"), own.astype(np.uint8), times[x:y].astype("<u4"))
-            rows.append((k, b, *[s.tobytes() for s in some]))
+        for b, (x, y) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+            for a in range(x, y, ROW_ITEMS):
+                some = slice(a, min(a + ROW_ITEMS, y))
+                own = items[some] & np.uint64((1 << inside) - 1)
+                high, rest = (own >> np.uint64(low)).astype("<u4"), own.astype(np.uint8) if low else b""
+                row = (k, b, high.tobytes(), bytes(rest), times[some].astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, kinds, strict=True)], names=names)
+
+    def flush(k: int) -> Iterator[pa.RecordBatch]:
+        """Context and symbol of one predictor, five bytes each."""
+        items, times = _packed(held[k])
         held[k].clear()
-        return batch(rows)
+        yield from by_block(k, items, times, bits - BLOCK_BITS + SYMBOL_BITS, 8)
 
     held: list[list[np.ndarray]] = [[] for _ in CONTEXTS]
     spelled = np.zeros((len(ORDERS), 2 * _SLOTS), np.uint32)
@@ -311,20 +313,19 @@ def _count_rows(code: Broadcast, bits: int, batches: Iterator[pa.RecordBatch]) -
         for k in range(len(CONTEXTS)):
             held[k].append(tokens.base[k].astype(np.uint64) << np.uint64(SYMBOL_BITS) | tokens.symbol.astype(np.uint64))
             if sum(map(len, held[k])) >= ITEMS:
-                yield flush(k)
+                yield from flush(k)
         data, base = tokens.spell().data, tokens.byte_base
         for a in range(0, len(data), 128 * BLOCK):
             node, bit = _NODE_OF[data[a : a + 128 * BLOCK]], _BITS[data[a : a + 128 * BLOCK]]
             for k in range(len(ORDERS)):
                 slot = (base[k, a : a + 128 * BLOCK, None] ^ node) * np.uint32(2) + bit
-                spelled[k] += np.bincount(slot.reshape(-1), minlength=2 * _SLOTS).astype(np.uint32)
+                np.add.at(spelled[k], slot.reshape(-1).astype(np.int64), np.uint32(1))
     for k in range(len(CONTEXTS)):
         if held[k]:
-            yield flush(k)
-    if spelled.any():
-        for k in range(len(ORDERS)):
-            blocks = enumerate(np.split(spelled[k].astype("<u4"), 1 << BLOCK_BITS))
-            yield batch([(len(CONTEXTS) + k, b, b"", b"", some.tobytes()) for b, some in blocks])
+            yield from flush(k)
+    for k in range(len(ORDERS)):
+        items = np.flatnonzero(spelled[k]).astype(np.uint64)
+        yield from by_block(len(CONTEXTS) + k, items, spelled[k][items], SLOT_BITS + 1 - BLOCK_BITS, 0)
 
 
 def _table_rows(code: Broadcast, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +336,8 @@ def _table_rows(code: Broadcast, bits: int, batches: Iterator[pa.RecordBatch]) -
             key = order.as_py(), block.as_py()
             high, low, times = (np.frombuffer(v.as_buffer(), k) for v, k in ((high, "<u4"), (low, "u1"), (times, "<u4")))
             if key[0] >= len(CONTEXTS):
-                tables[key] = tables.get(key, 0) + times.astype(np.int64)
+                counts = tables.setdefault(key, np.zeros(2 * _SLOTS >> BLOCK_BITS, np.int64))
+                counts[high] += times  # each once
                 continue
             counts = tables.setdefault(key, np.zeros(2 * slots, np.int64))
             for a in range(0, len(high), 4 * BLOCK):
@@ -476,9 +478,10 @@ class Model:
         for k in range(1, len(odds)):
             x += odds[k] * np.repeat(own[k][lane], size)
         np.clip(x, -12, 12, out=x)
-        p = 1 / (1 + np.exp(-x))
-        bits[lane] -= np.add.reduceat(np.log2(np.where(bit, p, 1 - p)), first, dtype=np.float64)
-        p -= bit
+        sign = bit * np.float32(2) - np.float32(1)
+        p = 1 / (1 + np.exp(-sign * x))  # of the bit that came
+        bits[lane] -= np.add.reduceat(np.log2(p), first, dtype=np.float64)
+        p = (p - np.float32(1)) * sign
         for k in range(len(odds)):
             own[k][lane] -= RATE * np.add.reduceat(p * odds[k], first)
 

@@ -67,10 +67,10 @@ def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[p
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Freed memory to the system: Spark keeps its workers, and all of an executor's count together."""
     pa.default_memory_pool().release_unused()
     if _TRIM:

@@ -272,6 +272,21 @@ def test_pieces_equal_the_library_and_read_back():
         assert pieces.decode(ids[a:b], m) == (t or "").replace("▁", " ")
 
 
+def test_counts_of_a_small_partition_are_small():
+    texts = random_texts(20, 200, 3)
+    shared = type("Held", (), {"value": mixing.Code(np.zeros(0, np.int64), np.zeros(0, np.int64), 20, 4020)})
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    rows = list(mixing._count_rows(shared, 12, iter([batch])))
+    assert sum(r.nbytes for r in rows) < 60 * sum(map(len, texts))  # it was 42 MB at least
+    assert max(r.nbytes for r in rows) < 16 * mixing.ROW_ITEMS
+    states = {(r["order"], r["block"]): r["states"] for b in mixing._table_rows(shared, 12, iter(rows)) for r in b.to_pylist()}
+    assert all(len(s) == 2 * mixing._SLOTS >> mixing.BLOCK_BITS for (k, _), s in states.items() if k >= len(mixing.CONTEXTS))
+    seen = sum(int((np.frombuffer(s, np.uint16) > 0).sum()) for (k, _), s in states.items() if k >= len(mixing.CONTEXTS))
+    data = mixing.Tokens(mixing.Words(batch.column("text")), shared.value, 12).spell()
+    slots = data.byte_base[:, :, None] ^ mixing._NODE_OF[data.data]
+    assert seen == sum(len(np.unique(s)) for s in slots)
+
+
 def test_pieces_that_are_all_known():
     encoder = pieces.PieceEncoder(vocabulary("piece_bpe_32k.model"), True)
     first, again = (encoder.encode(["a few words", None], None) for _ in range(2))
