@@ -14,8 +14,8 @@ intersection is at least 75 times the union; components are the closure.
 * Inside a bucket every member is compared with the bucket's hub, a linear
   number of pairs. Hubs are drawn by a hash of bucket and id, so the buckets
   of a crowd of near copies have many different ones. Members of a bucket that
-  are still in different components are compared with a second and a third
-  hub. What is open after that is gathered into groups that share buckets, cut
+  are still in different components are compared with two more hubs at once.
+  What is open after that is gathered into groups that share buckets, cut
   into blocks of ``SIDE``, and every two blocks of a group meet in a task that
   counts intersections of full sets and returns spanning links only: no pair
   that shares a bucket stays unanswered unless it is already connected, and no
@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from logtally.llm.shared import components, written
+from logtally.llm.shared import components, held, written
 from logtally.llm.words import Words, lists, mix, parts, seeds, shingles
 
 K = 5
@@ -219,25 +219,26 @@ def near_duplicates(
         "sets",
     )
     root = components(spark, _verified(close(member.select(F.col("hub0").alias("a"), F.col("id").alias("b"))), sets))
-    for turn in range(1, HUBS + 1):
-        hubs = [f"hub{turn}"] if turn < HUBS else []
+    others = [f"hub{i}" for i in range(1, HUBS)]
+    for hubs in (others, []):
         placed = written(
             spark,
             member.join(root, "id", "left").select(*hubs, "band", "id", F.coalesce("root", "id").alias("root")),
             "placed",
         )
         ends = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        mixed = written(spark, ends.where("lo <> hi").select("band"), "mixed")
+        mixed = held(spark, ends.where("lo <> hi").select("band"))
         if mixed.isEmpty():  # every bucket lies in one component
             break
         open_rows = placed.join(mixed, "band", "left_semi")
         if hubs:
-            hub = placed.select("band", F.col("id").alias(hubs[0]), F.col("root").alias("r_hub"))
-            pairs = open_rows.join(hub, ["band", hubs[0]]).where("root <> r_hub")
-            found = _verified(close(pairs.select(F.col(hubs[0]).alias("a"), F.col("id").alias("b"))), sets)
+            hub = placed.select("band", F.col("id").alias("a"), F.col("root").alias("r_hub"))
+            drawn = open_rows.withColumn("a", F.explode(F.array_distinct(F.array(*hubs))))
+            pairs = drawn.join(hub, ["band", "a"]).where("root <> r_hub")
+            found = _verified(close(pairs.select("a", F.col("id").alias("b"))), sets)
         else:
             found = _in_blocks(spark, open_rows, sets)
-        late = written(spark, found, "late-links")
+        late = held(spark, found)
         if not late.isEmpty():  # else the components stay as they are
             tied = root.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
             root = components(spark, tied.unionByName(late))

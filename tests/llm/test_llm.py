@@ -64,6 +64,27 @@ def test_a_round_of_components_is_one_job(spark):
     assert components(spark, edges.where("a = 5")).collect() == []  # no link at all
 
 
+def test_a_round_of_components_takes_three_shuffles(spark, monkeypatch):
+    shuffles, real = [], DataFrame.checkpoint
+
+    def seen(df, *rest):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return real(df, *rest)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", seen)
+    random = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in random.integers(0, 400, (260, 2))] + [(500, i) for i in range(450, 500)]
+    got = components(spark, spark.createDataFrame(edges * 2, "a long, b long")).collect()
+    root = {v: v for e in edges if e[0] != e[1] for v in e}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    assert sorted(map(tuple, got)) == sorted(root.items())  # each vertex once
+    # The large star's two and the small star's one, which both of its sides name.
+    assert len(shuffles) > 2 and shuffles[0] == 0 and max(shuffles) <= 6
+
+
 def test_minhash_matches_all_pairs(spark):
     base = random_texts(3)
     crowd = [edited(base[0], 1 + s % 5, s) for s in range(60)]
