@@ -147,7 +147,8 @@ def _block_links(table: pa.Table) -> pa.Table:
 def _in_blocks(spark: SparkSession, open_rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components among rows (band, id, root) that share bands."""
     low = open_rows.groupBy("band").agg(F.min("id").alias("low"))
-    groups = components(spark, open_rows.join(low, "band").select(F.col("low").alias("a"), F.col("id").alias("b")))
+    met = open_rows.join(low, "band").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    groups = components(spark, met.distinct())  # bands name the same two again
     named = open_rows.select("id", F.col("root").alias("component")).distinct().join(groups, "id")
     sizes = named.groupBy(F.col("root")).agg(F.ceil(F.count("id") / SIDE).alias("blocks"))
     own = named.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
